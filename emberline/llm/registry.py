@@ -6,10 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprint, quality, secrets, simhash
+from . import chat, fingerprint, linededup, quality, secrets, simhash
 from ._shared import documents
 
 
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = chat.with_attack(spark, spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return chat.read_back(chat.format_conversations(turns))
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.digest(documents(spark, sf_dir))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(documents(spark, sf_dir))
 
@@ -27,8 +36,8 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_secret_scan, op5_document_fingerprints, op8_simhash_near_dedup, op10_quality_classifier)}
+    return {f.__name__: f for f in (op2_chat_format, op3_secret_scan, op4_line_dedup, op5_document_fingerprints, op8_simhash_near_dedup, op10_quality_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_line_dedup": linededup.ORACLE}
