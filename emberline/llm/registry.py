@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, fingerprint, linededup, quality, secrets, simhash
+from . import chat, fingerprint, linededup, packing, quality, secrets, simhash
 from ._shared import documents
 
 
+def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, sf_dir))
+
+
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = chat.with_attack(spark, spark.read.parquet(f"{sf_dir}/conversations.parquet"))
     return chat.read_back(chat.format_conversations(turns))
@@ -36,7 +40,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_chat_format, op3_secret_scan, op4_line_dedup, op5_document_fingerprints, op8_simhash_near_dedup, op10_quality_classifier)}
+    return {f.__name__: f for f in (op1_pack, op2_chat_format, op3_secret_scan, op4_line_dedup, op5_document_fingerprints, op8_simhash_near_dedup, op10_quality_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:
