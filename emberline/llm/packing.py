@@ -30,7 +30,7 @@ from ._shared import materialize
 
 WINDOW, DEPTH, BIN, FILL = 2048, 3, 8, 0.99
 END_ID = 1
-CACHED_WORDS, CACHED_LENGTH = 300_000, 48
+CACHED_WORDS, CACHED_LENGTH = 400_000, 48
 BROADCAST_ROWS = 1_000_000
 #: Split as white space by str.split() but not by the tokenizer.
 ODD_SPACES = frozenset("\x1c\x1d\x1e\x1f")
@@ -43,41 +43,64 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 
 
 class Encoder:
-    """Ids of texts as little-endian bytes. The tokenizer splits at white space, so ids of words are kept and reused."""
+    """Ids of texts as little-endian bytes. The tokenizer splits at white space, so ids of words are kept and reused, in
+    two generations: when the younger one is full it replaces the older one."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self.words: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.dtype = f"<u{self.width}"
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _ids(self, words: list[str]) -> list[bytes]:
+        """Of several words in one call: each id belongs to the word in which its characters start."""
+        e = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+        ids = np.array(e.ids, self.dtype).tobytes()
+        ends = np.cumsum([len(w) + 1 for w in words])
+        cut = (np.searchsorted([o[0] for o in e.offsets], ends) * self.width).tolist()
+        return [ids[a:b] for a, b in zip([0, *cut], cut, strict=False)]
 
     def __call__(self, text: str) -> bytes:
         if not ODD_SPACES.isdisjoint(text):
-            return self._ids([text])[0]
-        words, known = text.split(), self.words
-        if new := [w for w in dict.fromkeys(words) if w not in known]:
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+        words, known = text.split(), self.young
+        if missing := [w for w in dict.fromkeys(words) if w not in known]:
             if len(known) > CACHED_WORDS:
-                known.clear()
-                new = list(dict.fromkeys(words))
-            found = dict(zip(new, self._ids(new), strict=True))
-            known.update((w, i) for w, i in found.items() if len(w) <= CACHED_LENGTH)
-            if any(len(w) > CACHED_LENGTH for w in new):
-                return b"".join([known[w] if w in known else found[w] for w in words])
+                self.old, self.young = known, {}
+                missing, known = list(dict.fromkeys(words)), self.young
+            old = self.old
+            known.update((w, old[w]) for w in missing if w in old)
+            if new := [w for w in missing if w not in old]:
+                known.update(zip(new, self._ids(new), strict=True))
+            ids = b"".join([known[w] for w in words])
+            for w in new:
+                if len(w) > CACHED_LENGTH:
+                    del known[w]
+            return ids
         return b"".join([known[w] for w in words])
 
 
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """One per process: a worker keeps its words from task to task."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
+
+
 _PIECES = pa.schema([("chunk", pa.int32()), ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int32()), ("doc_tokens", pa.int64()), ("rank", pa.int64()), ("crc", pa.int64()), ("ids", pa.binary())])
 _PIECES_DDL = "chunk int, doc_id long, start long, length int, doc_tokens long, rank long, crc long, ids binary"
 
 
 def _tokenize(path: str, window: int, keep_all: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, chunk, ranks = Encoder(path), TaskContext.get().partitionId(), defaultdict(int)
+        encode, chunk, ranks = encoder(path), TaskContext.get().partitionId(), defaultdict(int)
         closing = np.array([END_ID], encode.dtype).tobytes()
         wide = encode.dtype == "<u4"
         for batch in batches:
@@ -278,4 +301,4 @@ def pack_documents(docs: DataFrame, path: str | None = None, window: int = WINDO
     if counts.count() <= BROADCAST_ROWS:  # else the pieces are shuffled with their ids, by (chunk, length)
         firsts = F.broadcast(firsts)
     ranked = pieces.join(firsts, ["chunk", "length"]).withColumn("rank", F.col("rank") + F.col("rank0")).drop("rank0")
-    return ranked.mapInArrow(_place(rows, window, with_ids, Encoder(path).dtype), _PLACED_DDL + (", ids binary" if with_ids else ""))
+    return ranked.mapInArrow(_place(rows, window, with_ids, encoder(path).dtype), _PLACED_DDL + (", ids binary" if with_ids else ""))

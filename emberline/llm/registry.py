@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, fingerprint, linededup, packing, quality, secrets, simhash
+from . import chat, decontam, fingerprint, linededup, packing, quality, secrets, simhash
 from ._shared import documents
 
 
@@ -35,13 +35,17 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pack, op2_chat_format, op3_secret_scan, op4_line_dedup, op5_document_fingerprints, op8_simhash_near_dedup, op10_quality_classifier)}
+    return {f.__name__: f for f in (op1_pack, op2_chat_format, op3_secret_scan, op4_line_dedup, op5_document_fingerprints, op8_simhash_near_dedup, op9_decontaminate, op10_quality_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_line_dedup": linededup.ORACLE}
+    return {"op4_line_dedup": linededup.ORACLE, "op9_decontaminate": decontam.ORACLE}
