@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontam, fingerprint, linededup, packing, quality, secrets, simhash
+from . import chat, decontam, fingerprint, linededup, packing, quality, secrets, simhash, substring, suffixarray
 from ._shared import documents
 
 
@@ -31,6 +31,14 @@ def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_documents(documents(spark, sf_dir))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.dedup_words(documents(spark, sf_dir), with_text=False).drop("kept")
+
+
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixarray.dedup_bytes(documents(spark, sf_dir), with_text=False).drop("kept")
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
@@ -44,7 +52,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pack, op2_chat_format, op3_secret_scan, op4_line_dedup, op5_document_fingerprints, op8_simhash_near_dedup, op9_decontaminate, op10_quality_classifier)}
+    return {f.__name__: f for f in (op1_pack, op2_chat_format, op3_secret_scan, op4_line_dedup, op5_document_fingerprints, op6_substring_dedup, op7_suffix_array_dedup, op8_simhash_near_dedup, op9_decontaminate, op10_quality_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -96,3 +96,11 @@ def near_duplicates(docs: DataFrame, k: int = 3) -> DataFrame:
     found = connected_components(link_classes(classes.filter("node IS NOT NULL")))
     labels = classes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
     return fps.join(labels, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def keep_first(docs: DataFrame, k: int = 3) -> DataFrame:
+    """One row of docs for each group of near-duplicates, the one with the smallest doc_id (of rows that share it, the one
+    whose text has the smallest hash); rows with a null doc_id all stay. Empty texts are one group."""
+    groups = near_duplicates(docs, k).filter(F.col("doc_id").isNotNull())
+    gone = groups.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(gone, docs["doc_id"].cast("long") == F.col("_id"), "left_anti")
