@@ -31,9 +31,10 @@ from ._shared import materialize
 WINDOW, DEPTH, BIN, FILL = 2048, 3, 8, 0.99
 END_ID = 1
 CACHED_WORDS, CACHED_LENGTH = 400_000, 48
+TOGETHER = 256
 BROADCAST_ROWS = 1_000_000
 #: Split as white space by str.split() but not by the tokenizer.
-ODD_SPACES = frozenset("\x1c\x1d\x1e\x1f")
+ODD_SPACES = "\x1c\x1d\x1e\x1f"
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -64,24 +65,24 @@ class Encoder:
         cut = (np.searchsorted([o[0] for o in e.offsets], ends) * self.width).tolist()
         return [ids[a:b] for a, b in zip([0, *cut], cut, strict=False)]
 
-    def __call__(self, text: str) -> bytes:
-        if not ODD_SPACES.isdisjoint(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
-        words, known = text.split(), self.young
-        if missing := [w for w in dict.fromkeys(words) if w not in known]:
-            if len(known) > CACHED_WORDS:
-                self.old, self.young = known, {}
-                missing, known = list(dict.fromkeys(words)), self.young
-            old = self.old
-            known.update((w, old[w]) for w in missing if w in old)
-            if new := [w for w in missing if w not in old]:
-                known.update(zip(new, self._ids(new), strict=True))
-            ids = b"".join([known[w] for w in words])
-            for w in new:
-                if len(w) > CACHED_LENGTH:
-                    del known[w]
-            return ids
-        return b"".join([known[w] for w in words])
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        odd = [any(c in t for c in ODD_SPACES) for t in texts]
+        split = [[] if o else t.split() for t, o in zip(texts, odd, strict=True)]
+        if len(self.young) > CACHED_WORDS:
+            self.old, self.young = self.young, {}
+        known, old = self.young, self.old
+        missing = set().union(*split).difference(known)
+        known.update((w, old[w]) for w in missing.intersection(old))
+        new = list(missing.difference(old))
+        if new:
+            known.update(zip(new, self._ids(new), strict=True))
+        out = [b"".join(map(known.__getitem__, words)) for words in split]
+        for i in (i for i, o in enumerate(odd) if o):
+            out[i] = np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, self.dtype).tobytes()
+        for w in new:
+            if len(w) > CACHED_LENGTH:
+                del known[w]
+        return out
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -98,6 +99,18 @@ _PIECES = pa.schema([("chunk", pa.int32()), ("doc_id", pa.int64()), ("start", pa
 _PIECES_DDL = "chunk int, doc_id long, start long, length int, doc_tokens long, rank long, crc long, ids binary"
 
 
+def _encoded(encode: Encoder, texts: pa.Array) -> Iterator[bytes]:
+    """Texts are encoded some at a time: TOGETHER of them, fewer where they are long."""
+    group, size = [], 0
+    for text in texts:
+        group.append(text.as_py() or "")
+        size += len(group[-1])
+        if len(group) == TOGETHER or size > 1 << 20:
+            yield from encode(group)
+            group, size = [], 0
+    yield from encode(group)
+
+
 def _tokenize(path: str, window: int, keep_all: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, chunk, ranks = encoder(path), TaskContext.get().partitionId(), defaultdict(int)
@@ -105,8 +118,8 @@ def _tokenize(path: str, window: int, keep_all: bool):
         wide = encode.dtype == "<u4"
         for batch in batches:
             out = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                ids = np.frombuffer(encode(text or "") + closing, encode.dtype)
+            for doc_id, encoded in zip(batch.column("doc_id").to_pylist(), _encoded(encode, batch.column("text")), strict=True):
+                ids = np.frombuffer(encoded + closing, encode.dtype)
                 for start in range(0, len(ids), window):
                     piece = ids[start : start + window]
                     n = len(piece)
