@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -30,8 +31,7 @@ from ._shared import materialize
 
 WINDOW, DEPTH, BIN, FILL = 2048, 3, 8, 0.99
 END_ID = 1
-CACHED_WORDS, CACHED_LENGTH = 400_000, 48
-TOGETHER = 256
+CACHED_WORDS, LETTER_WORDS, CACHED_LENGTH = 500_000, 900_000, 48
 BROADCAST_ROWS = 1_000_000
 #: Split as white space by str.split() but not by the tokenizer.
 ODD_SPACES = "\x1c\x1d\x1e\x1f"
@@ -43,46 +43,51 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-class Encoder:
-    """Ids of texts as little-endian bytes. The tokenizer splits at white space, so ids of words are kept and reused, in
-    two generations: when the younger one is full it replaces the older one."""
+class Encoder(dict):
+    """Ids of texts as little-endian bytes. The tokenizer splits at white space, so the ids of words are kept and reused:
+    those of whole words, and those of the lower-case letter words inside them, which far fewer words share."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.dtype = f"<u{self.width}"
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def _ids(self, words: list[str]) -> list[bytes]:
-        """Of several words in one call: each id belongs to the word in which its characters start."""
-        e = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
-        ids = np.array(e.ids, self.dtype).tobytes()
-        ends = np.cumsum([len(w) + 1 for w in words])
-        cut = (np.searchsorted([o[0] for o in e.offsets], ends) * self.width).tolist()
-        return [ids[a:b] for a, b in zip([0, *cut], cut, strict=False)]
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        odd = [any(c in t for c in ODD_SPACES) for t in texts]
-        split = [[] if o else t.split() for t, o in zip(texts, odd, strict=True)]
-        if len(self.young) > CACHED_WORDS:
-            self.old, self.young = self.young, {}
-        known, old = self.young, self.old
-        missing = set().union(*split).difference(known)
-        known.update((w, old[w]) for w in missing.intersection(old))
-        new = list(missing.difference(old))
-        if new:
-            known.update(zip(new, self._ids(new), strict=True))
-        out = [b"".join(map(known.__getitem__, words)) for words in split]
-        for i in (i for i, o in enumerate(odd) if o):
-            out[i] = np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, self.dtype).tobytes()
-        for w in new:
-            if len(w) > CACHED_LENGTH:
-                del known[w]
-        return out
+        self.code, self.dtype = ("H", "<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else ("I", "<u4")
+        self.letters: dict[str, bytes] = {}
+
+    def _ids(self, text: str) -> bytes:
+        return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _of_letters(self, word: str) -> bytes:
+        ids = self.letters.get(word)
+        if ids is None:
+            if len(self.letters) >= LETTER_WORDS:
+                self.letters.clear()
+            ids = self.letters[word] = self._ids(word)
+        return ids
+
+    def __missing__(self, word: str) -> bytes:
+        if len(word) > CACHED_LENGTH:
+            return self._ids(word)
+        # a run of letters is a unit of its own, in either case; a final sigma's lower case depends on its place
+        if "\u03a3" in word:
+            ids = self._ids(word)
+        elif word.isalpha():
+            ids = self._of_letters(word.lower())
+        elif word[-1] in ".," and word[:-1].isalpha():
+            ids = self._of_letters(word[:-1].lower()) + self._of_letters(word[-1])
+        else:
+            ids = self._ids(word)
+        if len(self) >= CACHED_WORDS:
+            self.clear()
+        self[word] = ids
+        return ids
+
+    def encode(self, text: str) -> bytes:
+        if any(c in text for c in ODD_SPACES):
+            return self._ids(text)
+        return b"".join(map(self.__getitem__, text.split()))
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -99,27 +104,15 @@ _PIECES = pa.schema([("chunk", pa.int32()), ("doc_id", pa.int64()), ("start", pa
 _PIECES_DDL = "chunk int, doc_id long, start long, length int, doc_tokens long, rank long, crc long, ids binary"
 
 
-def _encoded(encode: Encoder, texts: pa.Array) -> Iterator[bytes]:
-    """Texts are encoded some at a time: TOGETHER of them, fewer where they are long."""
-    group, size = [], 0
-    for text in texts:
-        group.append(text.as_py() or "")
-        size += len(group[-1])
-        if len(group) == TOGETHER or size > 1 << 20:
-            yield from encode(group)
-            group, size = [], 0
-    yield from encode(group)
-
-
 def _tokenize(path: str, window: int, keep_all: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, chunk, ranks = encoder(path), TaskContext.get().partitionId(), defaultdict(int)
-        closing = np.array([END_ID], encode.dtype).tobytes()
-        wide = encode.dtype == "<u4"
+        words, chunk, ranks = encoder(path), TaskContext.get().partitionId(), defaultdict(int)
+        closing = np.array([END_ID], words.dtype).tobytes()
+        wide = words.dtype == "<u4"
         for batch in batches:
             out = []
-            for doc_id, encoded in zip(batch.column("doc_id").to_pylist(), _encoded(encode, batch.column("text")), strict=True):
-                ids = np.frombuffer(encoded + closing, encode.dtype)
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
+                ids = np.frombuffer(words.encode(text.as_py() or "") + closing, words.dtype)
                 for start in range(0, len(ids), window):
                     piece = ids[start : start + window]
                     n = len(piece)
