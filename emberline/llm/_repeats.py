@@ -9,7 +9,6 @@ by a 128-bit hash of all W units instead, counted with a map-side combine, and j
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -18,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import materialize, shuffle_partitions
+from ._shared import discard, materialize, shuffle_partitions
 
 HEAVY = 1000
 #: Segments (bytes) that a task gathers before it judges them; a single group may be larger, up to HEAVY segments.
@@ -34,10 +33,12 @@ class Bytes:
     def __init__(self, window: int, gram: int):
         self.window, self.gram = window, gram
 
-    def read(self, text: str) -> tuple[object, np.ndarray]:
-        """The sequence, which cut() understands, and a number for each unit."""
-        data = text.encode()
-        return data, np.frombuffer(data, np.uint8).astype(np.uint64) + np.uint64(1)
+    def sequence(self, text: str) -> bytes:
+        return text.encode()
+
+    def numbers(self, text: str) -> np.ndarray:
+        """A number for each unit."""
+        return np.frombuffer(text.encode(), np.uint8).astype(np.uint64) + np.uint64(1)
 
     def cut(self, seq: bytes, a: int, b: int) -> bytes:
         return seq[a:b]
@@ -50,14 +51,17 @@ class Words(Bytes):
         super().__init__(window, gram)
         self.known: dict[bytes, int] = {}
 
-    def read(self, text: str) -> tuple[object, np.ndarray]:
-        words, known = text.encode().split(), self.known
+    def sequence(self, text: str) -> list[bytes]:
+        return text.encode().split()
+
+    def numbers(self, text: str) -> np.ndarray:
+        words, known = self.sequence(text), self.known
         if len(known) > 400_000:
             known.clear()
         for w in words:
             if w not in known:
                 known[w] = xxhash.xxh64_intdigest(w)
-        return words, np.array([known[w] for w in words], np.uint64)
+        return np.array([known[w] for w in words], np.uint64)
 
     def cut(self, seq: list[bytes], a: int, b: int) -> bytes:
         return b" ".join(seq[a:b])
@@ -110,7 +114,7 @@ def _find_runs(units: Bytes):
             ords, ties = batch.column("ord").to_pylist(), batch.column("tie").to_pylist()
             parts = []
             for i, text in enumerate(batch.column("text").to_pylist()):
-                key, a, n, own = runs_of(units.read(text)[1], units.window, units.gram)
+                key, a, n, own = runs_of(units.numbers(text), units.window, units.gram)
                 if len(key):
                     parts.append((key.view(np.int64), np.full(len(key), ords[i]), np.full(len(key), ties[i]), a.astype(np.int32), n.astype(np.int32), own))
             if parts:
@@ -120,25 +124,47 @@ def _find_runs(units: Bytes):
 
 
 def _cut_segments(units: Bytes):
+    """Of texts with their runs: a segment for each light run, a hashed window for each window of a heavy one."""
+    w, names = units.window, ("key", "a", "n", "own", "heavy")
+
+    def part(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        lists = batch.column("runs")
+        flat = lists.flatten()
+        key, a, n, own, heavy = (flat.field(x).to_numpy(zero_copy_only=False) for x in names)
+        counts = np.diff(lists.offsets.to_numpy())
+        row = np.repeat(np.arange(len(counts)), counts)
+        ords, ties = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("ord", "tie"))
+        ends = np.cumsum(counts).tolist()
+        segs, wholes, at = [], [], []
+        heavy = heavy.astype(bool)
+        starts, stops = a.tolist(), (a + n + w - 1).tolist()
+        heavy_list = heavy.tolist()
+        first = 0
+        for i, (text, end) in enumerate(zip(batch.column("text").to_pylist(), ends, strict=True)):
+            seq = units.sequence(text)
+            for j in range(first, end):
+                if not heavy_list[j]:
+                    segs.append(units.cut(seq, starts[j], stops[j]))
+                    continue
+                for k in range(starts[j], stops[j] - w + 1):
+                    wholes.append(xxhash.xxh3_128_digest(units.cut(seq, k, k + w)))
+                    at.append((i, k))
+            first = end
+        light = ~heavy
+        if segs:
+            r = row[light]
+            cols = (key[light], None, ords[r], ties[r], a[light], n[light], own[light], segs)
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(segs), f.type) if c is None else pa.array(c, f.type) for c, f in zip(cols, _SEGMENTS, strict=True)], schema=_SEGMENTS)
+        for lo in range(0, len(wholes), 100_000):
+            some = wholes[lo : lo + 100_000]
+            r, k = np.array(at[lo : lo + 100_000]).T
+            cols = (None, some, ords[r], ties[r], k, np.ones(len(some), np.int32), np.zeros(len(some), bool), None)
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(some), f.type) if c is None else pa.array(c, f.type) for c, f in zip(cols, _SEGMENTS, strict=True)], schema=_SEGMENTS)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = units.window
         for batch in batches:
-            rows, size = [], 0
-            for r in batch.to_pylist():
-                seq, _ = units.read(r["text"])
-                for x in r["runs"]:
-                    a, n = x["a"], x["n"]
-                    if not x["heavy"]:
-                        rows.append((x["key"], None, r["ord"], r["tie"], a, n, x["own"], units.cut(seq, a, a + n + w - 1)))
-                        size += len(rows[-1][-1])
-                        continue
-                    for i in range(a, a + n):
-                        rows.append((None, xxhash.xxh3_128_digest(units.cut(seq, i, i + w)), r["ord"], r["tie"], i, 1, False, None))
-                if size > GATHER or len(rows) > 100_000:
-                    yield _table(rows, _SEGMENTS)
-                    rows, size = [], 0
-            if rows:
-                yield _table(rows, _SEGMENTS)
+            for lo in range(0, batch.num_rows, 512):
+                yield from part(pa.RecordBatch.from_arrays([pa.concat_arrays([c.slice(lo, 512)]) for c in batch.columns], names=batch.schema.names))
 
     return run
 
@@ -154,8 +180,8 @@ Segment = tuple[bytes, int, bool, list[tuple[int, int, int]]]
 Judge = Callable[[list[list[Segment]]], Iterator[tuple[tuple[int, int, int], int, int]]]
 
 
-def _judge_groups(judge: Judge):
-    """Rows come sorted by key. Gathers whole groups up to GATHER bytes and lets judge mark windows."""
+def _judge_groups(judge: Judge, gather: int):
+    """Rows come sorted by key. Gathers whole groups up to gather bytes and lets judge mark windows."""
 
     def flush(groups: list[list[Segment]]) -> pa.RecordBatch:
         return _table([(o[0], o[1], o[2] + i, o[2] + i + n) for o, i, n in judge(groups)], _MARKS)
@@ -175,7 +201,7 @@ def _judge_groups(judge: Judge):
                 if k != key:
                     size += close()
                     key, now = k, {}
-                    if size > GATHER:
+                    if size > gather:
                         yield flush(groups)
                         groups, size = [], 0
                 known = now.get(seg)
@@ -189,31 +215,32 @@ def _judge_groups(judge: Judge):
     return run
 
 
-def find_marks(docs: DataFrame, units: Bytes, judge: Judge, keep_earliest: bool) -> DataFrame:
+def find_marks(docs: DataFrame, units: Bytes, judge: Judge, keep_earliest: bool, gather: int = GATHER) -> DataFrame:
     """(ord, tie, a, b): windows a .. b-1 of a document (ord, tie, text) that repeat; with keep_earliest all but the first
     of equal windows, else all. The windows a heavy key holds are compared by hash, all others by judge."""
-    spark = docs.sparkSession
-
-    def done(df: DataFrame, name: str) -> DataFrame:
-        out = materialize(df, name)
-        gc.collect()  # what only served df, shuffle files too, can go
-        spark.sparkContext._jvm.System.gc()
-        return out
-
-    runs = docs.mapInArrow(_find_runs(units), _RUNS_DDL)
+    runs = materialize(docs.mapInArrow(_find_runs(units), _RUNS_DDL), "repeat-runs")
     keys = runs.groupBy("key").agg(F.count("*").alias("c"), F.max("own").alias("any_own")).filter("c > 1 OR any_own").select("key", (F.col("c") > HEAVY).alias("heavy"))
+    # written, so that the join reads plain exchanges, of which adaptive execution can split those of common keys
+    keys = materialize(keys, "repeat-keys")
     found = runs.join(keys, "key").groupBy("ord", "tie").agg(F.collect_list(F.struct("key", "a", "n", "own", "heavy")).alias("runs"))
-    found = done(found, "repeat-runs")
-    segments = docs.join(found.hint("shuffle_hash"), ["ord", "tie"]).select("ord", "tie", "text", "runs").mapInArrow(_cut_segments(units), _SEGMENTS_DDL)
-    segments = done(segments, "repeat-segments")
-    light = segments.filter("key IS NOT NULL").drop("whole").repartition(shuffle_partitions(spark), "key").sortWithinPartitions("key")
-    marks = light.mapInArrow(_judge_groups(judge), _MARKS_DDL)
-    heavy = segments.filter("whole IS NOT NULL").select("whole", "ord", "tie", F.col("a").cast("long").alias("a")).distinct()
-    sums = heavy.groupBy("whole").agg(F.count("*").alias("c"), F.min(F.struct("ord", "tie", "a")).alias("first")).filter("c > 1")
+    found = materialize(found, "repeat-found")
+    discard(runs)
+    discard(keys)
+    cut = docs.join(found.hint("shuffle_hash"), ["ord", "tie"]).select("ord", "tie", "text", "runs").mapInArrow(_cut_segments(units), _SEGMENTS_DDL)
+    segments = materialize(cut, "repeat-segments")
+    discard(found)
+    light = segments.filter("key IS NOT NULL").drop("whole").repartition(shuffle_partitions(docs.sparkSession), "key").sortWithinPartitions("key")
+    marks = light.mapInArrow(_judge_groups(judge, gather), _MARKS_DDL)
+    heavy = segments.filter("whole IS NOT NULL").select("whole", "ord", "tie", F.col("a").cast("long").alias("a"))
+    where = F.struct("ord", "tie", "a")
+    sums = materialize(heavy.groupBy("whole").agg(F.min(where).alias("first"), F.max(where).alias("last")).filter("first != last"), "repeat-windows")
     again = heavy.join(sums, "whole")
     if keep_earliest:
-        again = again.filter(F.struct("ord", "tie", "a") != F.col("first"))
-    return done(marks.unionByName(again.select("ord", "tie", "a", (F.col("a") + 1).alias("b"))), "repeat-marks")
+        again = again.filter(where != F.col("first"))
+    out = materialize(marks.unionByName(again.select("ord", "tie", "a", (F.col("a") + 1).alias("b"))), "repeat-marks")
+    discard(segments)
+    discard(sums)
+    return out
 
 
 def covered(marks: list, window: int, n: int) -> list[tuple[int, int]]:

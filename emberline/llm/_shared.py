@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -32,7 +33,18 @@ def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> Da
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a table that materialize() wrote and nothing reads any more, and let go of shuffle files that nothing needs."""
+    spark = table.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(table.written_to)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def ascii_lower(c: Column) -> Column:

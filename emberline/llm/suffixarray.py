@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 from ._repeats import Bytes, Segment, covered, find_marks, source, with_marks
 
 WINDOW, GRAM = 100, 32
+#: Bytes of segments that are judged at once; the rank table takes 4 bytes for each of them and each different byte.
+GATHER = 128 << 10
 
 
 def suffix_order(t: np.ndarray, depth: int) -> np.ndarray:
@@ -53,7 +55,7 @@ def common_prefixes(t: np.ndarray, order: np.ndarray, stop: int) -> np.ndarray:
     bwt = t[order - 1]  # of the first suffix the last symbol: t ends with 0
     symbols = np.unique(t)
     starts = np.searchsorted(np.sort(t), symbols)
-    occ = {int(c): np.r_[0, np.cumsum(bwt == c)].astype(np.int64) for c in symbols if c}
+    occ = {int(c): np.r_[0, np.cumsum(bwt == c)].astype(np.int32) for c in symbols if c}
     lcp = np.full(n + 1, -1, np.int64)
     ends = int((t == 0).sum())
     lcp[: ends + 1] = 0  # separators sort first and differ
@@ -163,5 +165,5 @@ def _apply(window: int, with_text: bool):
 def dedup_bytes(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, with_text: bool = True) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept): kept is the bytes that stay; they may split a character."""
     src = source(docs)
-    marks = find_marks(src.drop("doc_id"), Bytes(window, gram), judge(window), keep_earliest=True)
+    marks = find_marks(src.drop("doc_id"), Bytes(window, gram), judge(window), keep_earliest=True, gather=GATHER)
     return with_marks(src, marks).mapInArrow(_apply(window, with_text), _OUT_DDL)
