@@ -31,7 +31,7 @@ from ._shared import materialize
 
 WINDOW, DEPTH, BIN, FILL = 2048, 3, 8, 0.99
 END_ID = 1
-CACHED_WORDS, LETTER_WORDS, CACHED_LENGTH = 500_000, 900_000, 48
+CACHED_WORDS, LETTER_WORDS, CACHED_LENGTH = 200_000, 450_000, 48
 BROADCAST_ROWS = 1_000_000
 #: Split as white space by str.split() but not by the tokenizer.
 ODD_SPACES = "\x1c\x1d\x1e\x1f"
