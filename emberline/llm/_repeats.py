@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ._shared import discard, materialize, shuffle_partitions
 
-HEAVY = 1000
+HEAVY = 50_000
 #: Segments (bytes) that a task gathers before it judges them; a single group may be larger, up to HEAVY segments.
 GATHER = 4 << 20
 _LAST = 2**63 - 1
@@ -127,6 +127,11 @@ def _cut_segments(units: Bytes):
     """Of texts with their runs: a segment for each light run, a hashed window for each window of a heavy one."""
     w, names = units.window, ("key", "a", "n", "own", "heavy")
 
+    def windows(wholes: list[bytes], at: list[tuple[int, int]], ords: np.ndarray, ties: np.ndarray) -> pa.RecordBatch:
+        r, k = np.array(at).T
+        cols = (None, wholes, ords[r], ties[r], k, np.ones(len(wholes), np.int32), np.zeros(len(wholes), bool), None)
+        return pa.RecordBatch.from_arrays([pa.nulls(len(wholes), f.type) if c is None else pa.array(c, f.type) for c, f in zip(cols, _SEGMENTS, strict=True)], schema=_SEGMENTS)
+
     def part(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         lists = batch.column("runs")
         flat = lists.flatten()
@@ -149,22 +154,22 @@ def _cut_segments(units: Bytes):
                 for k in range(starts[j], stops[j] - w + 1):
                     wholes.append(xxhash.xxh3_128_digest(units.cut(seq, k, k + w)))
                     at.append((i, k))
+                if len(wholes) > 50_000:
+                    yield windows(wholes, at, ords, ties)
+                    wholes, at = [], []
             first = end
         light = ~heavy
         if segs:
             r = row[light]
             cols = (key[light], None, ords[r], ties[r], a[light], n[light], own[light], segs)
             yield pa.RecordBatch.from_arrays([pa.nulls(len(segs), f.type) if c is None else pa.array(c, f.type) for c, f in zip(cols, _SEGMENTS, strict=True)], schema=_SEGMENTS)
-        for lo in range(0, len(wholes), 100_000):
-            some = wholes[lo : lo + 100_000]
-            r, k = np.array(at[lo : lo + 100_000]).T
-            cols = (None, some, ords[r], ties[r], k, np.ones(len(some), np.int32), np.zeros(len(some), bool), None)
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(some), f.type) if c is None else pa.array(c, f.type) for c, f in zip(cols, _SEGMENTS, strict=True)], schema=_SEGMENTS)
+        if wholes:
+            yield windows(wholes, at, ords, ties)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                yield from part(pa.RecordBatch.from_arrays([pa.concat_arrays([c.slice(lo, 512)]) for c in batch.columns], names=batch.schema.names))
+            for lo in range(0, batch.num_rows, 128):
+                yield from part(pa.RecordBatch.from_arrays([pa.concat_arrays([c.slice(lo, 128)]) for c in batch.columns], names=batch.schema.names))
 
     return run
 

@@ -27,59 +27,87 @@ WINDOW, GRAM = 100, 32
 GATHER = 128 << 10
 
 
+#: Symbols that one sort key packs, of 9 bits each.
+_PACKED = 7
+#: Up to here ranks are looked up in a table of all symbols; beyond, by binary search in the positions of each.
+TABLE_BYTES = 512 << 10
+
+
 def suffix_order(t: np.ndarray, depth: int) -> np.ndarray:
-    """Positions of t (small integers) in the order of their suffixes' first depth symbols; ties by position."""
+    """Positions of t (0 .. 256) in the order of their suffixes' first depth symbols or more; ties in any order."""
     n = len(t)
-    rank = np.unique(t, return_inverse=True)[1].astype(np.int64)
-    order = np.argsort(rank, kind="stable")
-    step = 1
-    while step < depth:
-        second = np.zeros(n, np.int64)
-        second[:-step] = rank[step:] + 1 if step < n else 0
-        key = rank * (n + 2) + second
+    padded = np.r_[t, np.zeros(_PACKED, np.int64)]
+    key = np.zeros(n, np.int64)
+    for i in range(_PACKED):
+        key = key << 9 | padded[i : i + n]
+    step = _PACKED
+    while True:
         order = np.argsort(key, kind="stable")
         s = key[order]
         new = np.cumsum(np.r_[0, s[1:] != s[:-1]])
+        if step >= depth or new[-1] == n - 1:
+            return order
         rank = np.empty(n, np.int64)
         rank[order] = new
-        if new[-1] == n - 1:
-            break
+        second = np.zeros(n, np.int64)
+        second[:-step] = rank[step:] + 1 if step < n else 0
+        key = rank * (n + 2) + second
         step *= 2
-    return order
+
+
+def _ranks(bwt: np.ndarray, symbols: np.ndarray):
+    """A function (symbol indices, positions) -> occurrences before the position; arrays broadcast."""
+    if len(bwt) <= TABLE_BYTES:
+        table = np.zeros((len(symbols), len(bwt) + 1), np.int32)
+        for k, c in enumerate(symbols.tolist()):
+            np.cumsum(bwt == c, out=table[k, 1:])
+        return lambda k, at: table[k, at]
+    index = np.searchsorted(symbols, bwt)
+    sorted_at = np.argsort(index, kind="stable")
+    size = len(bwt) + 1
+    flat = index[sorted_at] * size + sorted_at
+    first = np.searchsorted(flat, np.arange(len(symbols)) * size)
+    return lambda k, at: np.searchsorted(flat, k * size + at) - first[k]
 
 
 def common_prefixes(t: np.ndarray, order: np.ndarray, stop: int) -> np.ndarray:
     """For each rank but the first, the common prefix with the rank before, by breadth-first backward extension; stop where
-    it is stop or more. Symbols are 0 .. max; each 0 ends a string and equals no other."""
+    it is stop or more. Symbols are 0 .. max; each 0 ends a string. Exact between suffixes with stop symbols before their 0;
+    after a suffix that ends sooner the value can be too high, as strings that hold a 0 are not enumerated. Such a suffix
+    sorts before all others it is a prefix of, so that no two longer ones are joined by it."""
     n = len(t)
     bwt = t[order - 1]  # of the first suffix the last symbol: t ends with 0
     symbols = np.unique(t)
     starts = np.searchsorted(np.sort(t), symbols)
-    occ = {int(c): np.r_[0, np.cumsum(bwt == c)].astype(np.int32) for c in symbols if c}
+    rank, code = _ranks(bwt, symbols), np.searchsorted(symbols, bwt)
+    letters = np.arange(1, len(symbols))[:, None]  # without the separator
     lcp = np.full(n + 1, -1, np.int64)
-    ends = int((t == 0).sum())
-    lcp[: ends + 1] = 0  # separators sort first and differ
-    lcp[0] = lcp[n] = 0
+    lcp[: int((t == 0).sum()) + 1] = 0  # separators sort first and differ
+    lcp[n] = 0
     lo, hi = np.array([0]), np.array([n])
-    for length in range(stop):
+    for length in range(stop + 1):
         # hi is where an interval of a string of this length ends; its first visit fixes the prefix there
         if length:
             fresh = lcp[hi] < 0
-            lcp[hi[fresh]] = length - 1
             lo, hi = lo[fresh], hi[fresh]
-        if not len(lo):
+            lcp[hi] = length - 1
+        if not len(lo) or length == stop:
             break
-        los, his = [], []
-        for c, s in zip(symbols.tolist(), starts.tolist(), strict=True):
-            if c == 0:
-                continue
-            a, b = occ[c][lo] + s, occ[c][hi] + s
+        # where one symbol precedes all suffixes of an interval, it is the only extension
+        c = code[lo]
+        a = rank(c, lo) + starts[c]
+        b = rank(c, hi) + starts[c]
+        alone = b - a == hi - lo
+        keep = alone & (c > 0)
+        los, his = [a[keep]], [b[keep]]
+        lo, hi = lo[~alone], hi[~alone]
+        for at in range(0, len(lo), 4096):
+            a = rank(letters, lo[None, at : at + 4096]) + starts[letters]
+            b = rank(letters, hi[None, at : at + 4096]) + starts[letters]
             some = a < b
             los.append(a[some])
             his.append(b[some])
         lo, hi = np.concatenate(los), np.concatenate(his)
-    fresh = lcp[hi] < 0
-    lcp[hi[fresh]] = stop - 1
     out = lcp[:n].copy()
     out[out < 0] = stop
     return out
@@ -98,7 +126,6 @@ def judge(window: int):
         if not hard:
             return
         segs = [s for g in hard for s in g]
-        group_of = np.repeat(np.arange(len(hard)), [len(g) for g in hard])
         sizes = np.array([len(s[0]) + 1 for s in segs])
         base = np.r_[0, np.cumsum(sizes)[:-1]]
         t = np.frombuffer(b"".join(s[0] + b"\0" for s in segs), np.uint8).astype(np.int64) + 1
@@ -125,7 +152,6 @@ def judge(window: int):
             for where, o, k in found:
                 if where != first:
                     todo.setdefault(o, []).append(k)
-        del group_of
         for o, ks in todo.items():
             ks = sorted(set(ks))
             a = prev = ks[0]
