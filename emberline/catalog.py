@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import ingest_queries, registry, support_queries
+from .plans import grid_queries, ingest_queries, product_queries, registry, support_queries
 
-MODULES = (ingest_queries, support_queries)
+MODULES = (grid_queries, ingest_queries, product_queries, support_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     def register(f: Query) -> Query:
         QUERIES[f.__name__] = f
         if sql is not None:
-            SQL[f.__name__] = sql
+            SQL[f.__name__] = re.sub(r"(?<![\w.])(\d+\.\d+)(?![\w.])", r"\1e0", sql)  # doubles, as in Spark, not decimals
         return f
 
     return register
