@@ -150,21 +150,21 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     return train([(q, t) for p, _, q, t in got if p == 0], [(q, t) for p, _, q, t in got if p == 1])
 
 
-def _scorer(model: Model):
+def _scorer(model: Model, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = model.scorer()
         for batch in batches:
             scores = pa.array([score(t or "") for t in batch.column("text").to_pylist()], pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=[*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=[*batch.schema.names, name])
 
     return run
 
 
-def score_documents(docs: DataFrame, model: Model) -> DataFrame:
-    """docs with a column score: how likely label 1 is."""
-    kept = docs.drop("score")
+def score_documents(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
+    """docs with a column of that name, which replaces another: how likely label 1 is."""
+    kept = docs.drop(name)
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
-    return kept.mapInArrow(_scorer(model), f"{ddl}, score double")
+    return kept.mapInArrow(_scorer(model, name), f"{ddl}, {name} double")
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -175,4 +175,4 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of docs, with their columns, that are not rejected."""
-    return score_documents(docs, fit(docs, labels)).filter(F.col("score") >= THRESHOLD).select(*docs.drop("score").columns)
+    return score_documents(docs, fit(docs, labels), "_good").filter(F.col("_good") >= THRESHOLD).select(*docs.columns)
