@@ -31,7 +31,9 @@ from ._shared import materialize
 
 WINDOW, DEPTH, BIN, FILL = 2048, 3, 8, 0.99
 END_ID = 1
-CACHED_WORDS, LETTER_WORDS, CACHED_LENGTH = 200_000, 450_000, 48
+CACHED_LENGTH = 48
+#: How many words and letter words a worker keeps: about half a kilobyte each. FEWER suits executors that earlier stages filled.
+KEPT, FEWER = (500_000, 900_000), (200_000, 450_000)
 BROADCAST_ROWS = 1_000_000
 #: Split as white space by str.split() but not by the tokenizer.
 ODD_SPACES = "\x1c\x1d\x1e\x1f"
@@ -47,7 +49,7 @@ class Encoder(dict):
     """Ids of texts as little-endian bytes. The tokenizer splits at white space, so the ids of words are kept and reused:
     those of whole words, and those of the lower-case letter words inside them, which far fewer words share."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, kept: tuple[int, int] = KEPT):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -55,6 +57,7 @@ class Encoder(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.code, self.dtype = ("H", "<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else ("I", "<u4")
         self.letters: dict[str, bytes] = {}
+        self.most, self.most_letters = kept
 
     def _ids(self, text: str) -> bytes:
         return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -62,7 +65,7 @@ class Encoder(dict):
     def _of_letters(self, word: str) -> bytes:
         ids = self.letters.get(word)
         if ids is None:
-            if len(self.letters) >= LETTER_WORDS:
+            if len(self.letters) >= self.most_letters:
                 self.letters.clear()
             ids = self.letters[word] = self._ids(word)
         return ids
@@ -79,7 +82,7 @@ class Encoder(dict):
             ids = self._of_letters(word[:-1].lower()) + self._of_letters(word[-1])
         else:
             ids = self._ids(word)
-        if len(self) >= CACHED_WORDS:
+        if len(self) >= self.most:
             self.clear()
         self[word] = ids
         return ids
@@ -90,23 +93,23 @@ class Encoder(dict):
         return b"".join(map(self.__getitem__, text.split()))
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, kept: tuple[int, int] = KEPT) -> Encoder:
     """One per process: a worker keeps its words from task to task."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    if (path, kept) not in _ENCODERS:
+        _ENCODERS[path, kept] = Encoder(path, kept)
+    return _ENCODERS[path, kept]
 
 
 _PIECES = pa.schema([("chunk", pa.int32()), ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int32()), ("doc_tokens", pa.int64()), ("rank", pa.int64()), ("crc", pa.int64()), ("ids", pa.binary())])
 _PIECES_DDL = "chunk int, doc_id long, start long, length int, doc_tokens long, rank long, crc long, ids binary"
 
 
-def _tokenize(path: str, window: int, keep_all: bool):
+def _tokenize(path: str, window: int, keep_all: bool, kept: tuple[int, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, chunk, ranks = encoder(path), TaskContext.get().partitionId(), defaultdict(int)
+        words, chunk, ranks = encoder(path, kept), TaskContext.get().partitionId(), defaultdict(int)
         closing = np.array([END_ID], words.dtype).tobytes()
         wide = words.dtype == "<u4"
         for batch in batches:
@@ -293,12 +296,12 @@ def _place(rows: np.ndarray, window: int, with_ids: bool, dtype: str):
     return run
 
 
-def pack_documents(docs: DataFrame, path: str | None = None, window: int = WINDOW, with_ids: bool = False) -> DataFrame:
+def pack_documents(docs: DataFrame, path: str | None = None, window: int = WINDOW, with_ids: bool = False, kept: tuple[int, int] = KEPT) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset) of each piece; with_ids adds its ids, unsigned
     little-endian 32-bit."""
     path = path or tokenizer_path()
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    pieces = materialize(src.mapInArrow(_tokenize(path, window, with_ids), _PIECES_DDL), "pieces")
+    pieces = materialize(src.mapInArrow(_tokenize(path, window, with_ids, kept), _PIECES_DDL), "pieces")
     counts = materialize(pieces.groupBy("chunk", "length").agg(F.count("*").alias("n")), "piece-counts")
     histogram = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # window entries at most
     rows = plan(histogram, window)
