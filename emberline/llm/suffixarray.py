@@ -23,51 +23,75 @@ from pyspark.sql import DataFrame
 from ._repeats import Bytes, Segment, covered, find_marks, source, with_marks
 
 WINDOW, GRAM = 100, 32
-#: Bytes of segments that are judged at once; the rank table takes 4 bytes for each of them and each different byte.
+#: Bytes of segments that are judged at once; the rank table takes a byte for each of them and each different byte.
 GATHER = 128 << 10
 
 
-#: Symbols that one sort key packs, of 9 bits each.
-_PACKED = 7
-#: Up to here ranks are looked up in a table of all symbols; beyond, by binary search in the positions of each.
-TABLE_BYTES = 512 << 10
+#: Up to this size ranks are looked up in a table of all symbols; beyond, by binary search in the positions of each.
+TABLE_BYTES = 192 << 20
 
 
 def suffix_order(t: np.ndarray, depth: int) -> np.ndarray:
     """Positions of t (0 .. 256) in the order of their suffixes' first depth symbols or more; ties in any order."""
     n = len(t)
-    padded = np.r_[t, np.zeros(_PACKED, np.int64)]
+    present = np.flatnonzero(np.bincount(t))
+    dense = np.zeros(257, np.int64)
+    dense[present] = np.arange(len(present))
+    bits = max(1, (len(present) - 1).bit_length())
+    step = 63 // bits  # symbols that the first sort key packs
+    padded = np.r_[dense[t], np.zeros(step, np.int64)]
     key = np.zeros(n, np.int64)
-    for i in range(_PACKED):
-        key = key << 9 | padded[i : i + n]
-    step = _PACKED
+    for i in range(step):
+        key = key << bits | padded[i : i + n]
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         s = key[order]
         new = np.cumsum(np.r_[0, s[1:] != s[:-1]])
         if step >= depth or new[-1] == n - 1:
             return order
         rank = np.empty(n, np.int64)
         rank[order] = new
-        second = np.zeros(n, np.int64)
-        second[:-step] = rank[step:] + 1 if step < n else 0
-        key = rank * (n + 2) + second
-        step *= 2
+        # a key packs the ranks of as many steps as 63 bits hold, two at least
+        each = n.bit_length()
+        key = rank
+        for i in range(1, 63 // each):
+            key = key << each
+            if i * step < n:
+                key[: n - i * step] |= rank[i * step :] + 1
+            if (i + 1) * step >= depth:
+                break
+        step *= i + 1
 
 
 def _ranks(bwt: np.ndarray, symbols: np.ndarray):
-    """A function (symbol indices, positions) -> occurrences before the position; arrays broadcast."""
-    if len(bwt) <= TABLE_BYTES:
-        table = np.zeros((len(symbols), len(bwt) + 1), np.int32)
-        for k, c in enumerate(symbols.tolist()):
-            np.cumsum(bwt == c, out=table[k, 1:])
-        return lambda k, at: table[k, at]
+    """Two functions: (symbol indices, positions) -> occurrences of each before it; positions -> those of all symbols but
+    the first, a row for each position."""
     index = np.searchsorted(symbols, bwt)
+    if len(bwt) * len(symbols) <= TABLE_BYTES:
+        # counts before each block of 256 positions, and before each position in its block
+        many, n = len(symbols), len(bwt)
+        blocks = (n >> 8) + 1
+        before = np.zeros((blocks + 1, many), np.int32)
+        before[1:] = np.bincount((np.arange(n) >> 8) * many + index, minlength=blocks * many).reshape(blocks, many)
+        np.cumsum(before, axis=0, out=before)
+        inner = np.zeros((blocks << 8, many), np.uint8)
+        after = np.arange(1, n + 1)
+        after = after[after & 255 > 0]
+        inner[after, index[after - 1]] = 1
+        step = inner.reshape(blocks, 256, many)
+        for j in range(2, 256):
+            step[:, j] += step[:, j - 1]
+        return lambda k, at: before[at >> 8, k] + inner[at, k], lambda at: (before[at >> 8] + inner[at])[:, 1:]
     sorted_at = np.argsort(index, kind="stable")
     size = len(bwt) + 1
     flat = index[sorted_at] * size + sorted_at
     first = np.searchsorted(flat, np.arange(len(symbols)) * size)
-    return lambda k, at: np.searchsorted(flat, k * size + at) - first[k]
+
+    def rank(k: np.ndarray, at: np.ndarray) -> np.ndarray:
+        return np.searchsorted(flat, k * size + at) - first[k]
+
+    letters = np.arange(1, len(symbols))
+    return rank, lambda at: rank(letters, at[:, None])
 
 
 def common_prefixes(t: np.ndarray, order: np.ndarray, stop: int) -> np.ndarray:
@@ -79,8 +103,8 @@ def common_prefixes(t: np.ndarray, order: np.ndarray, stop: int) -> np.ndarray:
     bwt = t[order - 1]  # of the first suffix the last symbol: t ends with 0
     symbols = np.unique(t)
     starts = np.searchsorted(np.sort(t), symbols)
-    rank, code = _ranks(bwt, symbols), np.searchsorted(symbols, bwt)
-    letters = np.arange(1, len(symbols))[:, None]  # without the separator
+    (rank, ranks), code = _ranks(bwt, symbols), np.searchsorted(symbols, bwt)
+    base = starts[1:]  # without the separator
     lcp = np.full(n + 1, -1, np.int64)
     lcp[: int((t == 0).sum()) + 1] = 0  # separators sort first and differ
     lcp[n] = 0
@@ -102,11 +126,11 @@ def common_prefixes(t: np.ndarray, order: np.ndarray, stop: int) -> np.ndarray:
         los, his = [a[keep]], [b[keep]]
         lo, hi = lo[~alone], hi[~alone]
         for at in range(0, len(lo), 4096):
-            a = rank(letters, lo[None, at : at + 4096]) + starts[letters]
-            b = rank(letters, hi[None, at : at + 4096]) + starts[letters]
-            some = a < b
-            los.append(a[some])
-            his.append(b[some])
+            a = ranks(lo[at : at + 4096])
+            b = ranks(hi[at : at + 4096])
+            row, letter = np.nonzero(a < b)
+            los.append(a[row, letter] + base[letter])
+            his.append(b[row, letter] + base[letter])
         lo, hi = np.concatenate(los), np.concatenate(his)
     out = lcp[:n].copy()
     out[out < 0] = stop
@@ -117,11 +141,11 @@ def judge(window: int):
     def run(groups: list[list[Segment]]) -> Iterator[tuple[tuple[int, int, int], int, int]]:
         hard = []
         for g in groups:
-            if len(g) == 1 and not g[0][2]:
-                _, n, _, at = g[0]
+            # whatever a segment's later occurrences hold started in its first one
+            for _, n, _, at in g:
                 for o in at[1:]:
                     yield o, 0, n
-            else:
+            if len(g) > 1 or g[0][2]:
                 hard.append(g)
         if not hard:
             return
@@ -140,27 +164,18 @@ def judge(window: int):
         valid = i < windows[s]
         s, i, run_id = s[valid], i[valid], run_id[valid]
         # equal windows of one group: groups differ in their key, so equal windows never lie in two
-        bounds = np.flatnonzero(np.r_[True, run_id[1:] != run_id[:-1]]).tolist() + [len(run_id)]
-        many = np.array([len(x[3]) > 1 for x in segs])
-        todo: dict[tuple[int, int, int], list[int]] = {}
-        s_list, i_list = s.tolist(), i.tolist()
-        for a, b in zip(bounds, bounds[1:], strict=False):
-            if b - a == 1 and not many[s_list[a]]:
-                continue
-            found = sorted({((o[0], o[1], o[2] + i_list[j]), o, i_list[j]) for j in range(a, b) for o in segs[s_list[j]][3]})
-            first = found[0][0]
-            for where, o, k in found:
-                if where != first:
-                    todo.setdefault(o, []).append(k)
-        for o, ks in todo.items():
-            ks = sorted(set(ks))
-            a = prev = ks[0]
-            for k in ks[1:]:
-                if k != prev + 1:
-                    yield o, a, prev - a + 1
-                    a = k
-                prev = k
-            yield o, a, prev - a + 1
+        firsts = [x[3][0] for x in segs]
+        doc_rank = {d: k for k, d in enumerate(sorted({o[:2] for o in firsts}))}
+        where = np.array([doc_rank[o[:2]] << 32 | o[2] for o in firsts])[s] + i
+        bounds = np.flatnonzero(np.r_[True, run_id[1:] != run_id[:-1]])
+        earliest = np.minimum.reduceat(where, bounds)
+        later = where != np.repeat(earliest, np.diff(np.r_[bounds, len(where)]))
+        marked = np.sort(s[later] << 32 | i[later])
+        if not len(marked):
+            return
+        start = np.flatnonzero(np.r_[True, marked[1:] != marked[:-1] + 1])
+        for m, n in zip(marked[start].tolist(), np.diff(np.r_[start, len(marked)]).tolist(), strict=True):
+            yield firsts[m >> 32], m & 0xFFFFFFFF, n
 
     return run
 
