@@ -103,3 +103,13 @@ def distance_to_previous(cells: DataFrame, mask: DataFrame, order: DataFrame, ra
     spread = spread.select("p", F.col("r").alias("r0"), F.col("c").alias("c0"), F.col("prev"), (F.col("r") + F.col("o.dr")).alias("r"), (F.col("c") + F.col("o.dc")).alias("c"), (F.col("o.dr") * F.col("o.dr") + F.col("o.dc") * F.col("o.dc")).alias("d2"))
     hit = spread.join(mask.withColumnRenamed("p", "prev"), ["prev", "r", "c"])
     return hit.groupBy("p", "r0", "c0").agg(F.min("d2").alias("d2")).select("p", F.col("r0").alias("r"), F.col("c0").alias("c"), "d2")
+
+
+def normalised_smooth(cells: DataFrame, at: DataFrame, sigma: float) -> DataFrame:
+    """(p, r, c, v) for each cell of at: the Gaussian mean of v over the cells around that have one; 0 where none has."""
+    both = cells.select("p", "r", "c", "v", F.lit(1.0).alias("n"))
+    kernel = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(w).alias("w")) for k, w in gaussian_weights(sigma)])).alias("g")
+    for axis, other in (("c", "r"), ("r", "c")):
+        spread = both.select("p", other, axis, "v", "n", kernel).select("p", other, (F.col(axis) + F.col("g.k")).alias(axis), (F.col("v") * F.col("g.w")).alias("v"), (F.col("n") * F.col("g.w")).alias("n"))
+        both = spread.groupBy("p", "r", "c").agg(F.sum("v").alias("v"), F.sum("n").alias("n"))
+    return at.select("p", "r", "c").join(both, ["p", "r", "c"], "left").select("p", "r", "c", F.coalesce(F.try_divide("v", "n"), F.lit(0.0)).alias("v"))

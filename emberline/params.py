@@ -22,6 +22,8 @@ DEFAULT_AREA = {"MODIS": 1.0, "VIIRS": 0.140625}
 FRONT_MAX_GAP_H, FRONT_MIN_POINTS = 3.0, 10
 FRONT_MAX_M, SPEED_SCALE = 2000.0, 0.25
 FALLBACK_DISTANCE = 600.0
+CORRESPONDENCE_FACTOR, CORRESPONDENCE_M = 1.5, (1000.0, 2500.0)
+SPEED_SIGMA_CELLS, MIN_COHERENT, UNCERTAINTY_FACTOR = 1.5, 0.25, 0.5
 SNAPSHOT_HOURS = 6
 CONTINUITY_M, FOOTPRINT = 3000.0, {"VIIRS": 300.0, "MODIS": 750.0}
 LAND_FRACTION = 0.50

@@ -23,7 +23,12 @@ _COMP = f"{_ROBUST.replace('WITH', 'WITH RECURSIVE', 1)}, rc AS (SELECT p, r, c,
 _MASK = f"{_COMP}, big AS (SELECT p, label FROM lab GROUP BY p, label HAVING count(*) >= 4), mk AS (SELECT lab.p, k // 100000 AS r, k % 100000 AS c FROM lab JOIN big USING (p, label))"
 _ORDER = f"{_MASK}, ps AS (SELECT slot AS p, count(*) AS n, (min(m) + max(m)) / 120.0 AS hours FROM det GROUP BY slot), od AS (SELECT *, lag(p) OVER (ORDER BY p) AS prev, lag(n) OVER (ORDER BY p) AS n_prev, hours - lag(hours) OVER (ORDER BY p) AS gap FROM ps)"
 _BOUND = f"{_ORDER}, bd AS (SELECT a.p, a.r, a.c FROM mk a JOIN mk b ON a.p = b.p AND abs(a.r - b.r) <= 1 AND abs(a.c - b.c) <= 1 GROUP BY a.p, a.r, a.c HAVING count(*) < 9)"
-_DIST = f"{_BOUND}, ds AS (SELECT a.p, a.r, a.c, min((a.r - b.r) * (a.r - b.r) + (a.c - b.c) * (a.c - b.c)) AS d2 FROM bd a JOIN od USING (p) JOIN mk b ON b.p = od.prev AND abs(a.r - b.r) <= 8 AND (a.r - b.r) * (a.r - b.r) + (a.c - b.c) * (a.c - b.c) <= 64 GROUP BY a.p, a.r, a.c), sp AS (SELECT ds.p, r, c, round(sqrt(d2) * 250 / gap, 6) AS speed FROM ds JOIN od USING (p) WHERE gap > 0)"
+_DIST = f"{_BOUND}, ds AS (SELECT a.p, a.r, a.c, min((a.r - b.r) * (a.r - b.r) + (a.c - b.c) * (a.c - b.c)) AS d2 FROM bd a JOIN od USING (p) JOIN mk b ON b.p = od.prev AND abs(a.r - b.r) <= 8 AND (a.r - b.r) * (a.r - b.r) + (a.c - b.c) * (a.c - b.c) <= 64 GROUP BY a.p, a.r, a.c)"
+_SPEED_WEIGHTS = ", ".join(f"({k}, {w!r})" for k, w in grid.gaussian_weights(P.SPEED_SIGMA_CELLS))
+_FRONT = f"""{_DIST}, sp AS (SELECT ds.p, r, c, round(sqrt(d2) * 250 / gap, 6) AS speed FROM ds JOIN od USING (p) WHERE d2 <= 16 AND gap > 0 AND gap <= 3 AND n >= 10 AND n_prev >= 10),
+fr AS (SELECT bd.p, count(sp.speed) / count(*) AS fraction FROM bd LEFT JOIN sp USING (p, r, c) GROUP BY bd.p), sw(k, sw) AS (VALUES {_SPEED_WEIGHTS}),
+s1 AS (SELECT p, r, c + k AS c, sum(speed * sw) AS v, sum(sw) AS n FROM sp CROSS JOIN sw GROUP BY ALL), s2 AS (SELECT p, r + k AS r, c, sum(v * sw) AS v, sum(n * sw) AS n FROM s1 CROSS JOIN sw GROUP BY ALL),
+ss AS (SELECT p, r, c, round(coalesce(v / n, 0), 6) AS speed FROM bd LEFT JOIN s2 USING (p, r, c))"""
 
 
 def evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,12 +90,37 @@ def mask_boundary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grid.boundary(masks(spark, sf_dir))
 
 
-def _distances(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+def _distances(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Masks, their boundaries, and the boundary cells' squared distances to the mask of the pass before."""
     m, order = masks(spark, sf_dir), pass_order(spark, sf_dir)
     b = grid.boundary(m)
-    d = grid.distance_to_previous(b, m, order.select("p", "prev").filter("prev IS NOT NULL"))
-    s = d.join(order.select("p", "gap"), "p").filter("gap > 0").select("p", "r", "c", F.round(F.sqrt("d2") * P.CELL / F.col("gap"), 6).alias("speed"))
-    return m, b, d, s
+    return m, b, grid.distance_to_previous(b, m, order.select("p", "prev").filter("prev IS NOT NULL"))
+
+
+def correspondence_m(distance: float = P.FALLBACK_DISTANCE) -> float:
+    """How far from the mask before a boundary cell may lie to correspond with it, by the pass's characteristic distance."""
+    low, high = P.CORRESPONDENCE_M
+    return min(high, max(low, P.CORRESPONDENCE_FACTOR * distance))
+
+
+def _usable() -> Column:
+    """Whether a pass can be compared with the one before."""
+    return (F.col("gap") > 0) & (F.col("gap") <= P.FRONT_MAX_GAP_H) & (F.col("n") >= P.FRONT_MIN_POINTS) & (F.col("n_prev") >= P.FRONT_MIN_POINTS)
+
+
+def _front(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Masks, boundaries, the corresponding boundary cells' speeds in metres an hour, and each pass's share of such cells."""
+    m, b, d = _distances(spark, sf_dir)
+    order = pass_order(spark, sf_dir).filter(_usable()).select("p", "gap")
+    near = d.filter(F.sqrt("d2") * P.CELL <= correspondence_m())
+    s = near.join(order, "p").select("p", "r", "c", F.round(F.sqrt("d2") * P.CELL / F.col("gap"), 6).alias("speed"))
+    share = b.join(s, ["p", "r", "c"], "left").groupBy("p").agg((F.count("speed") / F.count("*")).alias("fraction"))
+    return m, b, s, share
+
+
+def _smoothed(speeds: DataFrame, boundary: DataFrame) -> DataFrame:
+    s = grid.normalised_smooth(speeds.withColumnRenamed("speed", "v"), boundary, P.SPEED_SIGMA_CELLS)
+    return s.select("p", "r", "c", F.round("v", 6).alias("speed"))
 
 
 @query(f"{_DIST} SELECT p, r, c, CAST(d2 AS BIGINT) AS d2 FROM ds")
@@ -105,30 +135,37 @@ def masks_within_2000m(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grid.distance_to_previous(m, m, order).groupBy("p").agg(F.count("*").alias("n"))
 
 
-@query(f"{_DIST} SELECT p, r, c, speed FROM sp")
+@query(f"{_FRONT} SELECT p, r, c, speed FROM sp")
 def boundary_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _distances(spark, sf_dir)[3]
+    return _front(spark, sf_dir)[2]
+
 
+@query(f"{_FRONT} SELECT p, r, c, speed FROM ss WHERE speed > 0")
+def smoothed_boundary_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boundary cells' speeds by normalised convolution; cells that no speed reaches have none."""
+    _, b, s, _ = _front(spark, sf_dir)
+    return _smoothed(s, b).filter("speed > 0")
 
-@query(f"{_DIST} SELECT bd.p, round(count(ds.d2) / count(*), 6) AS fraction FROM bd LEFT JOIN ds USING (p, r, c) GROUP BY bd.p")
+
+@query(f"{_FRONT} SELECT p, round(fraction, 6) AS fraction FROM fr")
 def coherent_fraction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, b, d, _ = _distances(spark, sf_dir)
-    return b.join(d, ["p", "r", "c"], "left").groupBy("p").agg(F.round(F.count("d2") / F.count("*"), 6).alias("fraction"))
+    return _front(spark, sf_dir)[3].select("p", F.round("fraction", 6).alias("fraction"))
 
 
-@query(f"{_DIST} SELECT p, round(quantile_cont(speed, 0.5) / 1000, 6) AS median_kmh, round(quantile_cont(speed, 0.9) / 1000, 6) AS p90_kmh FROM sp WHERE speed > 0 GROUP BY p")
+@query(f"{_FRONT} SELECT p, round(quantile_cont(speed, 0.5) / 1000, 6) AS median_kmh, round(quantile_cont(speed, 0.9) / 1000, 6) AS p90_kmh FROM ss WHERE speed > 0 GROUP BY p")
 def speed_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = _distances(spark, sf_dir)[3].filter("speed > 0")
+    s = smoothed_boundary_speed(spark, sf_dir)
     return s.groupBy("p").agg(F.round(F.percentile("speed", 0.5) / 1000, 6).alias("median_kmh"), F.round(F.percentile("speed", 0.9) / 1000, 6).alias("p90_kmh"))
 
 
 def _projected(hours: int, halo: float) -> str:
-    return f"""{_DIST}, nb AS (SELECT sp.p, sp.r + o.i AS r, sp.c + o.j AS c, arg_min(speed, (o.i * o.i + o.j * o.j, sp.r, sp.c)) AS speed, min(o.i * o.i + o.j * o.j) AS d2 FROM sp JOIN (SELECT i, j FROM range(-11, 12) t(i), range(-11, 12) u(j) WHERE i * i + j * j <= 121) o ON true GROUP BY 1, 2, 3),
-pj AS (SELECT p, r, c FROM mk UNION SELECT p, r, c FROM nb WHERE speed > 0 AND sqrt(d2) * 250 <= least(speed * {hours} * 0.25, 2000.0) + {halo}) SELECT p, count(*) AS cells, round(count(*) * 0.0625, 4) AS area_km2 FROM pj GROUP BY p"""
+    return f"""{_FRONT}, el AS (SELECT p FROM fr WHERE fraction >= 0.25), nb AS (SELECT ss.p, ss.r + o.i AS r, ss.c + o.j AS c, arg_min(speed, (o.i * o.i + o.j * o.j, ss.r, ss.c)) AS speed, min(o.i * o.i + o.j * o.j) AS d2 FROM ss SEMI JOIN el USING (p) JOIN (SELECT i, j FROM range(-11, 12) t(i), range(-11, 12) u(j) WHERE i * i + j * j <= 121) o ON true GROUP BY 1, 2, 3),
+pj AS (SELECT p, r, c FROM mk SEMI JOIN el USING (p) UNION SELECT p, r, c FROM nb WHERE speed > 0 AND sqrt(d2) * 250 <= least(speed * {hours} * 0.25, 2000.0) + {halo}) SELECT p, count(*) AS cells, round(count(*) * 0.0625, 4) AS area_km2 FROM pj GROUP BY p"""
 
 
 def project(mask: DataFrame, speeds: DataFrame, hours: int, halo: float = 0.0) -> DataFrame:
-    """mask and the cells that the nearest boundary cell's scaled speed reaches within hours, plus halo metres."""
+    """mask and the cells that the nearest boundary cell's scaled speed reaches within hours, plus halo metres; of boundary
+    cells as near the one with the smallest row and column counts. speeds has all boundary cells."""
     o = F.col("o.dr") * F.col("o.dr") + F.col("o.dc") * F.col("o.dc")
     near = speeds.select("p", "r", "c", "speed", grid.offsets(grid.disc(11))).select("p", (F.col("r") + F.col("o.dr")).alias("r1"), (F.col("c") + F.col("o.dc")).alias("c1"), F.struct(o.alias("d2"), "r", "c", "speed").alias("k"))
     best = near.groupBy("p", "r1", "c1").agg(F.min("k").alias("k")).filter((F.col("k.speed") > 0) & (F.sqrt("k.d2") * P.CELL <= F.least(F.col("k.speed") * hours * P.SPEED_SCALE, F.lit(P.FRONT_MAX_M)) + halo))
@@ -139,33 +176,43 @@ def _areas(cells: DataFrame) -> DataFrame:
     return cells.groupBy("p").agg(F.count("*").alias("cells"), F.round(F.count("*") * P.CELL_AREA_KM2, 4).alias("area_km2"))
 
 
+def _project_front(spark: SparkSession, sf_dir: str, hours: int, halo: float = 0.0) -> DataFrame:
+    """Projections of the passes whose boundary corresponds well enough with the mask before."""
+    m, b, s, share = _front(spark, sf_dir)
+    well = share.filter(F.col("fraction") >= P.MIN_COHERENT).select("p")
+    return _areas(project(m.join(well, "p", "left_semi"), _smoothed(s, b).join(well, "p", "left_semi"), hours, halo))
+
+
 @query(_projected(1, 0.0))
 def front_projection_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m, _, _, s = _distances(spark, sf_dir)
-    return _areas(project(m, s, 1))
+    return _project_front(spark, sf_dir, 1)
+
+
+@query(_projected(3, 0.0))
+def front_projection_3h(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _project_front(spark, sf_dir, 3)
 
 
-@query(_projected(3, 0.5 * P.FALLBACK_DISTANCE))
+@query(_projected(1, P.UNCERTAINTY_FACTOR * P.FALLBACK_DISTANCE))
+def front_uncertainty_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _project_front(spark, sf_dir, 1, P.UNCERTAINTY_FACTOR * P.FALLBACK_DISTANCE)
+
+
+@query(_projected(3, P.UNCERTAINTY_FACTOR * P.FALLBACK_DISTANCE))
 def front_uncertainty_3h(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m, _, _, s = _distances(spark, sf_dir)
-    return _areas(project(m, s, 3, 0.5 * P.FALLBACK_DISTANCE))
+    return _project_front(spark, sf_dir, 3, P.UNCERTAINTY_FACTOR * P.FALLBACK_DISTANCE)
 
 
 def confidence(gap: Column, n: Column, fraction: Column) -> Column:
-    """The four levels, by fixed limits on gap, observations and coherence."""
+    """The levels, by fixed limits on gap, the smaller number of observations of the two passes, and coherence."""
     return F.when((gap <= 1.5) & (n >= 50) & (fraction >= 0.60), "élevée").when((gap <= 3) & (n >= 20) & (fraction >= 0.40), "moyenne").otherwise("faible")
 
 
-_FRACTION = f"{_DIST}, fr AS (SELECT bd.p, count(ds.d2) / count(*) AS fraction FROM bd LEFT JOIN ds USING (p, r, c) GROUP BY bd.p)"
-
-
-@query(f"{_FRACTION} SELECT od.p, CASE WHEN fraction IS NULL OR gap IS NULL OR gap <= 0 OR gap > 3 OR n < 10 OR n_prev < 10 THEN 'indisponible' WHEN gap <= 1.5 AND n >= 50 AND fraction >= 0.60 THEN 'élevée' WHEN gap <= 3 AND n >= 20 AND fraction >= 0.40 THEN 'moyenne' ELSE 'faible' END AS level FROM od LEFT JOIN fr USING (p)")
+@query(f"{_FRONT} SELECT od.p, CASE WHEN fraction IS NULL OR fraction < 0.25 OR gap IS NULL OR gap <= 0 OR gap > 3 OR n < 10 OR n_prev < 10 THEN 'indisponible' WHEN gap <= 1.5 AND least(n, n_prev) >= 50 AND fraction >= 0.60 THEN 'élevée' WHEN gap <= 3 AND least(n, n_prev) >= 20 AND fraction >= 0.40 THEN 'moyenne' ELSE 'faible' END AS level FROM od LEFT JOIN fr USING (p)")
 def projection_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, b, d, _ = _distances(spark, sf_dir)
-    fraction = b.join(d, ["p", "r", "c"], "left").groupBy("p").agg((F.count("d2") / F.count("*")).alias("fraction"))
-    o = pass_order(spark, sf_dir).join(fraction, "p", "left")
-    usable = F.col("fraction").isNotNull() & (F.col("gap") > 0) & (F.col("gap") <= P.FRONT_MAX_GAP_H) & (F.col("n") >= P.FRONT_MIN_POINTS) & (F.col("n_prev") >= P.FRONT_MIN_POINTS)
-    return o.select("p", F.when(F.coalesce(usable, F.lit(False)), confidence(F.col("gap"), F.col("n"), F.col("fraction"))).otherwise("indisponible").alias("level"))
+    o = pass_order(spark, sf_dir).join(_front(spark, sf_dir)[3], "p", "left")
+    usable = _usable() & (F.col("fraction") >= P.MIN_COHERENT)
+    return o.select("p", F.when(F.coalesce(usable, F.lit(False)), confidence(F.col("gap"), F.least("n", "n_prev"), F.col("fraction"))).otherwise("indisponible").alias("level"))
 
 
 @query()

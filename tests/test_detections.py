@@ -123,3 +123,22 @@ def test_invariants(spark):
     one, three = ({r.p: r.cells for r in q[n](spark, SF).collect()} for n in ("front_projection_1h", "front_uncertainty_3h"))
     assert all(three[p] >= n for p, n in one.items())
     assert not math.isnan(sum(r.distance_regularized_m for r in q["distance_regularized"](spark, SF).collect()))
+
+
+def test_normalised_smooth(spark):
+    cells = spark.createDataFrame([(1, 0, 0, 100.0), (1, 0, 1, 300.0), (1, 0, 30, 7.0)], "p long, r long, c long, v double")
+    at = spark.createDataFrame([(1, 0, 0), (1, 0, 30), (1, 60, 60), (2, 0, 0)], "p long, r long, c long")
+    got = {(r.p, r.r, r.c): r.v for r in grid.normalised_smooth(cells, at, 1.5).collect()}
+    near = math.exp(-0.5 / 1.5**2)
+    assert got[1, 0, 0] == pytest.approx((100 + 300 * near) / (1 + near)) and got[1, 0, 30] == pytest.approx(7)
+    assert got[1, 60, 60] == got[2, 0, 0] == 0
+
+
+def test_projection_stays_without_speed(spark):
+    from emberline.plans import grid_queries
+
+    mask = spark.createDataFrame([(1, 0, 0), (1, 0, 1)], "p long, r long, c long")
+    still = spark.createDataFrame([(1, 0, 0, 0.0), (1, 0, 1, 1000.0)], "p long, r long, c long, speed double")
+    cells = {(r.r, r.c) for r in grid_queries.project(mask, still, 1).collect()}
+    assert cells == {(0, 0), (0, 1), (0, 2)} | {(1, 1), (-1, 1)}
+    assert grid_queries.correspondence_m() == 1000 and grid_queries.correspondence_m(5000) == 2500
