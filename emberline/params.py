@@ -28,3 +28,4 @@ SNAPSHOT_HOURS = 6
 CONTINUITY_M, FOOTPRINT = 3000.0, {"VIIRS": 300.0, "MODIS": 750.0}
 LAND_FRACTION = 0.50
 ALERT_KM2 = 0.01
+ENVELOPE_CELL, CLOSING_M = 50, 100

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import params as P
-from ..operators import envelopes, grid
+from ..operators import envelopes, grid, shapes
 from ..operators.components import linked_clusters
 from ..sources.detections import detections
 from ..sources.tables import materialize
@@ -171,13 +171,51 @@ def audit_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def front_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(p, part, rings, cells, gx, gy): the polygons of each pass's mask and the corner of their grid."""
+    corner = grid.extent(detections(spark, sf_dir))
+    return shapes.polygons(masks(spark, sf_dir)).crossJoin(F.broadcast(corner))  # a single row
+
+
+@query(f"{_MASK} SELECT p, CAST(count(DISTINCT label) AS BIGINT) AS parts, count(*) AS cells FROM lab JOIN big USING (p, label) GROUP BY p")
+def polygon_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of each pass's outline; the cells within it by the rings' own area, holes taken off."""
+    half = lambda ring: F.aggregate(F.sequence(F.lit(1), F.size(ring) - 1), F.lit(0).cast("long"), lambda s, i: s + F.get(ring, i - 1)["x"] * F.get(ring, i)["y"] - F.get(ring, i)["x"] * F.get(ring, i - 1)["y"])
+    inside = F.aggregate(F.transform("rings", half), F.lit(0).cast("long"), lambda s, v: s + v)
+    return shapes.polygons(masks(spark, sf_dir)).withColumn("inside", inside).groupBy("p").agg(F.count("*").alias("parts"), F.sum(F.expr("inside div 2")).alias("cells"))
+
+
 @query()
 def feature_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One GeoJSON feature per pass: its cells' centres as a MultiPoint, row-major, with area and count as properties."""
-    m = masks(spark, sf_dir).groupBy("p").agg(F.sort_array(F.collect_list(F.struct("r", "c"))).alias("cells"))
-    centre = F.transform("cells", lambda k: F.array((k["c"] * P.CELL + 125).cast("double"), (k["r"] * P.CELL + 125).cast("double")))
-    properties = F.struct(F.col("p").alias("snapshot_index"), F.size("cells").alias("cells"), F.bround(F.size("cells") * P.CELL_AREA_KM2, 3).alias("area_km2"))
-    return m.select("p", F.to_json(F.struct(F.lit("Feature").alias("type"), properties.alias("properties"), F.struct(F.lit("MultiPoint").alias("type"), centre.alias("coordinates")).alias("geometry"))).alias("feature"))
+    """One GeoJSON feature per pass: the outline of its cells in degrees, with area and number of cells as properties."""
+    p = front_polygons(spark, sf_dir).withColumn("degrees", shapes.to_degrees(F.col("rings"), F.col("gx"), F.col("gy")))
+    p = p.groupBy("p").agg(F.sum("cells").alias("cells"), F.sort_array(F.collect_list(F.struct("part", "degrees"))).alias("parts"))
+    properties = F.struct(F.col("p").alias("snapshot_index"), "cells", F.bround(F.col("cells") * P.CELL_AREA_KM2, 3).alias("area_km2"))
+    return p.select("p", shapes.feature(properties, F.col("parts.degrees")).alias("feature"))
+
+
+_ENVELOPE = f"""{_SUPPORTED}, sp AS (SELECT cluster, CAST(m AS BIGINT) AS m, x, y, CASE instrument WHEN 'MODIS' THEN 750 ELSE 300 END AS rad FROM cl JOIN su USING (id) JOIN det USING (id)),
+e0 AS (SELECT cluster, r, c, min(m) AS m FROM (SELECT cluster, m, x, y, rad, y // 50 + i AS r, x // 50 + j AS c FROM sp JOIN range(-16, 17) t(i) ON abs((y // 50 + i) * 50 + 25 - y) <= rad CROSS JOIN range(-16, 17) u(j)) WHERE (r * 50 + 25 - y) * (r * 50 + 25 - y) + (c * 50 + 25 - x) * (c * 50 + 25 - x) <= rad * rad GROUP BY cluster, r, c),
+ba AS (SELECT i, j FROM range(-2, 3) t(i), range(-2, 3) u(j) WHERE i * i + j * j <= 4), e1 AS (SELECT cluster, r + i AS r, c + j AS c, min(m) AS m FROM e0 CROSS JOIN ba GROUP BY ALL), e2 AS (SELECT cluster, r + i AS r, c + j AS c, max(m) AS m FROM e1 CROSS JOIN ba GROUP BY ALL HAVING count(*) = 13)"""
+
+
+def _envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shapes.envelope_times(envelopes.same_pass_supported(_clustered(spark, sf_dir)).withColumn("m", F.col("m").cast("long")))
+
+
+@query(f"{_ENVELOPE} SELECT cluster, m, round(sum(count(*)) OVER (PARTITION BY cluster ORDER BY m) * 0.0025, 4) AS area_km2 FROM e2 GROUP BY cluster, m")
+def envelope_area(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The closed envelope's area after each moment at which it grows."""
+    grown = _envelope(spark, sf_dir).groupBy("cluster", "m").agg(F.count("*").alias("k"))
+    total = F.sum("k").over(Window.partitionBy("cluster").orderBy("m"))
+    return grown.select("cluster", "m", F.round(total * (P.ENVELOPE_CELL**2 / 1e6), 4).alias("area_km2"))
+
+
+@query(f"{_ENVELOPE}, h AS (SELECT cluster, count(*) AS total, count(*) FILTER (WHERE m <= 1440 * 7) AS week FROM e2 GROUP BY cluster) SELECT cluster, round(week / total, 6) AS iou, round((total - week) * 0.0025, 4) AS added_km2 FROM h")
+def envelope_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Intersection over union, and difference, of each cluster's envelope after a week and at the end."""
+    e = _envelope(spark, sf_dir).groupBy("cluster").agg(F.count("*").alias("total"), F.count_if(F.col("m") <= 1440 * 7).alias("week"))
+    return e.select("cluster", F.round(F.col("week") / F.col("total"), 6).alias("iou"), F.round((F.col("total") - F.col("week")) * (P.ENVELOPE_CELL**2 / 1e6), 4).alias("added_km2"))
 
 
 @query()

@@ -7,7 +7,7 @@ import pytest
 
 from emberline import catalog
 from emberline.functions import geo
-from emberline.operators import grid, passes, progression
+from emberline.operators import grid, passes, progression, shapes
 from emberline.plans import support_queries
 
 SF = "/root/testdata/sf0.001"
@@ -142,3 +142,47 @@ def test_projection_stays_without_speed(spark):
     cells = {(r.r, r.c) for r in grid_queries.project(mask, still, 1).collect()}
     assert cells == {(0, 0), (0, 1), (0, 2)} | {(1, 1), (-1, 1)}
     assert grid_queries.correspondence_m() == 1000 and grid_queries.correspondence_m(5000) == 2500
+
+
+def test_rings():
+    square = {(r, c) for r in range(3) for c in range(3)}
+    assert shapes.rings(square) == [[(3, 0), (3, 3), (0, 3), (0, 0), (3, 0)]] or shapes.area2(shapes.rings(square)[0]) == 18
+    outer, hole = shapes.rings(square - {(1, 1)})
+    assert shapes.area2(outer) == 18 and shapes.area2(hole) == -2 and len(hole) == 5
+    # a hole that touches the outside at a corner is a hole of its own; no ring meets itself
+    ring = {(r, c) for r in range(4) for c in range(4)} - {(1, 1), (0, 0)}
+    found = shapes.rings(ring)
+    assert [shapes.area2(x) for x in found] == [30, -2] and all(len(set(x)) == len(x) - 1 for x in found)
+
+
+def test_rings_cover_their_cells():
+    import random
+
+    rng = random.Random(5)
+    for _ in range(60):
+        cells = {(rng.randrange(9), rng.randrange(9)) for _ in range(50)}
+        label = grid.label_cells(cells)
+        for root in set(label.values()):
+            part = {k for k, v in label.items() if v == root}
+            found = shapes.rings(part)
+            assert sum(map(shapes.area2, found)) == 2 * len(part) and [shapes.area2(x) > 0 for x in found] == [True] + [False] * (len(found) - 1)
+            assert all(len(set(x)) == len(x) - 1 for x in found)
+
+
+def test_envelope_times(spark):
+    pts = spark.createDataFrame([(1, 0, 25, 25, "VIIRS"), (1, 60, 725, 25, "VIIRS"), (1, 90, 25, 25, "VIIRS"), (2, 5, 25, 25, "MODIS")], "cluster long, m long, x long, y long, instrument string")
+    got = {(r.cluster, r.r, r.c): r.m for r in shapes.envelope_times(pts).collect()}
+    one = len(grid.disc(6))
+    assert sum(k[0] == 1 and m == 0 for k, m in got.items()) == one and sum(k[0] == 2 for k in got) == len(grid.disc(15))
+    assert got[1, 0, 7] == 60  # the gap between two discs is closed once both are there
+    assert got[1, 0, 0] == 0 and (1, 6, 7) not in got
+
+
+def test_feature_is_a_polygon(spark):
+    import json
+
+    row = catalog.queries()["feature_json"](spark, SF).filter("p = 3").first()
+    shape = json.loads(row.feature)["geometry"]
+    assert shape["type"] == "MultiPolygon" and shape["coordinates"][0][0][0] == shape["coordinates"][0][0][-1]
+    lon, lat = shape["coordinates"][0][0][0]
+    assert -4 < lon < 2 and 42 < lat < 47
