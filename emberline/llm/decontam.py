@@ -126,8 +126,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def drop_leaked(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs without a leak, with their columns."""
     leaked = find_leaks(docs, benchmark).select(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie")).distinct()
-    keyed = F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col("_tie")
-    return docs.join(leaked, keyed & docs["doc_id"].cast("long").eqNullSafe(F.col("_id")), "left_anti")
+    keyed = F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == leaked["_tie"]
+    return docs.join(leaked, keyed & docs["doc_id"].cast("long").eqNullSafe(leaked["_id"]), "left_anti")
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

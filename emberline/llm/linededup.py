@@ -9,7 +9,8 @@ Keys are 128-bit hashes, so that no two different lines are taken for each other
 to meet the positions of their dropped lines.
 
 Nulls and odd input: a null or empty text is one empty line; a null doc_id counts as one document after all others; rows
-that share a doc_id are one document; input columns named n_lines or n_dropped are replaced, others are kept.
+that share a doc_id are one document; where counts are asked for, input columns of their
+names are replaced; others are kept.
 """
 
 from __future__ import annotations
@@ -75,9 +76,10 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("rest"), pa.array(kept, pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())], names=["rest", "text", "n_lines", "n_dropped"])
 
 
-def dedup_lines(docs: DataFrame, batches: int = BATCHES, min_chars: int = MIN_CHARS, fanout: int = FANOUT) -> DataFrame:
-    """docs with the kept lines as text, and n_lines (before) and n_dropped."""
-    rest = [c for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
+def dedup_lines(docs: DataFrame, batches: int = BATCHES, min_chars: int = MIN_CHARS, fanout: int = FANOUT, counts: bool = True) -> DataFrame:
+    """docs with the kept lines as text and, with counts, n_lines (before) and n_dropped."""
+    added = ("n_lines", "n_dropped") if counts else ()
+    rest = [c for c in docs.columns if c not in ("text", *added)]
     ordinal = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST))
     src = docs.select(ordinal.alias("ord"), F.coalesce("text", F.lit("")).alias("text"), F.struct(*rest).alias("rest")).withColumn("tie", F.xxhash64("text"))
     cuts = sorted(set(docs.select(ordinal.cast("double").alias("ord")).approxQuantile("ord", [i / batches for i in range(1, batches)], 0.001)))
@@ -90,8 +92,8 @@ def dedup_lines(docs: DataFrame, batches: int = BATCHES, min_chars: int = MIN_CH
     met = src.join(drop.hint("shuffle_hash"), ["ord", "tie"], "left").select("rest", "text", "drop")
     kind = met.schema["rest"].dataType.simpleString()
     done = met.mapInArrow(_assemble, f"rest {kind}, text string, n_lines long, n_dropped long")
-    first = [F.col("text") if c == "text" else F.col(f"rest.`{c}`").alias(c) for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    return done.select(*first, "n_lines", "n_dropped")
+    first = [F.col("text") if c == "text" else F.col(f"rest.`{c}`").alias(c) for c in docs.columns if c not in added]
+    return done.select(*first, *added)
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -53,22 +53,22 @@ def simhash(parts: list[bytes]) -> int:
     return int(np.packbits(total * 2 > len(parts), bitorder="little").view("<u8")[0])
 
 
-_OUT = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+_OUT = pa.schema([("doc_id", pa.int64()), ("tie", pa.int64()), ("fp", pa.int64())])
 
 
 def _fingerprints(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.array([simhash(shingles(t, k)) for t in batch.column("text").to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps)], schema=_OUT)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tie"), pa.array(fps)], schema=_OUT)
 
     return run
 
 
 def fingerprints(docs: DataFrame, k: int = 3) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long of each row of docs."""
-    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return src.mapInArrow(_fingerprints(k), "doc_id long, fp long")
+    """(doc_id, tie, fp): the fingerprint as a signed long of each row of docs, and a hash of its text."""
+    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
+    return src.mapInArrow(_fingerprints(k), "doc_id long, tie long, fp long")
 
 
 def ball_points(radius: int = 1, bits: int = 64, segments: int = SEGMENTS) -> list[int]:
@@ -89,18 +89,24 @@ def link_classes(classes: DataFrame) -> DataFrame:
     return found.filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("first.fp"))) <= 2).select(F.col("node").alias("src"), F.col("first.node").alias("dst")).distinct()
 
 
-def near_duplicates(docs: DataFrame, k: int = 3) -> DataFrame:
-    """(doc_id, fingerprint, component_id) of every row; links are at two differing bits or fewer."""
+def _grouped(docs: DataFrame, k: int) -> DataFrame:
+    """(doc_id, tie, fp, component_id) of every row."""
     fps = materialize(fingerprints(docs, k), "simhash")
     classes = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("node")), "simhash-classes")
     found = connected_components(link_classes(classes.filter("node IS NOT NULL")))
     labels = classes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return fps.join(labels, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return fps.join(labels, "fp").select("doc_id", "tie", "fp", "component_id")
+
+
+def near_duplicates(docs: DataFrame, k: int = 3) -> DataFrame:
+    """(doc_id, fingerprint, component_id) of every row; links are at two differing bits or fewer."""
+    return _grouped(docs, k).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def keep_first(docs: DataFrame, k: int = 3) -> DataFrame:
-    """One row of docs for each group of near-duplicates, the one with the smallest doc_id (of rows that share it, the one
-    whose text has the smallest hash); rows with a null doc_id all stay. Empty texts are one group."""
-    groups = near_duplicates(docs, k).filter(F.col("doc_id").isNotNull())
-    gone = groups.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col("_id"), "left_anti")
+    """The document of each group of near-duplicates with the smallest doc_id; all of docs' rows and columns otherwise.
+    Rows equal in id and text stay or go together, and so do rows of one group that share its smallest id; rows with a null
+    doc_id all stay. Empty texts are one group."""
+    gone = _grouped(docs, k).filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie")).distinct()
+    keyed = F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == gone["_tie"]
+    return docs.join(gone, keyed & (docs["doc_id"].cast("long") == gone["_id"]), "left_anti")

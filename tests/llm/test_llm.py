@@ -241,3 +241,48 @@ def test_pipeline(spark):
 def test_zstd_is_used():
     good, bad = (zstandard.ZstdCompressor(level=3) for _ in range(2))
     assert quality.size_difference(b"abc" * 500, good, bad) == 0 and quality.shape("Hello, x1 worldwideword") == b"b, a0 c"
+
+
+CLASHING = ["_id", "_keep", "component_id", "fingerprint", "fp", "score", "key", "line", "pos", "n_dropped", "n_lines", "item_id", "start", "similarity", "quality", "held_out", "predicted", "label", "ids", "node", "ord", "tie", "kept", "row", "t", "w", "h"]
+
+
+def _odd(spark, rows):
+    return spark.createDataFrame([(*r, *["clash"] * len(CLASHING)) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in CLASHING))
+
+
+@pytest.mark.parametrize("k", range(5))
+def test_stages_with_odd_rows(spark, k):
+    """Nulls in any column, empty and long texts, repeated rows, clashing extra columns: columns stay, no row is made up."""
+    import corpus_pipeline
+
+    long = " ".join(f"w{i % 977}x{i % 13}" for i in range(60_000))
+    rows = [(1, None, None, None, None), (None, "a null id with some words in it", None, "s", 3), (None, None, None, None, None), (2, "", "en", "s", 0), (3, long, "en", "s", 1), (4, long, None, None, None), (5, "same row", "en", "s", 8), (5, "same row", "en", "s", 8), (6, "Line that repeats\nother", "en", "s", 1), (7, "line that repeats\n", "en", "s", 1)]
+    name, stage = corpus_pipeline.STAGES[k]
+    docs = _odd(spark, rows)
+    out = stage(spark, docs, SF).collect()
+    if name == "pack":
+        assert {r.doc_id for r in out} == {None, *range(1, 8)}
+        return
+    assert out is not None and (not out or out[0].__fields__ == docs.columns)
+    inputs = {(r[0], *r[5:]) for r in docs.collect()}
+    assert {(r[0], *r[5:]) for r in out} <= inputs and len(out) <= len(rows)
+    if name == "line_dedup":
+        kept = {r.doc_id: r for r in out if r.doc_id is not None}
+        assert len(out) == len(rows) and kept[7].text == "" and kept[6].text == "Line that repeats\nother" and kept[4].text == "" and kept[3].text == long
+    if name == "simhash_near_dedup":
+        assert sorted(r.doc_id for r in out if r.doc_id is not None) == [1, 3, 5, 5, 6, 7] and sum(r.doc_id is None for r in out) == 2
+    if name == "benchmark_decontamination":
+        assert len(out) == len(rows)
+
+
+@pytest.mark.parametrize("k", range(5))
+def test_stages_with_no_rows(spark, k):
+    import corpus_pipeline
+
+    assert corpus_pipeline.STAGES[k][1](spark, _odd(spark, []), SF).count() == 0
+
+
+def test_keep_first_of_rows_that_share_an_id(spark):
+    rows = [(2, "some words that make a text"), (5, "some words that make a text"), (5, "something else that only this row says"), (6, "something else that only this row says")]
+    out = simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, out)) == [rows[0], rows[2]]
