@@ -89,24 +89,22 @@ def link_classes(classes: DataFrame) -> DataFrame:
     return found.filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("first.fp"))) <= 2).select(F.col("node").alias("src"), F.col("first.node").alias("dst")).distinct()
 
 
-def _grouped(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, tie, fp, component_id) of every row."""
+def near_duplicates(docs: DataFrame, k: int = 3) -> DataFrame:
+    """(doc_id, fingerprint, component_id) of every row; links are at two differing bits or fewer."""
     fps = materialize(fingerprints(docs, k), "simhash")
     classes = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("node")), "simhash-classes")
     found = connected_components(link_classes(classes.filter("node IS NOT NULL")))
     labels = classes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return fps.join(labels, "fp").select("doc_id", "tie", "fp", "component_id")
+    return fps.join(labels, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def near_duplicates(docs: DataFrame, k: int = 3) -> DataFrame:
-    """(doc_id, fingerprint, component_id) of every row; links are at two differing bits or fewer."""
-    return _grouped(docs, k).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
-
-
-def keep_first(docs: DataFrame, k: int = 3) -> DataFrame:
+def keep_first(docs: DataFrame, k: int = 5) -> DataFrame:
     """The document of each group of near-duplicates with the smallest doc_id; all of docs' rows and columns otherwise.
-    Rows equal in id and text stay or go together, and so do rows of one group that share its smallest id; rows with a null
-    doc_id all stay. Empty texts are one group."""
-    gone = _grouped(docs, k).filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie")).distinct()
+    Near-duplicates are at a similarity of 0.8 in k-word shingles or more, directly or through others (see similar.py); the
+    two bits of near_duplicates are the query's own contract. Rows equal in id and text stay or go together, and so do rows
+    of one group that share its smallest id; rows with a null doc_id all stay. Empty texts are one group."""
+    from .similar import similar_groups
+
+    gone = similar_groups(docs, k).filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie")).distinct()
     keyed = F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == gone["_tie"]
     return docs.join(gone, keyed & (docs["doc_id"].cast("long") == gone["_id"]), "left_anti")

@@ -286,3 +286,33 @@ def test_keep_first_of_rows_that_share_an_id(spark):
     rows = [(2, "some words that make a text"), (5, "some words that make a text"), (5, "something else that only this row says"), (6, "something else that only this row says")]
     out = simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(map(tuple, out)) == [rows[0], rows[2]]
+
+
+def test_keep_first_at_similarity_four_fifths(spark):
+    """Against brute force: copies with words changed, many of them of one text, repeated shingles and short texts."""
+    rng = random.Random(11)
+    texts = []
+    for n in (5, 9, 30, 60, 200, 200):
+        base = [f"w{rng.randrange(400)}" for _ in range(n)]
+        for _ in range(12):
+            copy = list(base)
+            for _ in range(rng.randrange(1 + n // 25)):
+                copy[rng.randrange(n)] = f"x{rng.randrange(9999)}"
+            texts.append(" ".join(copy + [f"t{rng.randrange(99)}"] * rng.randrange(3)))
+    texts += ["Ber " * n for n in (40, 44, 60)] + ["one Two three", "one two  three", "one two", "", " "]
+    rng.shuffle(texts)
+
+    def bag(t):
+        w = t.lower().split()
+        return Counter(" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else Counter()
+
+    bags = [bag(t) for t in texts]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            both = sum((bags[i] & bags[j]).values())
+            if bags[i] == bags[j] or both * 10 >= 8 * (sum(bags[i].values()) + sum(bags[j].values()) - both):
+                old, new = max(root[i], root[j]), min(root[i], root[j])
+                root = [new if r == old else r for r in root]
+    got = {r.doc_id for r in simhash.keep_first(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)).collect()}
+    assert got == set(root) and len(got) < len(texts) - 20
