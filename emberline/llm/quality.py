@@ -4,9 +4,9 @@ A text is reduced to its word shapes (runs of letters by length class, digits al
 and each block is compressed under both dictionaries. The difference of the two total sizes over their sum, one number per
 whole text, becomes a probability by logistic calibration on labelled rows that the dictionaries have not seen.
 
-Learning reads a bounded sample of the labelled rows (SAMPLE_ROWS of each class for the dictionaries and for the
-calibration, chosen by a hash of doc_id, and SAMPLE_BYTES of text in all), so the model's size doesn't depend on the
-corpus. Scoring reads every whole text.
+Learning reads a bounded number of labelled rows (SAMPLE_ROWS of each class for the dictionaries and for the calibration,
+chosen by a hash of doc_id). Calibration measures their whole texts, on the executors, as scoring does. The dictionaries
+learn from whole texts too; only if those are over SAMPLE_BYTES in all, each gives blocks spread evenly over its length.
 
 Nulls and odd input: null and empty texts get the score of a difference of zero; labels that are null are ignored, the
 lowest of repeated labels counts; without rows of both labels each score is the share of label 1, or 0.5 without labels.
@@ -26,6 +26,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ._shared import materialize
+
 FOLDS = 5
 SAMPLE_ROWS = 2000
 SAMPLE_BYTES = 32 << 20
@@ -97,26 +99,24 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(w[0] / scale), float(w[1])
 
 
-def train(rows: list[tuple[int, bytes]], calibration: list[tuple[int, bytes]]) -> Model:
-    """rows and calibration: (label, shape of the text)."""
-    both = rows + calibration
-    share = (sum(q for q, _ in both) + 0.5) / (len(both) + 1)
-    prior = Model(b"", b"", 0.0, math.log(share / (1 - share)))
-    if {q for q, _ in rows} != {0, 1} or {q for q, _ in calibration} != {0, 1}:
-        return prior
-    made = []
-    for label in (1, 0):
-        blocks = [t[i : i + TRAIN_BLOCK] for q, t in rows if q == label for i in range(0, len(t), TRAIN_BLOCK)]
-        try:
-            made.append(zstandard.train_dictionary(DICT_BYTES, blocks).as_bytes())
-        except zstandard.ZstdError:  # too little text to train on
-            return prior
-    half = Model(*made, 1.0, 0.0)
-    dicts = [zstandard.ZstdCompressionDict(d) for d in made]
-    good, bad = (zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False) for d in dicts)
-    x = np.array([size_difference(t, good, bad) for _, t in calibration])
-    slope, intercept = _logistic(x, np.array([q for q, _ in calibration], float))
-    return Model(half.good, half.bad, slope, intercept)
+def _compressors(dictionaries: tuple[bytes, bytes]) -> list[zstandard.ZstdCompressor]:
+    return [zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(d), write_content_size=False) for d in dictionaries]
+
+
+def blocks(data: bytes, fraction: float = 1.0) -> list[bytes]:
+    """That fraction of the blocks of a text's shape, one at least, spread evenly from its start to its end."""
+    whole = [data[i : i + TRAIN_BLOCK] for i in range(0, len(data), TRAIN_BLOCK)]
+    n = math.ceil(len(whole) * fraction)
+    return [whole[int((j + 0.5) * len(whole) / n)] for j in range(n)]
+
+
+def train(rows: list[tuple[int, bytes]]) -> tuple[bytes, bytes] | None:
+    """The dictionaries of the good and of the bad blocks, or None of too little text. rows: (label, block)."""
+    try:
+        good, bad = (zstandard.train_dictionary(DICT_BYTES, [t for q, t in rows if q == label]).as_bytes() for label in (1, 0))
+    except zstandard.ZstdError:
+        return None
+    return good, bad
 
 
 def fold(doc_id: Column) -> Column:
@@ -130,6 +130,26 @@ def _shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), batch.column("part"), done], names=["doc_id", "label", "part", "text"])
 
 
+def _blocks(fraction: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, labels, texts = (batch.column(c).to_pylist() for c in ("doc_id", "label", "text"))
+            done = [(d, q, t) for d, q, text in zip(ids, labels, texts, strict=True) for t in blocks(text, fraction)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in done], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.binary()))], names=["doc_id", "label", "text"])
+
+    return run
+
+
+def _differences(dictionaries: tuple[bytes, bytes]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        good, bad = _compressors(dictionaries)
+        for batch in batches:
+            x = pa.array([size_difference(t, good, bad) for t in batch.column("text").to_pylist()], pa.float64())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), x], names=["doc_id", "label", "x"])
+
+    return run
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Learn from labelled rows outside fold 0: folds from 2 on make the dictionaries, fold 1 the calibration."""
     known = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").cast("int").alias("label"))
@@ -140,14 +160,22 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
             own = known.filter((F.col("label") == label) & (F.col("part") == part))
             picked += own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS).collect()
     if not picked:
-        return train([], [])
+        return Model(b"", b"", 0.0, 0.0)
     sample = docs.sparkSession.createDataFrame(picked, known.schema)  # 4 x SAMPLE_ROWS rows of ids at most
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id")
-    shaped = texts.mapInArrow(_shapes, "doc_id long, label int, part int, text binary")
-    share = SAMPLE_BYTES // max(1, len(picked))
-    # a long labelled text gives its start to the dictionaries, so that the sample's bytes are bounded too
-    got = sorted((r.part, r.doc_id, r.label, bytes(r.text)) for r in shaped.select("doc_id", "label", "part", F.substring("text", 1, share).alias("text")).collect())
-    return train([(q, t) for p, _, q, t in got if p == 0], [(q, t) for p, _, q, t in got if p == 1])
+    shaped = materialize(texts.mapInArrow(_shapes, "doc_id long, label int, part int, text binary"), "labelled")
+    found = shaped.groupBy("part", "label").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("size")).collect()  # 4 rows at most
+    share = (sum(r.n for r in found if r.label) + 0.5) / (sum(r.n for r in found) + 1)
+    prior = Model(b"", b"", 0.0, math.log(share / (1 - share)))
+    if len(found) < 4:
+        return prior
+    fraction = min(1.0, SAMPLE_BYTES / max(1, sum(r.size for r in found if r.part == 0)))
+    learnt = shaped.filter("part = 0").mapInArrow(_blocks(fraction), "doc_id long, label int, text binary").collect()
+    made = train([(q, t) for _, q, t in sorted((r.doc_id, r.label, bytes(r.text)) for r in learnt)])
+    if made is None:
+        return prior
+    measured = sorted(map(tuple, shaped.filter("part = 1").mapInArrow(_differences(made), "doc_id long, label int, x double").collect()))
+    return Model(*made, *_logistic(np.array([x for _, _, x in measured]), np.array([q for _, q, _ in measured], float)))
 
 
 def _scorer(model: Model, name: str):

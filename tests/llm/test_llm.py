@@ -316,3 +316,18 @@ def test_keep_first_at_similarity_four_fifths(spark):
                 root = [new if r == old else r for r in root]
     got = {r.doc_id for r in simhash.keep_first(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)).collect()}
     assert got == set(root) and len(got) < len(texts) - 20
+
+
+def test_calibration_and_dictionaries_of_whole_texts(spark):
+    """Labelled texts that start alike and differ only far from their start are told apart, whatever the labels' number."""
+    rng = random.Random(3)
+    start = " ".join("abcd"[: rng.randrange(1, 4)] for _ in range(9000))
+    ends = [lambda: rng.choice(["{};", "<a/>", "[0]:"]), lambda: rng.choice(["Aaa, bbbb", "ccccccccccc. Dd", "eeeee!"])]
+    docs = spark.createDataFrame([(i, start + " ".join(ends[i % 2]() for _ in range(3000))) for i in range(80)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, quality int")
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(quality, "SAMPLE_BYTES", 80 * 8192)
+        rows = quality.classify(docs, labels).collect()
+    assert all((r.score > 0.5) == (r.doc_id % 2 == 1) for r in rows)
+    data = bytes(range(256)) * 160
+    assert b"".join(quality.blocks(data)) == data and len(quality.blocks(data, 0.5)) == 5
