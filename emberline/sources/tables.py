@@ -9,13 +9,18 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _own_dir: str | None = None
+_open: list[list[DataFrame]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all machines see: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
+    """The folder that all machines see: spark.checkpoint.dir. Only where all runs on one machine (tests), and it is unset,
+    a temporary folder stands for it."""
     global _own_dir
     if given := spark.conf.get("spark.checkpoint.dir", None):
         return given.rstrip("/")
+    master = spark.conf.get("spark.master", "")
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
     if _own_dir is None:
         _own_dir = tempfile.mkdtemp(prefix="emberline-")
     return _own_dir
@@ -30,13 +35,48 @@ def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> Da
     writer.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.written_to = path
+    if _open:
+        _open[-1].append(out)
     return out
 
 
-def discard(table: DataFrame) -> None:
-    """Delete a table that materialize() wrote and nothing reads any more, and let go of shuffle files that nothing needs."""
+def _delete(table: DataFrame) -> None:
     spark = table.sparkSession
     path = spark._jvm.org.apache.hadoop.fs.Path(table.written_to)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _clean(spark: SparkSession) -> None:
+    """Let go of shuffle files that nothing needs."""
     gc.collect()
     spark._jvm.System.gc()
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a table that materialize() wrote and nothing reads any more."""
+    _delete(table)
+    _clean(table.sparkSession)
+
+
+class Scratch:
+    """with Scratch() as s: tables written inside go when the block ends, but those that s.keep() was given. What the block
+    hands on must have been written by then."""
+
+    def __enter__(self) -> Scratch:
+        _open.append([])
+        self.kept: list[DataFrame] = []
+        return self
+
+    def keep(self, table: DataFrame) -> DataFrame:
+        self.kept.append(table)
+        return table
+
+    def __exit__(self, *_: object) -> None:
+        done = _open.pop()
+        for table in done:
+            if not any(table is k for k in self.kept):
+                _delete(table)
+        if _open:
+            _open[-1].extend(self.kept)
+        if done:
+            _clean(done[0].sparkSession)
