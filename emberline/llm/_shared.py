@@ -1,56 +1,27 @@
-"""What the operators share: tables written to the cluster's shared folder, and small column helpers."""
+"""What the operators share: the engine's tables in the cluster's shared folder, and small column helpers."""
 
 from __future__ import annotations
 
-import gc
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.tables import Scratch, discard, materialize, shared_dir  # noqa: F401
+
 #: Characters that separate words and are stripped from lines: space, tab, LF, VT, FF, CR.
 SPACES = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_own_dir: str | None = None
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all machines see: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
-    global _own_dir
-    if given := spark.conf.get("spark.checkpoint.dir", None):
-        return given.rstrip("/")
-    if _own_dir is None:
-        _own_dir = tempfile.mkdtemp(prefix="emberline-")
-    return _own_dir
-
-
-def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
-    """Write df as Parquet to the shared folder and read it back: lineage ends there, and lost executors lose nothing."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    writer = df.write.option("compression", "zstd")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
-    out.written_to = path
-    return out
-
-
-def discard(table: DataFrame) -> None:
-    """Delete a table that materialize() wrote and nothing reads any more, and let go of shuffle files that nothing needs."""
-    spark = table.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(table.written_to)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    gc.collect()
-    spark._jvm.System.gc()
 
 
 def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
 
+def quoted(name: str) -> str:
+    """A column's name as part of an expression, whatever is in it."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
