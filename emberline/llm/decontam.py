@@ -3,14 +3,15 @@
 Windows of a document as long as a benchmark item (in words) are compared with the items of that length. Only windows that
 open with a shingle of an item of that length are looked at: a window that is similar to an item can be moved right to the
 next shingle they share, and grows no less similar (at the end of a document it gets shorter). Windows and items get
-64-bit SimHash fingerprints of their shingles. A multi-index of BLOCKS blocks finds every item within RADIUS bits of a
-window: two such fingerprints differ by RADIUS // BLOCKS bits or fewer in some block, and the index holds the Hamming balls
-of that radius around the items' blocks. Weighted-shingle similarity (multiset Jaccard of 5-word shingles) then verifies
-each candidate exactly, on the shingles' 64-bit hashes. At a similarity of 0.8 fingerprints differ by 9 bits with a deviation of 3, so RADIUS lies five
-deviations off.
+128-bit SimHash fingerprints of their shingles. A multi-index of BLOCKS blocks of WIDTH bits finds every item within RADIUS
+bits of a window: two such fingerprints differ by RADIUS // BLOCKS bits or fewer in some block, and the index holds the
+Hamming balls of that radius around the items' blocks, so that a block fetches 697 of 65,536 values. Weighted-shingle
+similarity (multiset Jaccard of 5-word shingles) then verifies each candidate exactly, on the shingles' 64-bit hashes. At a
+similarity of exactly 0.8 fingerprints differ by 19 bits with a deviation of 4, so that RADIUS, three deviations off,
+keeps 99.8 % of the pairs there, and more of those that are closer.
 
-The benchmark's shingles are joined in blocks of at most SEED_BLOCK rows, each broadcast, so that the size of what is
-broadcast is bounded whatever the benchmark's size; the documents are not shuffled.
+The corpus is read once for the shingles that items share, whatever the benchmark's size: up to SEED_ROWS of them are
+broadcast, more are shuffled. Texts with a hit are read a second time for their windows.
 
 Nulls and odd input: null texts have no words; an item without words matches nothing; an item of fewer than five words is one
 shingle; null ids are kept as null; rows with the same doc_id and text are one document; other columns are ignored.
@@ -27,8 +28,8 @@ from pyspark.sql import functions as F
 from ._shared import materialize
 
 K, SIMILARITY = 5, 0.8
-BLOCKS, WIDTH, RADIUS = 8, 8, 23
-SEED_BLOCK = 200_000
+BLOCKS, WIDTH, RADIUS = 8, 16, 31
+SEED_ROWS = 200_000
 _SPLIT = r"[\x20\x09-\x0D]+"
 
 
@@ -49,71 +50,91 @@ def _hashes(ws: Column, k: int) -> Column:
     return F.transform(_starts(ws, k), lambda i: _shingle_hash(ws, i, k))
 
 
-def _fingerprint(lanes: list[Column], n: Column) -> Column:
+def _signed(bit: int) -> int:
+    return (1 << bit) - (1 << 64) if bit == 63 else 1 << bit
+
+
+def _fingerprint(sums: list[Column], n: Column, lanes: int) -> Column:
+    """One 64-bit half: sums[j] holds, in each of its lanes, how many hashes have bit j + lane * len(sums)."""
+    width, step = 64 // lanes, len(sums)
     bits = []
-    for j, v in enumerate(lanes):
-        for at, count in ((j, v.bitwiseAND(F.lit(0xFFFFFFFF))), (j + 32, F.shiftrightunsigned(v, 32))):
-            one = 1 << at
-            bits.append(F.when(count * 2 > n, F.lit(one - (1 << 64) if one >= 1 << 63 else one)).otherwise(F.lit(0)).cast("long"))
+    for j, v in enumerate(sums):
+        for lane in range(lanes):
+            count = F.shiftrightunsigned(v, lane * width).bitwiseAND(F.lit((1 << width) - 1))
+            bits.append(F.when(count * 2 > n, F.lit(_signed(j + lane * step))).otherwise(F.lit(0)).cast("long"))
     return reduce(lambda a, b: a.bitwiseOR(b), bits)
 
 
-def with_fingerprint(df: DataFrame, k: int) -> DataFrame:
-    """(row, fp, hs) and df's columns but ws: the SimHash and the hashes of the k-word shingles of its column ws.
+def with_fingerprint(df: DataFrame, k: int, longest: int) -> DataFrame:
+    """(row, n_sh, fp0, fp1) and df's columns but ws: the SimHash, of 128 bits, of the k-word shingles of its column ws.
+
+    Sums are in lanes of a long, four of 16 bits where the longest ws allows it, else two of 32."""
+    lanes = 4 if longest < 1 << 16 else 2
+    step = 64 // lanes
+    mask = F.lit(sum(1 << (i * step) for i in range(lanes)))
+    shingles = df.select("row", F.explode(_hashes(F.col("ws"), k)).alias("h0")).withColumn("h1", F.xxhash64(F.lit("second"), "h0"))
+    names = {f"{h}_{j}": F.sum(F.shiftrightunsigned(h, j).bitwiseAND(mask)) for h in ("h0", "h1") for j in range(step)}
+    sums = shingles.groupBy("row").agg(F.count("*").alias("n_sh"), *[c.alias(n) for n, c in names.items()])
+    halves = [_fingerprint([F.col(f"{h}_{j}") for j in range(step)], F.col("n_sh"), lanes).alias(f"fp{i}") for i, h in enumerate(("h0", "h1"))]
+    return df.drop("ws").join(sums.select("row", "n_sh", *halves), "row")
+
 
-    Each sum has two 32-bit lanes: how many hashes have bit j (low lane) and bit j + 32 (high lane)."""
-    shingles = df.select("row", "ws", F.explode(_starts(F.col("ws"), k)).alias("j")).select("row", _shingle_hash(F.col("ws"), F.col("j"), k).alias("h"))
-    lane = F.lit((1 << 32) | 1)
-    sums = shingles.groupBy("row").agg(F.count("*").alias("n_sh"), F.collect_list("h").alias("hs"), *[F.sum(F.shiftrightunsigned("h", j).bitwiseAND(lane)).alias(f"lane{j}") for j in range(32)])
-    return df.drop("ws").join(sums.select("row", _fingerprint([F.col(f"lane{j}") for j in range(32)], F.col("n_sh")).alias("fp"), "hs"), "row")
+def _block(b: int, fp0: Column, fp1: Column) -> Column:
+    half = 64 // WIDTH
+    return F.shiftrightunsigned(fp0 if b < half else fp1, b % half * WIDTH).bitwiseAND(F.lit((1 << WIDTH) - 1))
 
 
-def _block(fp: Column, b: int) -> Column:
-    return F.shiftrightunsigned(fp, b * WIDTH).bitwiseAND(F.lit((1 << WIDTH) - 1))
+def _blocks(name: str) -> Column:
+    return F.explode(F.array(*[F.struct(F.lit(b).alias("block"), _block(b, F.col("fp0"), F.col("fp1")).alias(name)) for b in range(BLOCKS)]))
 
 
 def ball(width: int = WIDTH, radius: int = RADIUS // BLOCKS) -> list[int]:
     return [sum(1 << i for i in c) for r in range(radius + 1) for c in combinations(range(width), r)]
 
 
-def _overlap(a: Column, b: Column) -> Column:
-    """Size of the intersection of two multisets; only repeated members need counting one by one."""
-    def count(arr: Column, s: Column) -> Column:
-        return F.size(F.filter(arr, lambda x: x == s))
+def fetched(windows: DataFrame, index: DataFrame) -> DataFrame:
+    """(row, item, apart): what the index fetches for windows (row, n, fp0, fp1) among items (item, n, fp0, fp1), once each:
+    those of the same n with a block within RADIUS // BLOCKS bits; apart is the whole distance."""
+    masks = F.array(*[F.lit(m).cast("long") for m in ball()])
+    held = index.select("item", "n", F.col("fp0").alias("i0"), F.col("fp1").alias("i1"), _blocks("own").alias("at")).select("item", "n", "i0", "i1", "at.block", F.explode(F.transform(masks, lambda m: F.col("at.own").bitwiseXOR(m))).alias("value"))
+    near = windows.select("row", "n", "fp0", "fp1", _blocks("value").alias("at")).select("row", "n", "fp0", "fp1", "at.*").join(held, ["n", "block", "value"])
+    x0, x1 = F.col("fp0").bitwiseXOR(F.col("i0")), F.col("fp1").bitwiseXOR(F.col("i1"))
+    # a pair is fetched once for each block that is near; the first such block answers for it
+    earlier = reduce(lambda c, b: c | ((F.col("block") > b) & (F.bit_count(_block(b, x0, x1)) <= RADIUS // BLOCKS)), range(BLOCKS - 1), F.lit(False))
+    return near.filter(~earlier).select("row", "item", (F.bit_count(x0) + F.bit_count(x1)).alias("apart"))
+
 
-    plain = (F.size(F.array_distinct(a)) == F.size(a)) & (F.size(F.array_distinct(b)) == F.size(b))
-    return F.when(plain, F.size(F.array_intersect(a, b))).otherwise(F.aggregate(F.array_distinct(b), F.lit(0), lambda acc, s: acc + F.least(count(a, s), count(b, s))))
+def _members(texts: DataFrame, key: str, k: int) -> DataFrame:
+    """(key, h, c): how often each shingle occurs in each text."""
+    return texts.select(key, F.explode(_hashes(F.col("ws"), k)).alias("h")).groupBy(key, "h").agg(F.count("*").alias("c"))
 
 
 def _leaks(docs: DataFrame, items: DataFrame, k: int) -> DataFrame:
     """Matches for items whose shingles have k words."""
+    items = materialize(items.withColumn("item", F.monotonically_increasing_id()), "items")
+    longest = items.agg(F.max("n")).first()[0]
     seeds = items.select("n", F.explode(F.array_distinct(_hashes(F.col("ws"), k))).alias("h")).groupBy("h").agg(F.sort_array(F.collect_set("n")).alias("lengths"))
-    n_seeds = seeds.count()
-    blocks = -(-n_seeds // SEED_BLOCK)
-    at = docs.select("doc_id", "tie", "ws", F.explode(_starts(F.col("ws"), k)).alias("i")).withColumn("h", _shingle_hash(F.col("ws"), F.col("i"), k))
-    hits = []
-    for b in range(blocks):
-        part = seeds if blocks == 1 else seeds.filter(F.pmod("h", F.lit(blocks)) == b)
-        hits.append(at.join(F.broadcast(part), "h").select("doc_id", "tie", "i", F.explode("lengths").alias("n"), "ws").withColumn("ws", F.slice("ws", F.col("i") + 1, F.col("n"))))
-    windows = materialize(reduce(DataFrame.unionByName, hits).withColumn("row", F.monotonically_increasing_id()), "windows")
-    windows = with_fingerprint(windows, k)
-    windows = windows.select("doc_id", "tie", "i", "n", "hs", "fp", F.explode(F.array(*[F.struct(F.lit(b).alias("block"), _block(F.col("fp"), b).alias("value")) for b in range(BLOCKS)])).alias("at")).select("doc_id", "tie", "i", "n", "hs", "fp", "at.*")
-    index = with_fingerprint(materialize(items.withColumn("row", F.monotonically_increasing_id()), "items"), k)
-    index = index.select("item_id", "n", F.col("hs").alias("item_hs"), F.col("fp").alias("item_fp"), F.explode(F.array(*[F.struct(F.lit(b).alias("block"), _block(F.col("fp"), b).alias("own")) for b in range(BLOCKS)])).alias("at"))
-    index = index.select("item_id", "n", "item_hs", "item_fp", "at.block", "at.own", F.explode(F.array(*[F.lit(m).cast("long") for m in ball()])).alias("mask")).withColumn("value", F.col("own").bitwiseXOR(F.col("mask"))).drop("own", "mask")
-    near = windows.join(index, ["n", "block", "value"]).filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= RADIUS)
-    # a pair is fetched once for each block that is near; the first such block answers for it
-    reach = RADIUS // BLOCKS
-    earlier = reduce(lambda c, b: c | ((F.col("block") > b) & (F.bit_count(_block(F.col("fp").bitwiseXOR(F.col("item_fp")), b)) <= reach)), range(BLOCKS), F.lit(False))
-    near = near.filter(~earlier).withColumn("both", _overlap(F.col("hs"), F.col("item_hs")))
-    near = near.withColumn("similarity", F.col("both") / (F.size("hs") + F.size("item_hs") - F.col("both")))
-    return near.filter(F.col("similarity") >= SIMILARITY).select("doc_id", "tie", "item_id", "similarity", "i")
+    if seeds.count() <= SEED_ROWS:
+        seeds = F.broadcast(seeds)
+    at = docs.withColumn("ws", words(F.col("text"))).select("doc_id", "tie", F.posexplode(_hashes(F.col("ws"), k)).alias("i", "h"))
+    hits = materialize(at.join(seeds, "h").select("doc_id", "tie", "i", F.explode("lengths").alias("n")), "leak-hits")
+    per = hits.groupBy("doc_id", "tie").agg(F.collect_set(F.struct("i", "n")).alias("at"))
+    cut = docs.join(per, docs["doc_id"].eqNullSafe(per["doc_id"]) & (docs["tie"] == per["tie"])).select(docs["doc_id"], docs["tie"], "text", "at")
+    cut = cut.withColumn("ws", words(F.col("text"))).select("doc_id", "tie", F.explode(F.transform("at", lambda a: F.struct(a["i"].alias("i"), a["n"].alias("n"), F.slice("ws", a["i"] + 1, a["n"]).alias("ws")))).alias("w"))
+    windows = materialize(cut.select("doc_id", "tie", "w.*").withColumn("row", F.monotonically_increasing_id()), "windows")
+    pairs = fetched(with_fingerprint(windows, k, longest), with_fingerprint(items.withColumn("row", F.col("item")), k, longest)).filter(F.col("apart") <= RADIUS)
+    pairs = materialize(pairs.select("row", "item"), "leak-pairs")
+    wanted = windows.join(pairs.select("row").distinct(), "row")
+    own, theirs = _members(wanted, "row", k), _members(items, "item", k).withColumnRenamed("c", "d")
+    both = pairs.join(own, "row").join(theirs, ["item", "h"]).groupBy("row", "item").agg(F.sum(F.least("c", "d")).alias("both"))
+    sizes = both.join(wanted.select("row", "doc_id", "tie", "i", (F.size("ws") - k + 1).alias("n_row")), "row").join(items.select("item", "item_id", (F.size("ws") - k + 1).alias("n_item")), "item")
+    return sizes.withColumn("similarity", F.col("both") / (F.col("n_row") + F.col("n_item") - F.col("both"))).filter(F.col("similarity") >= SIMILARITY).select("doc_id", "tie", "item_id", "similarity", "i")
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, tie, item_id, similarity, start): each document and item whose best window reaches SIMILARITY, and the
     first word of the first such window. tie is xxhash64 of the text ('' for null)."""
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("tie"), words(F.col("text")).alias("ws"))
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("tie"), F.coalesce("text", F.lit("")).alias("text"))
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), words(F.col("text")).alias("ws")).withColumn("n", F.size("ws")).filter("n > 0")
     sizes = sorted(r.k for r in items.select(F.least(F.lit(K), "n").alias("k")).distinct().collect())  # K values at most
     found = [_leaks(d, items.filter(F.least(F.lit(K), F.col("n")) == k), k) for k in sizes]
