@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import materialize
+from ._shared import discard, materialize
 
 
 def _signature(df: DataFrame) -> tuple:
@@ -36,7 +36,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     if not before[0]:
         return now.select(F.col("src").alias("node"), F.col("dst").alias("component"))
     for _ in range(max_rounds):
-        now = materialize(_small_star(_large_star(now)), "components")
+        last, now = now, materialize(_small_star(_large_star(now)), "components")
+        discard(last)
         if (after := _signature(now)) == before:
             roots = now.select(F.col("dst").alias("node"), F.col("dst").alias("component")).distinct()
             return now.select(F.col("src").alias("node"), F.col("dst").alias("component")).union(roots)

@@ -1,11 +1,11 @@
 """SimHash near-duplicates by multi-index hashing.
 
 A fingerprint has one bit per majority over the XXH64 hashes of the text's word shingles. Links join fingerprints that
-differ in at most two bits. Each 64-bit fingerprint is cut into two segments; for each segment the Hamming ball of radius 1
-is enumerated, and the table is keyed by the ball's point together with the other segment. Two fingerprints within two bits
-always share such a point, and all fingerprints at a point lie within two bits of each other, so that the fetched matches
-can be linked to the point's smallest fingerprint instead of pairwise: a point holds 65 different fingerprints at most,
-however many documents there are. The complete distance of each link is verified all the same.
+differ in at most RADIUS bits. Fingerprints are cut into SEGMENTS segments, each with a table of its own from segment values
+to fingerprints. Two fingerprints within RADIUS bits differ by RADIUS // SEGMENTS bits or fewer in some segment, so the small
+Hamming balls enumerated around a fingerprint's segments fetch all its neighbours, and others besides; the complete
+distance of each fetched pair decides. Equal fingerprints are one class with one entry, however many documents share it;
+a segment value that very many classes share is subdivided by pieces of the other segment, which loses no neighbour.
 
 Nulls and odd input: null and empty texts have fingerprint zero; a null doc_id is answered with its own row and never names
 a component unless its group has no other id; repeated rows are each answered; other columns are ignored.
@@ -14,17 +14,23 @@ a component unless its group has no other id; repeated rows are each answered; o
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import materialize
+from ._shared import materialize, shuffle_partitions
 from .graph import connected_components
 
-SEGMENTS = 2
+SEGMENTS, RADIUS = 2, 2
+WIDTH = 64 // SEGMENTS
+#: Pieces of the other segment by which a value of more than COMMON fingerprints is subdivided.
+PARTS, COMMON = RADIUS + 1, 2000
+BROADCAST_ROWS = 100_000
 SEED = 42
 
 
@@ -71,31 +77,64 @@ def fingerprints(docs: DataFrame, k: int = 3) -> DataFrame:
     return src.mapInArrow(_fingerprints(k), "doc_id long, tie long, fp long")
 
 
-def ball_points(radius: int = 1, bits: int = 64, segments: int = SEGMENTS) -> list[int]:
-    """XOR masks (signed) of the balls of the given radius, 0 or 1, in each segment; the centre once."""
-    width = bits // segments
-    masks = [0] + [1 << (s * width + i) for s in range(segments) for i in range(width) if radius]
-    return [m - (1 << 64) if m >= 1 << 63 else m for m in masks]
+def ball(width: int, radius: int) -> list[int]:
+    """All XOR masks of radius bits or fewer, of width bits."""
+    return [sum(1 << i for i in c) for r in range(radius + 1) for c in combinations(range(width), r)]
 
 
-def link_classes(classes: DataFrame) -> DataFrame:
-    """(src, dst) links between classes (node, fp), of distinct fp, that chain all whose fp differ in two bits or fewer."""
-    from pyspark.sql import Window
+def _segment(fp: Column, s: int) -> Column:
+    return F.shiftrightunsigned(fp, s * WIDTH).bitwiseAND(F.lit((1 << WIDTH) - 1))
 
-    points = classes.select("node", "fp", F.explode(F.array(*[F.lit(m).cast("long") for m in ball_points()])).alias("mask"))
-    points = points.select("node", "fp", F.col("fp").bitwiseXOR(F.col("mask")).alias("point"))
-    first = F.min(F.struct("node", "fp")).over(Window.partitionBy("point"))
-    found = points.withColumn("first", first).filter(F.col("first.node") != F.col("node"))
-    return found.filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("first.fp"))) <= 2).select(F.col("node").alias("src"), F.col("first.node").alias("dst")).distinct()
+
+def _parts(fp: Column, segment: Column) -> Column:
+    """(part, bits) of the segment that is not the given one, cut into PARTS pieces."""
+    other = F.when(segment == 0, _segment(fp, 1)).otherwise(_segment(fp, 0))
+    piece = -(-WIDTH // PARTS)
+    return F.array(*[F.struct(F.lit(j).alias("part"), F.shiftrightunsigned(other, j * piece).bitwiseAND(F.lit((1 << piece) - 1)).alias("bits")) for j in range(PARTS)])
+
+
+def candidates(classes: DataFrame, common: int = COMMON) -> DataFrame:
+    """(a, b): pairs of fingerprints, a < b, that the index fetches: within RADIUS // SEGMENTS bits in some segment.
+
+    The table of a segment holds each fingerprint at its own value; probes enumerate the ball around theirs. A value that
+    more than common fingerprints hold is subdivided by the pieces of the other segment: fingerprints within RADIUS bits
+    agree in one of RADIUS + 1 pieces. A pair is fetched once: by its first near segment, at its first equal piece."""
+    fps = classes.select("fp").repartition(shuffle_partitions(classes.sparkSession))
+    table = fps.select("fp", F.explode(F.array(*[F.struct(F.lit(s).alias("segment"), _segment(F.col("fp"), s).alias("value")) for s in range(SEGMENTS)])).alias("at")).select("fp", "at.*")
+    masks = F.array(*[F.lit(m).cast("long") for m in ball(WIDTH, RADIUS // SEGMENTS)])
+    probes = table.select("fp", "segment", F.explode(F.transform(masks, lambda m: F.col("value").bitwiseXOR(m))).alias("value"))
+    held = materialize(table.groupBy("segment", "value").agg(F.count("*").alias("n")).filter(F.col("n") > common).select("segment", "value", F.lit(True).alias("held")), "simhash-common")
+    if held.count() <= BROADCAST_ROWS:
+        held = F.broadcast(held)
+    whole = F.array(F.struct(F.lit(-1).alias("part"), F.lit(0).cast("long").alias("bits")))
+
+    def keyed(rows: DataFrame, name: str) -> DataFrame:
+        marked = rows.join(held, ["segment", "value"], "left")
+        keys = F.when(F.col("held"), _parts(F.col("fp"), F.col("segment"))).otherwise(whole)
+        return marked.select(F.col("fp").alias(name), "segment", "value", F.explode(keys).alias("k")).select(name, "segment", "value", "k.*")
+
+    met = keyed(probes, "a").join(keyed(table, "b"), ["segment", "value", "part", "bits"]).filter(F.col("a") < F.col("b"))
+    apart = F.col("a").bitwiseXOR(F.col("b"))
+    earlier = reduce(lambda c, s: c | ((F.col("segment") > s) & (F.bit_count(_segment(apart, s)) <= RADIUS // SEGMENTS)), range(SEGMENTS - 1), F.lit(False))
+    equal = F.transform(_parts(apart, F.col("segment")), lambda p: p["bits"] == 0)
+    first = F.when(F.col("part") >= 0, F.array_position(equal, F.lit(True)) - 1 == F.col("part")).otherwise(True)
+    return met.filter(~earlier & first).select("a", "b")
+
+
+def link_classes(classes: DataFrame, common: int = COMMON) -> DataFrame:
+    """(src, dst): all pairs of the fingerprints (fp, distinct) of classes that differ in RADIUS bits or fewer."""
+    near = candidates(classes, common).filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= RADIUS)
+    return near.select(F.col("a").alias("src"), F.col("b").alias("dst"))
 
 
 def near_duplicates(docs: DataFrame, k: int = 3) -> DataFrame:
-    """(doc_id, fingerprint, component_id) of every row; links are at two differing bits or fewer."""
+    """(doc_id, fingerprint, component_id) of every row; links are at RADIUS differing bits or fewer."""
     fps = materialize(fingerprints(docs, k), "simhash")
-    classes = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("node")), "simhash-classes")
-    found = connected_components(link_classes(classes.filter("node IS NOT NULL")))
-    labels = classes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return fps.join(labels, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    classes = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-classes")
+    found = connected_components(link_classes(classes)).withColumnRenamed("node", "fp")
+    grouped = classes.join(found, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    named = grouped.select("fp", "component").join(grouped.groupBy("component").agg(F.min("least").alias("component_id")), "component").select("fp", "component_id")
+    return fps.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def keep_first(docs: DataFrame, k: int = 5) -> DataFrame:
