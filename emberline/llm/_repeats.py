@@ -1,10 +1,14 @@
 """Where windows of W units (words or bytes) repeat: a candidate search that misses nothing, shared by the exact
 substring operators, which judge the groups it finds by their own structures.
 
-Every window is keyed by the smallest hash of the K-unit grams inside it, so that equal windows have equal keys, and
-neighbouring windows mostly share one: a run. Keys that occur once drop out. The runs that stay are cut from their texts as
-segments and meet by key. Keys of more than HEAVY runs would make groups beyond a task's memory; their windows are keyed
-by a 128-bit hash of all W units instead, counted with a map-side combine, and joined back.
+Every window is keyed by the smallest hash of the grams inside it, so that equal windows have equal keys, and neighbouring
+windows mostly share one: a run. A key stands for a suffix, the one that starts at its gram, and the gram for that suffix's
+prefix. Keys that occur once drop out. The text of a run is a segment; equal segments of a key are one kind, which is cut
+from its first occurrence and stands for all of them with its multiplicity.
+
+Kinds are grouped by key, and a group is judged in one piece. Grams have variable length: a key of more than LIMIT kinds is
+split by the next longer gram, of those kinds' segments, until the group fits; the last gram is as long as the window, and
+a group of it has a single kind. Each group of any gram is judged by the same structure.
 """
 
 from __future__ import annotations
@@ -19,26 +23,28 @@ from pyspark.sql import functions as F
 
 from ._shared import discard, materialize, shuffle_partitions
 
-HEAVY = 50_000
-#: Segments (bytes) that a task gathers before it judges them; a single group may be larger, up to HEAVY segments.
+#: Kinds of a group; one of more is split by a longer gram.
+LIMIT = 4000
+#: Segments (bytes) that a task gathers before it judges them; a single group may be larger, up to LIMIT kinds.
 GATHER = 4 << 20
+BROADCAST_ROWS = 100_000
 _LAST = 2**63 - 1
 _P = 0x9E3779B97F4A7C15
 _M64 = (1 << 64) - 1
 
 
 class Bytes:
-    """Units are bytes."""
+    """Units are bytes. grams: ascending, shorter than the window; the window itself comes last."""
 
-    def __init__(self, window: int, gram: int):
-        self.window, self.gram = window, gram
+    def __init__(self, window: int, grams: tuple[int, ...]):
+        self.window, self.grams = window, (*grams, window)
 
     def sequence(self, text: str) -> bytes:
         return text.encode()
 
-    def numbers(self, text: str) -> np.ndarray:
-        """A number for each unit."""
-        return np.frombuffer(text.encode(), np.uint8).astype(np.uint64) + np.uint64(1)
+    def numbers(self, data: bytes) -> np.ndarray:
+        """A number for each unit of encoded text."""
+        return np.frombuffer(data, np.uint8).astype(np.uint64) + np.uint64(1)
 
     def cut(self, seq: bytes, a: int, b: int) -> bytes:
         return seq[a:b]
@@ -47,15 +53,15 @@ class Bytes:
 class Words(Bytes):
     """Units are words, split at ASCII white space."""
 
-    def __init__(self, window: int, gram: int):
-        super().__init__(window, gram)
+    def __init__(self, window: int, grams: tuple[int, ...]):
+        super().__init__(window, grams)
         self.known: dict[bytes, int] = {}
 
     def sequence(self, text: str) -> list[bytes]:
         return text.encode().split()
 
-    def numbers(self, text: str) -> np.ndarray:
-        words, known = self.sequence(text), self.known
+    def numbers(self, data: bytes) -> np.ndarray:
+        words, known = data.split(), self.known
         if len(known) > 400_000:
             known.clear()
         for w in words:
@@ -68,11 +74,12 @@ class Words(Bytes):
 
 
 def gram_hashes(u: np.ndarray, k: int) -> np.ndarray:
-    """Mixed polynomial hashes of k consecutive units; k is a power of two."""
-    h, n, p = u, 1, _P
-    while n < k:
-        h = h[:-n] * np.uint64(p) + h[n:]
-        n, p = n * 2, p * p & _M64
+    """Mixed polynomial hashes of k consecutive units."""
+    h, n, p = u, 1, _P  # h: of n units, p: the multiplier's n-th power
+    for bit in bin(k)[3:]:
+        h, n, p = h[:-n] * np.uint64(p) + h[n:], n * 2, p * p & _M64
+        if bit == "1":
+            h, n, p = h[:-1] * np.uint64(_P) + u[n:], n + 1, p * _P & _M64
     h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
     return h ^ (h >> np.uint64(29))
 
@@ -85,11 +92,11 @@ def sliding_min(h: np.ndarray, span: int) -> np.ndarray:
     return np.minimum(h[: len(h) - (span - n)], h[span - n :]) if span > n else h
 
 
-def runs_of(u: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(key, first window, number of windows, may repeat itself) of each run."""
+def runs_of(u: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, ...]:
+    """(key, segment's hash, first window, number of windows, may repeat itself) of each run."""
     if len(u) < window:
         none = np.zeros(0, np.int64)
-        return none.view(np.uint64), none, none, none.astype(bool)
+        return none, none, none, none, none.astype(bool)
     g, span = gram_hashes(u, gram), window - gram + 1
     m = sliding_min(g, span)
     a = np.flatnonzero(np.r_[True, m[1:] != m[:-1]])
@@ -97,154 +104,188 @@ def runs_of(u: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarr
     reach = np.arange(span)
     left = a + g[a[:, None] + reach].argmin(1)
     right = b - 1 + span - 1 - g[(b - 1)[:, None] + reach[::-1]].argmin(1)
-    return m[a], a, b - a, left != right
+    own = left != right
+    # a run around one gram is no longer than its first and last window
+    w = gram_hashes(u, window)
+    same = (w[a] * np.uint64(3) + (b - a).astype(np.uint64)) * np.uint64(_P) ^ w[b - 1]
+    for i in np.flatnonzero(own).tolist():
+        same[i] = xxhash.xxh3_64_intdigest(u[a[i] : b[i] + window - 1].tobytes())
+    return m[a].view(np.int64), same.view(np.int64), a, b - a, own
 
 
-_RUNS = pa.schema([("key", pa.int64()), ("ord", pa.int64()), ("tie", pa.int64()), ("a", pa.int32()), ("n", pa.int32()), ("own", pa.bool_())])
-_RUNS_DDL = "key long, ord long, tie long, a int, n int, own boolean"
-_SEGMENTS = pa.schema([("key", pa.int64()), ("whole", pa.binary()), ("ord", pa.int64()), ("tie", pa.int64()), ("a", pa.int32()), ("n", pa.int32()), ("own", pa.bool_()), ("seg", pa.binary())])
-_SEGMENTS_DDL = "key long, whole binary, ord long, tie long, a int, n int, own boolean, seg binary"
-_MARKS = pa.schema([("ord", pa.int64()), ("tie", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
-_MARKS_DDL = "ord long, tie long, a long, b long"
+def _fields(ddl: str) -> pa.Schema:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary()}
+    return pa.schema([(n, kinds[k]) for n, k in map(str.split, ddl.split(", "))])
 
 
-def _find_runs(units: Bytes):
+_RUNS_DDL = "key long, same long, ord long, tie long, a int, n int, own boolean"
+_KINDS_DDL = "key long, same long, ord long, tie long, a int, n int, own boolean, multi boolean, hot boolean, seg binary"
+_SUB_DDL = "up_key long, up_same long, off int, key long, same long, ord long, tie long, a int, n int, own boolean, multi boolean, seg binary"
+_VERDICTS_DDL = "key long, same long, i int, m int, rest boolean, ord long, tie long, a int"
+_RUNS, _KINDS, _SUB, _VERDICTS = map(_fields, (_RUNS_DDL, _KINDS_DDL, _SUB_DDL, _VERDICTS_DDL))
+
+
+def _columns(cols: list, schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
+
+
+def _find_runs(units: Bytes, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ords, ties = batch.column("ord").to_pylist(), batch.column("tie").to_pylist()
             parts = []
             for i, text in enumerate(batch.column("text").to_pylist()):
-                key, a, n, own = runs_of(units.numbers(text), units.window, units.gram)
+                key, same, a, n, own = runs_of(units.numbers(text.encode()), units.window, gram)
                 if len(key):
-                    parts.append((key.view(np.int64), np.full(len(key), ords[i]), np.full(len(key), ties[i]), a.astype(np.int32), n.astype(np.int32), own))
+                    parts.append((key, same, np.full(len(key), ords[i]), np.full(len(key), ties[i]), a.astype(np.int32), n.astype(np.int32), own))
             if parts:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), f.type) for c, f in zip(zip(*parts, strict=True), _RUNS, strict=True)], schema=_RUNS)
+                yield _columns([np.concatenate(c) for c in zip(*parts, strict=True)], _RUNS)
 
     return run
 
 
-def _cut_segments(units: Bytes):
-    """Of texts with their runs: a segment for each light run, a hashed window for each window of a heavy one."""
-    w, names = units.window, ("key", "a", "n", "own", "heavy")
-
-    def windows(wholes: list[bytes], at: list[tuple[int, int]], ords: np.ndarray, ties: np.ndarray) -> pa.RecordBatch:
-        r, k = np.array(at).T
-        cols = (None, wholes, ords[r], ties[r], k, np.ones(len(wholes), np.int32), np.zeros(len(wholes), bool), None)
-        return pa.RecordBatch.from_arrays([pa.nulls(len(wholes), f.type) if c is None else pa.array(c, f.type) for c, f in zip(cols, _SEGMENTS, strict=True)], schema=_SEGMENTS)
+def _cut_kinds(units: Bytes):
+    """Of texts with the kinds that first occur in them: each kind with its segment."""
+    w, names = units.window, ("key", "same", "a", "n", "own", "multi", "hot")
 
-    def part(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        lists = batch.column("runs")
+    def part(batch: pa.RecordBatch) -> pa.RecordBatch:
+        lists = batch.column("kinds")
         flat = lists.flatten()
-        key, a, n, own, heavy = (flat.field(x).to_numpy(zero_copy_only=False) for x in names)
+        col = {x: flat.field(x).to_numpy(zero_copy_only=False) for x in names}
         counts = np.diff(lists.offsets.to_numpy())
         row = np.repeat(np.arange(len(counts)), counts)
         ords, ties = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("ord", "tie"))
-        ends = np.cumsum(counts).tolist()
-        segs, wholes, at = [], [], []
-        heavy = heavy.astype(bool)
-        starts, stops = a.tolist(), (a + n + w - 1).tolist()
-        heavy_list = heavy.tolist()
-        first = 0
-        for i, (text, end) in enumerate(zip(batch.column("text").to_pylist(), ends, strict=True)):
+        starts, stops = col["a"].tolist(), (col["a"] + col["n"] + w - 1).tolist()
+        segs, first = [], 0
+        for text, end in zip(batch.column("text").to_pylist(), np.cumsum(counts).tolist(), strict=True):
             seq = units.sequence(text)
-            for j in range(first, end):
-                if not heavy_list[j]:
-                    segs.append(units.cut(seq, starts[j], stops[j]))
-                    continue
-                for k in range(starts[j], stops[j] - w + 1):
-                    wholes.append(xxhash.xxh3_128_digest(units.cut(seq, k, k + w)))
-                    at.append((i, k))
-                if len(wholes) > 50_000:
-                    yield windows(wholes, at, ords, ties)
-                    wholes, at = [], []
+            segs += [units.cut(seq, starts[j], stops[j]) for j in range(first, end)]
             first = end
-        light = ~heavy
-        if segs:
-            r = row[light]
-            cols = (key[light], None, ords[r], ties[r], a[light], n[light], own[light], segs)
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(segs), f.type) if c is None else pa.array(c, f.type) for c, f in zip(cols, _SEGMENTS, strict=True)], schema=_SEGMENTS)
-        if wholes:
-            yield windows(wholes, at, ords, ties)
+        return _columns([col["key"], col["same"], ords[row], ties[row], col["a"], col["n"], *(col[x].astype(bool) for x in ("own", "multi", "hot")), segs], _KINDS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 128):
-                yield from part(pa.RecordBatch.from_arrays([pa.concat_arrays([c.slice(lo, 128)]) for c in batch.columns], names=batch.schema.names))
+                yield part(pa.RecordBatch.from_arrays([pa.concat_arrays([c.slice(lo, 128)]) for c in batch.columns], names=batch.schema.names))
 
     return run
 
 
-def _table(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    cols = list(zip(*rows, strict=True)) or [()] * len(schema)
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
+def _split_kinds(units: Bytes, gram: int):
+    """The runs, by that gram, of the segments of kinds."""
+    w = units.window
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for up_key, up_same, o, t, at, multi, seg in zip(*(batch.column(c).to_pylist() for c in ("key", "same", "ord", "tie", "a", "multi", "seg")), strict=True):
+                seq = seg if type(units) is Bytes else seg.split(b" ")
+                for key, same, a, n, own in zip(*(x.tolist() for x in runs_of(units.numbers(seg), w, gram)), strict=True):
+                    rows.append((up_key, up_same, a, key, same, o, t, at + a, n, own, multi, units.cut(seq, a, a + n + w - 1)))
+                if len(rows) > 20_000:
+                    yield _columns(list(zip(*rows, strict=True)), _SUB)
+                    rows = []
+            if rows:
+                yield _columns(list(zip(*rows, strict=True)), _SUB)
+
+    return run
 
-#: A group: distinct segments, each with its windows, whether it may repeat itself, and its occurrences in order.
-Segment = tuple[bytes, int, bool, list[tuple[int, int, int]]]
-#: Judges groups at once: for each, (occurrence, first window, windows) of what is to be marked.
-Judge = Callable[[list[list[Segment]]], Iterator[tuple[tuple[int, int, int], int, int]]]
+
+#: A kind: its segment, its windows, whether it has more than one occurrence, and the first (ord, tie, a).
+Kind = tuple[bytes, int, bool, tuple[int, int, int]]
+#: Judges whole groups of kinds at once: (kind's number, first window, windows, rest) of what repeats; rest: its first
+#: occurrence is the earliest of all and only the others count.
+Judge = Callable[[list[Kind]], Iterator[tuple[int, int, int, bool]]]
 
 
 def _judge_groups(judge: Judge, gather: int):
-    """Rows come sorted by key. Gathers whole groups up to gather bytes and lets judge mark windows."""
+    """Rows come sorted by key. Gathers whole groups up to gather bytes and lets judge look at them."""
 
-    def flush(groups: list[list[Segment]]) -> pa.RecordBatch:
-        return _table([(o[0], o[1], o[2] + i, o[2] + i + n) for o, i, n in judge(groups)], _MARKS)
+    def flush(names: list[tuple[int, int]], kinds: list[Kind]) -> pa.RecordBatch:
+        rows = [(*names[k], i, m, rest, *(kinds[k][3] if rest else (None, None, None))) for k, i, m, rest in judge(kinds)] if kinds else []
+        return _columns(list(zip(*rows, strict=True)) or [()] * len(_VERDICTS), _VERDICTS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups: list[list[Segment]] = []
+        names: list[tuple[int, int]] = []
+        kinds: list[Kind] = []
         size, key, now = 0, None, {}
 
         def close() -> int:
-            if now and (len(now) > 1 or any(own or len(at) > 1 for _, own, at in now.values())):
-                groups.append([(seg, n, own, sorted(at)) for seg, (n, own, at) in now.items()])
-                return sum(map(len, now))
+            if len(now) > 1 or any(own or k[2] for own, k in now.values()):
+                names.extend((key, same) for same in now)
+                kinds.extend(k for _, k in now.values())
+                return sum(len(k[0]) for _, k in now.values())
             return 0
 
         for batch in batches:
-            for k, o, t, a, n, own, seg in zip(*(batch.column(c).to_pylist() for c in ("key", "ord", "tie", "a", "n", "own", "seg")), strict=True):
+            for k, same, o, t, a, n, own, multi, seg in zip(*(batch.column(c).to_pylist() for c in ("key", "same", "ord", "tie", "a", "n", "own", "multi", "seg")), strict=True):
                 if k != key:
                     size += close()
                     key, now = k, {}
                     if size > gather:
-                        yield flush(groups)
-                        groups, size = [], 0
-                known = now.get(seg)
-                if known is None:
-                    now[seg] = (n, own, {(o, t, a)})
-                else:
-                    known[2].add((o, t, a))
+                        yield flush(names, kinds)
+                        names, kinds, size = [], [], 0
+                now[same] = (own, (seg, n, multi, (o, t, a)))
         close()
-        yield flush(groups)
+        yield flush(names, kinds)
 
     return run
 
 
-def find_marks(docs: DataFrame, units: Bytes, judge: Judge, keep_earliest: bool, gather: int = GATHER) -> DataFrame:
-    """(ord, tie, a, b): windows a .. b-1 of a document (ord, tie, text) that repeat; with keep_earliest all but the first
-    of equal windows, else all. The windows a heavy key holds are compared by hash, all others by judge."""
-    runs = materialize(docs.mapInArrow(_find_runs(units), _RUNS_DDL), "repeat-runs")
-    keys = runs.groupBy("key").agg(F.count("*").alias("c"), F.max("own").alias("any_own")).filter("c > 1 OR any_own").select("key", (F.col("c") > HEAVY).alias("heavy"))
+_WHERE = ("ord", "tie", "a")
+
+
+def _hot(kinds: DataFrame) -> DataFrame:
+    """kinds with hot: whether their key has more than LIMIT of them."""
+    hot = materialize(kinds.groupBy("key").agg(F.count("*").alias("d")).filter(F.col("d") > LIMIT).select("key", F.lit(True).alias("hot")), "repeat-hot")
+    hot = F.broadcast(hot) if hot.count() <= BROADCAST_ROWS else hot
+    return kinds.drop("hot").join(hot, "key", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+
+
+def _verdicts(kinds: DataFrame, units: Bytes, judge: Judge, gather: int, level: int = 0) -> DataFrame:
+    """Verdicts on kinds, grouped by grams of that level; hot ones by longer grams."""
+    light = kinds.filter(~F.col("hot")).repartition(shuffle_partitions(kinds.sparkSession), "key").sortWithinPartitions("key")
+    judged = materialize(light.mapInArrow(_judge_groups(judge, gather), _VERDICTS_DDL), "repeat-verdicts")
+    hot = kinds.filter("hot").drop("hot")
+    if level + 1 == len(units.grams) or hot.isEmpty():
+        return judged
+    sub = materialize(hot.repartition(shuffle_partitions(kinds.sparkSession)).mapInArrow(_split_kinds(units, units.grams[level + 1]), _SUB_DDL), "repeat-split")
+    where = F.struct(*_WHERE)
+    again = sub.groupBy("key", "same", "seg").agg(F.min(where).alias("first"), F.max(where).alias("last"), F.max("n").alias("n"), F.max("own").alias("own"), F.max("multi").alias("multi"))
+    again = materialize(again.select("key", "same", "first.*", "n", "own", (F.col("multi") | (F.col("first") != F.col("last"))).alias("multi"), F.lit(False).alias("hot"), "seg"), "repeat-kinds")
+    if level + 2 < len(units.grams):
+        again = materialize(_hot(again), "repeat-kinds")
+    found = _verdicts(again, units, judge, gather, level + 1).withColumnsRenamed({c: f"v_{c}" for c in (*_WHERE, "key", "same")})
+    met = sub.drop("n", "own", "multi", "seg").join(found, (F.col("key") == F.col("v_key")) & (F.col("same") == F.col("v_same")))
+    rest = F.col("rest") & (F.col("ord") == F.col("v_ord")) & (F.col("tie") == F.col("v_tie")) & (F.col("a") == F.col("v_a"))
+    back = met.withColumn("rest", rest).select(
+        F.col("up_key").alias("key"), F.col("up_same").alias("same"), (F.col("off") + F.col("i")).alias("i"), "m", "rest",
+        F.when(rest, F.col("ord")).alias("ord"), F.when(rest, F.col("tie")).alias("tie"), F.when(rest, F.col("a") - F.col("off")).alias("a"),
+    )
+    return judged.unionByName(materialize(back, "repeat-verdicts"))
+
+
+def find_marks(docs: DataFrame, units: Bytes, judge: Judge, gather: int = GATHER) -> DataFrame:
+    """(ord, tie, a, b): windows a .. b-1 of a document (ord, tie, text) that repeat, as judge says."""
+    runs = materialize(docs.mapInArrow(_find_runs(units, units.grams[0]), _RUNS_DDL), "repeat-runs")
     # written, so that the join reads plain exchanges, of which adaptive execution can split those of common keys
-    keys = materialize(keys, "repeat-keys")
-    found = runs.join(keys, "key").groupBy("ord", "tie").agg(F.collect_list(F.struct("key", "a", "n", "own", "heavy")).alias("runs"))
-    found = materialize(found, "repeat-found")
+    keys = materialize(runs.groupBy("key").agg(F.count("*").alias("c"), F.max("own").alias("any_own")).filter("c > 1 OR any_own").select("key"), "repeat-keys")
+    found = materialize(runs.join(keys, "key"), "repeat-found")
     discard(runs)
     discard(keys)
-    cut = docs.join(found.hint("shuffle_hash"), ["ord", "tie"]).select("ord", "tie", "text", "runs").mapInArrow(_cut_segments(units), _SEGMENTS_DDL)
+    where = F.struct(*_WHERE)
+    kinds = found.groupBy("key", "same").agg(F.min(where).alias("first"), F.max(where).alias("last"), F.max("n").alias("n"), F.max("own").alias("own"))
+    kinds = materialize(kinds.select("key", "same", "first.*", "n", "own", (F.col("first") != F.col("last")).alias("multi")), "repeat-kinds")
+    per = _hot(kinds).groupBy("ord", "tie").agg(F.collect_list(F.struct("key", "same", "a", "n", "own", "multi", "hot")).alias("kinds"))
+    cut = docs.join(per.hint("shuffle_hash"), ["ord", "tie"]).select("ord", "tie", "text", "kinds").mapInArrow(_cut_kinds(units), _KINDS_DDL)
     segments = materialize(cut, "repeat-segments")
-    discard(found)
-    light = segments.filter("key IS NOT NULL").drop("whole").repartition(shuffle_partitions(docs.sparkSession), "key").sortWithinPartitions("key")
-    marks = light.mapInArrow(_judge_groups(judge, gather), _MARKS_DDL)
-    heavy = segments.filter("whole IS NOT NULL").select("whole", "ord", "tie", F.col("a").cast("long").alias("a"))
-    where = F.struct("ord", "tie", "a")
-    sums = materialize(heavy.groupBy("whole").agg(F.min(where).alias("first"), F.max(where).alias("last")).filter("first != last"), "repeat-windows")
-    again = heavy.join(sums, "whole")
-    if keep_earliest:
-        again = again.filter(where != F.col("first"))
-    out = materialize(marks.unionByName(again.select("ord", "tie", "a", (F.col("a") + 1).alias("b"))), "repeat-marks")
+    discard(kinds)
+    verdicts = _verdicts(segments, units, judge, gather).withColumnsRenamed({c: f"v_{c}" for c in _WHERE})
+    other = ~F.col("rest") | (F.col("ord") != F.col("v_ord")) | (F.col("tie") != F.col("v_tie")) | (F.col("a") != F.col("v_a"))
+    start = (F.col("a") + F.col("i")).cast("long")
+    out = materialize(found.join(verdicts, ["key", "same"]).filter(other).select("ord", "tie", start.alias("a"), (start + F.col("m")).alias("b")), "repeat-marks")
     discard(segments)
-    discard(sums)
+    discard(found)
     return out
 
 

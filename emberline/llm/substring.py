@@ -1,9 +1,10 @@
 """Substring deduplication by prefix-partitioned suffix trees: words that repeat in windows of 35 are removed everywhere.
 
-Suffixes (word positions) are split by prefixes of variable length into groups that fit a task: a gram of 16 words that the
-suffix's window is keyed by, and all 35 words where that would group too many (see _repeats). In each group the suffixes
-are sorted and neighbours compared, which lays out the leaves of the group's suffix tree; the leaves below an internal node
-of depth 35 or more are the repeats. Equal segments enter the tree once.
+Suffixes (word positions) are split by prefixes of variable length into groups that fit a task: grams of 16 words, of 28 and
+of 35 where a shorter one would group too many (see _repeats). Of each batch of groups the suffixes are sorted by ranks of
+growing prefixes, and common prefixes of neighbours are read off those ranks: the leaves of the subtree in order, and the
+depths of its internal nodes. Leaves below an internal node of depth 35 or more repeat, and so does a leaf that stands for
+several occurrences. Equal segments enter the tree once, with their multiplicity.
 
 Nulls and odd input: null texts have no words; rows equal in id and text are one document and answered alike; a null doc_id
 is a document; other columns are ignored.
@@ -12,54 +13,60 @@ is a document; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ._repeats import Segment, Words, covered, find_marks, source, with_marks
+from ._repeats import Kind, Words, covered, find_marks, source, with_marks
+from .suffixarray import suffix_order
 
-WINDOW, GRAM = 35, 16
+WINDOW, GRAMS = 35, (16, 28)
 
 
-def deep_leaves(suffixes: list[tuple[bytes, int, int]]) -> list[list[tuple[bytes, int, int]]]:
-    """Groups of leaves below the internal nodes at the depth to which the suffixes (cut there) reach."""
-    suffixes.sort()
-    out, group = [], suffixes[:1]
-    for s in suffixes[1:]:
-        if s[0] == group[0][0]:
-            group.append(s)
-        else:
-            if len(group) > 1:
-                out.append(group)
-            group = [s]
-    return out + [group] if len(group) > 1 else out
+def common_prefixes(levels: list[tuple[int, np.ndarray]], t: np.ndarray, p: np.ndarray, q: np.ndarray, stop: int) -> np.ndarray:
+    """Common prefix of the suffixes at p and at q, up to stop or a little more. levels: (step, rank of each position by its
+    first step symbols), ascending."""
+    n = len(t)
+    depth = np.zeros(len(p), np.int64)
+    for step, rank in [*levels[::-1], (1, t)]:
+        live = np.flatnonzero(depth < stop)
+        while len(live):
+            a, b = p[live] + depth[live], q[live] + depth[live]
+            inside = (a < n) & (b < n)
+            live, a, b = live[inside], a[inside], b[inside]
+            live = live[rank[a] == rank[b]]
+            depth[live] += step
+            live = live[depth[live] < stop]
+    return depth
 
 
 def judge(window: int):
-    def run(groups: list[list[Segment]]) -> Iterator[tuple[tuple[int, int, int], int, int]]:
-        for group in groups:
-            marked = [[False] * n for _, n, _, _ in group]
-            if len(group) > 1 or group[0][2]:
-                suffixes = []
-                for k, (seg, n, _, _) in enumerate(group):
-                    words = seg.split(b" ")
-                    suffixes += [(b" ".join(words[i : i + window]), k, i) for i in range(n)]
-                for leaves in deep_leaves(suffixes):
-                    for _, k, i in leaves:
-                        marked[k][i] = True
-            for k, (_, n, _, at) in enumerate(group):
-                if len(at) > 1:
-                    marked[k] = [True] * n
-                i = 0
-                while i < n:
-                    j = i
-                    while j < n and marked[k][j]:
-                        j += 1
-                    if j > i:
-                        for o in at:
-                            yield o, i, j - i
-                    i = j + 1
+    def run(kinds: list[Kind]) -> Iterator[tuple[int, int, int, bool]]:
+        number = defaultdict(count(1).__next__)
+        texts = [[number[w] for w in k[0].split(b" ")] for k in kinds]
+        sizes = np.array([len(x) + 1 for x in texts])
+        base = np.r_[0, np.cumsum(sizes)[:-1]]
+        t = np.array([x for words in texts for x in (*words, 0)], np.int64)
+        windows, multi = np.array([k[1] for k in kinds]), np.array([k[2] for k in kinds])
+        levels: list[tuple[int, np.ndarray]] = []
+        order = suffix_order(t, window, levels)
+        kind_of = np.repeat(np.arange(len(kinds)), sizes)
+        order = order[order - base[kind_of[order]] < windows[kind_of[order]]]  # leaves of whole windows
+        node = np.cumsum(np.r_[0, common_prefixes(levels, t, order[:-1], order[1:], window) < window])
+        k = kind_of[order]
+        repeated = np.bincount(node, 1 + multi[k])[node] > 1
+        marked = np.sort(order[repeated])
+        if not len(marked):
+            return
+        k, i = kind_of[marked], marked - base[kind_of[marked]]
+        start = np.flatnonzero(np.r_[True, (np.diff(marked) != 1) | (np.diff(k) != 0)])
+        lengths = np.diff(np.r_[start, len(marked)])
+        for a, b, m in zip(k[start].tolist(), i[start].tolist(), lengths.tolist(), strict=True):
+            yield a, b, m, False
 
     return run
 
@@ -86,8 +93,8 @@ def _apply(window: int, with_text: bool):
     return run
 
 
-def dedup_words(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, with_text: bool = True) -> DataFrame:
+def dedup_words(docs: DataFrame, window: int = WINDOW, grams: tuple[int, ...] = GRAMS, with_text: bool = True) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256, kept): kept is the text of the words that stay, joined by spaces."""
     src = source(docs)
-    marks = find_marks(src.drop("doc_id"), Words(window, gram), judge(window), keep_earliest=False)
+    marks = find_marks(src.drop("doc_id"), Words(window, grams), judge(window))
     return with_marks(src, marks).mapInArrow(_apply(window, with_text), _OUT_DDL)

@@ -1,11 +1,12 @@
 """Suffix-array deduplication of bytes by threshold-bounded interval expansion on a Burrows-Wheeler transform.
 
-Candidate segments come in groups that fit a task (see _repeats). Groups are judged many at a time: their segments are
-joined with separators, and of the suffix order the Burrows-Wheeler transform and its rank table are made. From the
+Candidate segments come in groups that fit a task, split by grams of 32, 64 and 100 bytes (see _repeats); equal segments are
+one kind, with its multiplicity. Groups are judged many at a time: the segments of all their kinds are joined with
+separators, and of the suffix order the Burrows-Wheeler transform and its rank table are made. From the
 interval of the empty string, intervals are extended backwards by one byte, breadth first; the first time an interval ends
 at a rank, its length is the common prefix there, so prefixes appear by increasing value. The search stops at WINDOW: ranks
-without a value by then share WINDOW bytes or more with their neighbour. Each such set of suffixes is one repeated string;
-its earliest start stays, all later ones are marked.
+without a value by then share WINDOW bytes or more with their neighbour. Each such set of suffixes is one string; the
+earliest start of all its kinds' occurrences stays, all later ones are marked.
 
 Nulls and odd input: null texts are empty; rows equal in id and text are one document and answered alike; a null doc_id is
 the last document; rows that share an id are ordered by a hash of their text; other columns are ignored.
@@ -20,9 +21,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ._repeats import Bytes, Segment, covered, find_marks, source, with_marks
+from ._repeats import Bytes, Kind, covered, find_marks, source, with_marks
 
-WINDOW, GRAM = 100, 32
+WINDOW, GRAMS = 100, (32, 64)
 #: Bytes of segments that are judged at once; the rank table takes a byte for each of them and each different byte.
 GATHER = 128 << 10
 
@@ -31,11 +32,12 @@ GATHER = 128 << 10
 TABLE_BYTES = 192 << 20
 
 
-def suffix_order(t: np.ndarray, depth: int) -> np.ndarray:
-    """Positions of t (0 .. 256) in the order of their suffixes' first depth symbols or more; ties in any order."""
+def suffix_order(t: np.ndarray, depth: int, levels: list[tuple[int, np.ndarray]] | None = None) -> np.ndarray:
+    """Positions of t (from 0) in the order of their suffixes' first depth symbols or more; ties in any order. levels, if
+    given, gets (step, rank of each position by its first step symbols) of each round."""
     n = len(t)
     present = np.flatnonzero(np.bincount(t))
-    dense = np.zeros(257, np.int64)
+    dense = np.zeros(int(t.max()) + 1, np.int64)
     dense[present] = np.arange(len(present))
     bits = max(1, (len(present) - 1).bit_length())
     step = 63 // bits  # symbols that the first sort key packs
@@ -47,10 +49,15 @@ def suffix_order(t: np.ndarray, depth: int) -> np.ndarray:
         order = np.argsort(key)
         s = key[order]
         new = np.cumsum(np.r_[0, s[1:] != s[:-1]])
-        if step >= depth or new[-1] == n - 1:
+        done = step >= depth or new[-1] == n - 1
+        if done and levels is None:
             return order
         rank = np.empty(n, np.int64)
         rank[order] = new
+        if levels is not None:
+            levels.append((step, rank))
+        if done:
+            return order
         # a key packs the ranks of as many steps as 63 bits hold, two at least
         each = n.bit_length()
         key = rank
@@ -138,44 +145,31 @@ def common_prefixes(t: np.ndarray, order: np.ndarray, stop: int) -> np.ndarray:
 
 
 def judge(window: int):
-    def run(groups: list[list[Segment]]) -> Iterator[tuple[tuple[int, int, int], int, int]]:
-        hard = []
-        for g in groups:
-            # whatever a segment's later occurrences hold started in its first one
-            for _, n, _, at in g:
-                for o in at[1:]:
-                    yield o, 0, n
-            if len(g) > 1 or g[0][2]:
-                hard.append(g)
-        if not hard:
-            return
-        segs = [s for g in hard for s in g]
-        sizes = np.array([len(s[0]) + 1 for s in segs])
+    def run(kinds: list[Kind]) -> Iterator[tuple[int, int, int, bool]]:
+        sizes = np.array([len(k[0]) + 1 for k in kinds])
         base = np.r_[0, np.cumsum(sizes)[:-1]]
-        t = np.frombuffer(b"".join(s[0] + b"\0" for s in segs), np.uint8).astype(np.int64) + 1
+        t = np.frombuffer(b"".join(k[0] + b"\0" for k in kinds), np.uint8).astype(np.int64) + 1
         t[base + sizes - 1] = 0
         order = suffix_order(t, window)
         lcp = common_prefixes(t, order, window)
-        seg_of = np.repeat(np.arange(len(segs)), sizes)
-        windows = np.array([s[1] for s in segs])
+        kind_of = np.repeat(np.arange(len(kinds)), sizes)
+        windows, multi = np.array([k[1] for k in kinds]), np.array([k[2] for k in kinds])
         run_id = np.cumsum(lcp < window)
-        s = seg_of[order]
+        s = kind_of[order]
         i = order - base[s]
         valid = i < windows[s]
         s, i, run_id = s[valid], i[valid], run_id[valid]
-        # equal windows of one group: groups differ in their key, so equal windows never lie in two
-        firsts = [x[3][0] for x in segs]
-        doc_rank = {d: k for k, d in enumerate(sorted({o[:2] for o in firsts}))}
-        where = np.array([doc_rank[o[:2]] << 32 | o[2] for o in firsts])[s] + i
+        # equal windows have equal keys, so those of two groups are never equal
+        doc_rank = {d: k for k, d in enumerate(sorted({k[3][:2] for k in kinds}))}
+        where = np.array([doc_rank[k[3][:2]] << 32 | k[3][2] for k in kinds])[s] + i
         bounds = np.flatnonzero(np.r_[True, run_id[1:] != run_id[:-1]])
-        earliest = np.minimum.reduceat(where, bounds)
-        later = where != np.repeat(earliest, np.diff(np.r_[bounds, len(where)]))
-        marked = np.sort(s[later] << 32 | i[later])
-        if not len(marked):
-            return
-        start = np.flatnonzero(np.r_[True, marked[1:] != marked[:-1] + 1])
-        for m, n in zip(marked[start].tolist(), np.diff(np.r_[start, len(marked)]).tolist(), strict=True):
-            yield firsts[m >> 32], m & 0xFFFFFFFF, n
+        earliest = np.repeat(np.minimum.reduceat(where, bounds), np.diff(np.r_[bounds, len(where)]))
+        for rest, chosen in ((False, where != earliest), (True, (where == earliest) & multi[s])):
+            marked = np.sort(s[chosen] << 32 | i[chosen])
+            if len(marked):
+                start = np.flatnonzero(np.r_[True, marked[1:] != marked[:-1] + 1])
+                for m, n in zip(marked[start].tolist(), np.diff(np.r_[start, len(marked)]).tolist(), strict=True):
+                    yield m >> 32, m & 0xFFFFFFFF, n, rest
 
     return run
 
@@ -203,8 +197,8 @@ def _apply(window: int, with_text: bool):
     return run
 
 
-def dedup_bytes(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, with_text: bool = True) -> DataFrame:
+def dedup_bytes(docs: DataFrame, window: int = WINDOW, grams: tuple[int, ...] = GRAMS, with_text: bool = True) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept): kept is the bytes that stay; they may split a character."""
     src = source(docs)
-    marks = find_marks(src.drop("doc_id"), Bytes(window, gram), judge(window), keep_earliest=True, gather=GATHER)
+    marks = find_marks(src.drop("doc_id"), Bytes(window, grams), judge(window), GATHER)
     return with_marks(src, marks).mapInArrow(_apply(window, with_text), _OUT_DDL)
