@@ -1,22 +1,22 @@
 """Quality classifier by compression: two zstandard dictionaries, built from good and from bad labelled text.
 
-A text is reduced to its word shapes (runs of letters by length class, digits alike, all else as it is), cut into blocks,
-and each block is compressed under both dictionaries. The difference of the two total sizes over their sum, one number per
-whole text, becomes a probability by logistic calibration on labelled rows that the dictionaries have not seen.
+A text, in lower case, is cut into blocks of BLOCK bytes, and each block is compressed under both dictionaries. The
+difference of the two total sizes over their sum, one number per whole text, becomes a probability by logistic calibration
+on labelled rows that the dictionaries have not seen.
 
-Learning reads a bounded number of labelled rows (SAMPLE_ROWS of each class for the dictionaries and for the calibration,
-chosen by a hash of doc_id). Calibration measures their whole texts, on the executors, as scoring does. The dictionaries
-learn from whole texts too; only if those are over SAMPLE_BYTES in all, each gives blocks spread evenly over its length.
+Learning reads a bounded number of labelled rows (SAMPLE_ROWS of each class for the dictionaries and as many for the
+calibration, chosen by a hash of doc_id), always their whole texts, and on the executors: the driver gets two dictionaries
+of DICT_BYTES and a number for each row of the calibration.
 
 Nulls and odd input: null and empty texts get the score of a difference of zero; labels that are null are ignored, the
-lowest of repeated labels counts; without rows of both labels each score is the share of label 1, or 0.5 without labels.
-A null doc_id is not held out. Repeated rows are scored alike; other columns are ignored.
+lowest of repeated labels counts, and the least of the texts that share a labelled doc_id; without rows of both labels each
+score is the share of label 1, or 0.5 without labels. A null doc_id is not held out. Repeated rows are scored alike; other
+columns are kept or ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,29 +25,20 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ._shared import materialize
+from ._shared import materialize, quoted
 
 FOLDS = 5
 SAMPLE_ROWS = 2000
-SAMPLE_BYTES = 32 << 20
-DICT_BYTES = 16 << 10
-BLOCK = 512
-TRAIN_BLOCK = 4096
-LEVEL = 3
+DICT_BYTES = 64 << 10
+BLOCK = 256
+LEVEL = 1
 THRESHOLD = 0.3
-_WORD = re.compile(r"[^\W\d_]+")
-_DIGIT = re.compile(r"\d")
-_SHAPES = ["a"] * 4 + ["b"] * 5 + ["c"]
 
 
-def _shape_word(m: re.Match) -> str:
-    return _SHAPES[min(m.end() - m.start(), 9)]
-
-
-def shape(text: str) -> bytes:
-    """Letters runs of up to 3, 8 and more letters become a, b and c; digits become 0."""
-    return _DIGIT.sub("0", _WORD.sub(_shape_word, text)).encode()
+def prepared(text: str | None) -> bytes:
+    return (text or "").lower().encode()
 
 
 @dataclass(frozen=True)
@@ -62,13 +53,10 @@ class Model:
     def scorer(self):
         if not self.good:
             return lambda text: 1 / (1 + math.exp(-self.intercept))
-        dicts = [zstandard.ZstdCompressionDict(d) for d in (self.good, self.bad)]
-        for d in dicts:
-            d.precompute_compress(level=LEVEL)
-        good, bad = (zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False) for d in dicts)
+        good, bad = compressors((self.good, self.bad))
 
-        def score(text: str) -> float:
-            z = self.slope * size_difference(shape(text), good, bad) + self.intercept
+        def score(text: str | None) -> float:
+            z = self.slope * size_difference(prepared(text), good, bad) + self.intercept
             return 1 / (1 + math.exp(-max(-40.0, min(40.0, z))))
 
         return score
@@ -99,24 +87,23 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(w[0] / scale), float(w[1])
 
 
-def _compressors(dictionaries: tuple[bytes, bytes]) -> list[zstandard.ZstdCompressor]:
-    return [zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(d), write_content_size=False) for d in dictionaries]
+def compressors(dictionaries: tuple[bytes, bytes]) -> list[zstandard.ZstdCompressor]:
+    dicts = [zstandard.ZstdCompressionDict(d) for d in dictionaries]
+    for d in dicts:
+        d.precompute_compress(level=LEVEL)
+    return [zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False) for d in dicts]
 
 
-def blocks(data: bytes, fraction: float = 1.0) -> list[bytes]:
-    """That fraction of the blocks of a text's shape, one at least, spread evenly from its start to its end."""
-    whole = [data[i : i + TRAIN_BLOCK] for i in range(0, len(data), TRAIN_BLOCK)]
-    n = math.ceil(len(whole) * fraction)
-    return [whole[int((j + 0.5) * len(whole) / n)] for j in range(n)]
+def blocks(data: bytes) -> list[bytes]:
+    return [data[i : i + BLOCK] for i in range(0, len(data), BLOCK)]
 
 
-def train(rows: list[tuple[int, bytes]]) -> tuple[bytes, bytes] | None:
-    """The dictionaries of the good and of the bad blocks, or None of too little text. rows: (label, block)."""
+def dictionary(texts: list[bytes]) -> bytes:
+    """A dictionary of the blocks of all texts; empty if they are too few."""
     try:
-        good, bad = (zstandard.train_dictionary(DICT_BYTES, [t for q, t in rows if q == label]).as_bytes() for label in (1, 0))
+        return zstandard.train_dictionary(DICT_BYTES, [b for t in texts for b in blocks(t)]).as_bytes()
     except zstandard.ZstdError:
-        return None
-    return good, bad
+        return b""
 
 
 def fold(doc_id: Column) -> Column:
@@ -124,27 +111,17 @@ def fold(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % FOLDS
 
 
-def _shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        done = pa.array([shape(t) for t in batch.column("text").to_pylist()], pa.binary())
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), batch.column("part"), done], names=["doc_id", "label", "part", "text"])
-
-
-def _blocks(fraction: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, labels, texts = (batch.column(c).to_pylist() for c in ("doc_id", "label", "text"))
-            done = [(d, q, t) for d, q, text in zip(ids, labels, texts, strict=True) for t in blocks(text, fraction)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in done], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.binary()))], names=["doc_id", "label", "text"])
-
-    return run
+def _learn(table: pa.Table) -> pa.Table:
+    """One label's rows: its dictionary."""
+    rows = sorted(zip(table.column("doc_id").to_pylist(), table.column("text").to_pylist(), strict=True))
+    return pa.table({"label": pa.array([table.column("label")[0].as_py()], pa.int32()), "found": pa.array([dictionary([prepared(t) for _, t in rows])], pa.binary())})
 
 
 def _differences(dictionaries: tuple[bytes, bytes]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        good, bad = _compressors(dictionaries)
+        good, bad = compressors(dictionaries)
         for batch in batches:
-            x = pa.array([size_difference(t, good, bad) for t in batch.column("text").to_pylist()], pa.float64())
+            x = pa.array([size_difference(prepared(t), good, bad) for t in batch.column("text").to_pylist()], pa.float64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), x], names=["doc_id", "label", "x"])
 
     return run
@@ -163,36 +140,36 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         return Model(b"", b"", 0.0, 0.0)
     sample = docs.sparkSession.createDataFrame(picked, known.schema)  # 4 x SAMPLE_ROWS rows of ids at most
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id")
-    shaped = materialize(texts.mapInArrow(_shapes, "doc_id long, label int, part int, text binary"), "labelled")
-    found = shaped.groupBy("part", "label").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("size")).collect()  # 4 rows at most
+    rows = materialize(texts.groupBy("doc_id", "label", "part").agg(F.min("text").alias("text")), "labelled")
+    found = rows.groupBy("part", "label").agg(F.count("*").alias("n")).collect()  # 4 rows at most
     share = (sum(r.n for r in found if r.label) + 0.5) / (sum(r.n for r in found) + 1)
     prior = Model(b"", b"", 0.0, math.log(share / (1 - share)))
     if len(found) < 4:
         return prior
-    fraction = min(1.0, SAMPLE_BYTES / max(1, sum(r.size for r in found if r.part == 0)))
-    learnt = shaped.filter("part = 0").mapInArrow(_blocks(fraction), "doc_id long, label int, text binary").collect()
-    made = train([(q, t) for _, q, t in sorted((r.doc_id, r.label, bytes(r.text)) for r in learnt)])
-    if made is None:
+    made = dict(rows.filter("part = 0").groupBy("label").applyInArrow(_learn, "label int, found binary").collect())
+    good, bad = bytes(made[1]), bytes(made[0])
+    if not good or not bad:
         return prior
-    measured = sorted(map(tuple, shaped.filter("part = 1").mapInArrow(_differences(made), "doc_id long, label int, x double").collect()))
-    return Model(*made, *_logistic(np.array([x for _, _, x in measured]), np.array([q for _, q, _ in measured], float)))
+    measured = sorted(map(tuple, rows.filter("part = 1").mapInArrow(_differences((good, bad)), "doc_id long, label int, x double").collect()))
+    return Model(good, bad, *_logistic(np.array([x for _, _, x in measured]), np.array([q for _, q, _ in measured], float)))
 
 
-def _scorer(model: Model, name: str):
+def _scorer(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = model.scorer()
         for batch in batches:
-            scores = pa.array([score(t or "") for t in batch.column("text").to_pylist()], pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=[*batch.schema.names, name])
+            scores = pa.array([score(t) for t in batch.column("text").to_pylist()], pa.float64())
+            yield pa.RecordBatch.from_arrays([batch.column("rest"), scores], names=["rest", "score"])
 
     return run
 
 
 def score_documents(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
     """docs with a column of that name, which replaces another: how likely label 1 is."""
-    kept = docs.drop(name)
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
-    return kept.mapInArrow(_scorer(model, name), f"{ddl}, {name} double")
+    kept = [c for c in docs.columns if c != name]
+    packed = docs.select(F.struct(*[F.col(quoted(c)) for c in kept]).alias("rest"), "text")
+    scored = packed.mapInArrow(_scorer(model), T.StructType([packed.schema["rest"], T.StructField("score", T.DoubleType())]))
+    return scored.select(*[F.col(f"rest.{quoted(c)}").alias(c) for c in kept], F.col("score").alias(name))
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -203,4 +180,5 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of docs, with their columns, that are not rejected."""
-    return score_documents(docs, fit(docs, labels), "_good").filter(F.col("_good") >= THRESHOLD).select(*docs.columns)
+    name = "_" * (1 + max(map(len, docs.columns))) + "good"  # longer than any other name
+    return score_documents(docs, fit(docs, labels), name).filter(F.col(name) >= THRESHOLD).drop(name)
