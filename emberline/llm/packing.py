@@ -16,10 +16,12 @@ other columns are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import os
+import threading
 import zlib
 from array import array
 from collections import defaultdict
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +34,8 @@ from ._shared import materialize
 WINDOW, DEPTH, BIN, FILL = 2048, 3, 8, 0.99
 END_ID = 1
 CACHED_LENGTH = 48
-#: How many words and letter words a worker keeps: about half a kilobyte each. FEWER suits executors that earlier stages filled.
-KEPT, FEWER = (500_000, 900_000), (200_000, 450_000)
+#: Memory that a worker's words take at most, and what one of them takes as measured; they go IDLE_S seconds after a task.
+KEPT_BYTES, ENTRY_BYTES, IDLE_S = 160 << 20, 220, 3.0
 BROADCAST_ROWS = 1_000_000
 #: Split as white space by str.split() but not by the tokenizer.
 ODD_SPACES = "\x1c\x1d\x1e\x1f"
@@ -45,19 +47,36 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-class Encoder(dict):
+class Kept(dict):
+    """Ids by word, in two generations of half the entries each: what is used again moves to the young one, and when that
+    is full the old one goes."""
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.half, self.old = max(1, most // 2), {}
+
+    def keep(self, word: str, ids: bytes) -> bytes:
+        if len(self) >= self.half:
+            self.old = dict(self)
+            self.clear()
+        self[word] = ids
+        return ids
+
+
+class Encoder(Kept):
     """Ids of texts as little-endian bytes. The tokenizer splits at white space, so the ids of words are kept and reused:
     those of whole words, and those of the lower-case letter words inside them, which far fewer words share."""
 
-    def __init__(self, path: str, kept: tuple[int, int] = KEPT):
+    def __init__(self, path: str, kept_bytes: int = KEPT_BYTES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        super().__init__()
+        entries = kept_bytes // ENTRY_BYTES
+        super().__init__(entries // 3)
+        self.letters = Kept(entries - entries // 3)
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.code, self.dtype = ("H", "<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else ("I", "<u4")
-        self.letters: dict[str, bytes] = {}
-        self.most, self.most_letters = kept
 
     def _ids(self, text: str) -> bytes:
         return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -65,27 +84,27 @@ class Encoder(dict):
     def _of_letters(self, word: str) -> bytes:
         ids = self.letters.get(word)
         if ids is None:
-            if len(self.letters) >= self.most_letters:
-                self.letters.clear()
-            ids = self.letters[word] = self._ids(word)
+            ids = self.letters.old.get(word)
+            if ids is None:  # ASCII letters in lower case are what the model itself sees
+                ids = array(self.code, [t.id for t in self.model.tokenize(word)]).tobytes() if word.isascii() else self._ids(word)
+            self.letters.keep(word, ids)
         return ids
 
     def __missing__(self, word: str) -> bytes:
         if len(word) > CACHED_LENGTH:
             return self._ids(word)
+        ids = self.old.get(word)
         # a run of letters is a unit of its own, in either case; a final sigma's lower case depends on its place
-        if "\u03a3" in word:
-            ids = self._ids(word)
-        elif word.isalpha():
-            ids = self._of_letters(word.lower())
-        elif word[-1] in ".," and word[:-1].isalpha():
-            ids = self._of_letters(word[:-1].lower()) + self._of_letters(word[-1])
-        else:
-            ids = self._ids(word)
-        if len(self) >= self.most:
-            self.clear()
-        self[word] = ids
-        return ids
+        if ids is None:
+            if "\u03a3" in word:
+                ids = self._ids(word)
+            elif word.isalpha():
+                ids = self._of_letters(word.lower())
+            elif word[-1] in ".," and word[:-1].isalpha():
+                ids = self._of_letters(word[:-1].lower()) + self._of_letters(word[-1])
+            else:
+                ids = self._ids(word)
+        return self.keep(word, ids)
 
     def encode(self, text: str) -> bytes:
         if any(c in text for c in ODD_SPACES):
@@ -93,23 +112,37 @@ class Encoder(dict):
         return b"".join(map(self.__getitem__, text.split()))
 
 
-_ENCODERS: dict[tuple, Encoder] = {}
+_ENCODERS: dict[str, Encoder] = {}
+_release: threading.Timer | None = None
 
 
-def encoder(path: str, kept: tuple[int, int] = KEPT) -> Encoder:
-    """One per process: a worker keeps its words from task to task."""
-    if (path, kept) not in _ENCODERS:
-        _ENCODERS[path, kept] = Encoder(path, kept)
-    return _ENCODERS[path, kept]
+@contextmanager
+def encoder(path: str) -> Iterator[Encoder]:
+    """One per process: a worker keeps its words from task to task, and lets go of them when IDLE_S pass without one."""
+    global _release
+    if _release:
+        _release.cancel()
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    try:
+        yield _ENCODERS[path]
+    finally:
+        _release = threading.Timer(IDLE_S, _ENCODERS.clear)
+        _release.daemon = True
+        _release.start()
 
 
 _PIECES = pa.schema([("chunk", pa.int32()), ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int32()), ("doc_tokens", pa.int64()), ("rank", pa.int64()), ("crc", pa.int64()), ("ids", pa.binary())])
 _PIECES_DDL = "chunk int, doc_id long, start long, length int, doc_tokens long, rank long, crc long, ids binary"
 
 
-def _tokenize(path: str, window: int, keep_all: bool, kept: tuple[int, int]):
+def _tokenize(path: str, window: int, keep_all: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, chunk, ranks = encoder(path, kept), TaskContext.get().partitionId(), defaultdict(int)
+        with encoder(path) as words:
+            yield from tokenized(batches, words)
+
+    def tokenized(batches: Iterator[pa.RecordBatch], words: Encoder) -> Iterator[pa.RecordBatch]:
+        chunk, ranks = TaskContext.get().partitionId(), defaultdict(int)
         closing = np.array([END_ID], words.dtype).tobytes()
         wide = words.dtype == "<u4"
         for batch in batches:
@@ -296,12 +329,12 @@ def _place(rows: np.ndarray, window: int, with_ids: bool, dtype: str):
     return run
 
 
-def pack_documents(docs: DataFrame, path: str | None = None, window: int = WINDOW, with_ids: bool = False, kept: tuple[int, int] = KEPT) -> DataFrame:
+def pack_documents(docs: DataFrame, path: str | None = None, window: int = WINDOW, with_ids: bool = False) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset) of each piece; with_ids adds its ids, unsigned
     little-endian 32-bit."""
     path = path or tokenizer_path()
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    pieces = materialize(src.mapInArrow(_tokenize(path, window, with_ids, kept), _PIECES_DDL), "pieces")
+    pieces = materialize(src.mapInArrow(_tokenize(path, window, with_ids), _PIECES_DDL), "pieces")
     counts = materialize(pieces.groupBy("chunk", "length").agg(F.count("*").alias("n")), "piece-counts")
     histogram = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # window entries at most
     rows = plan(histogram, window)
@@ -310,4 +343,6 @@ def pack_documents(docs: DataFrame, path: str | None = None, window: int = WINDO
     if counts.count() <= BROADCAST_ROWS:  # else the pieces are shuffled with their ids, by (chunk, length)
         firsts = F.broadcast(firsts)
     ranked = pieces.join(firsts, ["chunk", "length"]).withColumn("rank", F.col("rank") + F.col("rank0")).drop("rank0")
-    return ranked.mapInArrow(_place(rows, window, with_ids, encoder(path).dtype), _PLACED_DDL + (", ids binary" if with_ids else ""))
+    with encoder(path) as words:
+        dtype = words.dtype
+    return ranked.mapInArrow(_place(rows, window, with_ids, dtype), _PLACED_DDL + (", ids binary" if with_ids else ""))
