@@ -106,30 +106,23 @@ def _within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A head and a tail for each range, in order: each tail's next document is the following head, the last one's the first."""
-    first = last = None
+    """Each row is a range's last text with the first text of the next range."""
     for batch in batches:
-        out = []
-        for r in batch.to_pylist():
-            if r["kind"] == HEAD:
-                first = first or (r["text"], r["fingerprint"])
-                if last:
-                    out.append((0, ROW, *_finish(*last, r["text"], r["fingerprint"]), None))
-            else:
-                last = r["doc_id"], r["text"], r["fingerprint"]
-        yield _batch(out)
-    if last:
-        yield _batch([(0, ROW, *_finish(*last, *first), None)])
+        yield _batch([(0, ROW, *_finish(r["doc_id"], r["text"], r["fp"], r["next_text"], r["next_fp"]), None) for r in batch.to_pylist()])
 
 
 def fingerprint_documents(docs: DataFrame, parts: int | None = None) -> DataFrame:
     """Fingerprints of each text and of its edited text, and their likeness; see edited_text.
 
-    Texts are shuffled once, by ranges of (doc_id, hash). Only two texts of each range are handed on to the single
-    task that joins neighbouring ranges, so that task grows with the number of ranges, not with the rows."""
+    Texts are shuffled once, by ranges of (doc_id, hash). The last text of each range meets the first of the next range that
+    holds rows by an equi-join on the range's number; the driver sees only which ranges hold rows."""
     spark = docs.sparkSession
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
     ranged = src.repartitionByRange(parts or shuffle_partitions(spark), "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
     done = materialize(ranged.select("doc_id", "text").mapInArrow(_within, _DDL), "fingerprints")
-    edges = done.filter(F.col("kind") != ROW).coalesce(1).sortWithinPartitions("part", "kind").mapInArrow(_between, _DDL)
+    tails = done.filter(F.col("kind") == TAIL).select("part", "doc_id", "text", F.col("fingerprint").alias("fp"))
+    held = sorted(r.part for r in tails.select("part").collect())  # a number for each range
+    follows = spark.createDataFrame(list(zip(held, held[1:] + held[:1], strict=True)), "part int, next int")
+    heads = done.filter(F.col("kind") == HEAD).select(F.col("part").alias("next"), F.col("text").alias("next_text"), F.col("fingerprint").alias("next_fp"))
+    edges = tails.join(follows, "part").join(heads, "next").mapInArrow(_between, _DDL)
     return done.filter(F.col("kind") == ROW).unionByName(edges).drop("part", "kind", "text")

@@ -55,13 +55,16 @@ def base_spans(text: str) -> list[tuple[int, int, int, bytes]]:
 
 
 def token_spans(text: str, base: list[tuple[int, int, int, bytes]]) -> list[tuple[int, int, int, bytes]]:
-    """High-entropy tokens of mixed case with digits that touch no base span."""
-    out = []
+    """High-entropy tokens of mixed case with digits that touch no base span; both lists are walked once."""
+    out, k, reach = [], 0, 0  # reach: where the base spans that start before this token's end have ended
     for m in TOKEN.finditer(text):
+        start, end = m.span()
+        while k < len(base) and base[k][0] < end:
+            reach = max(reach, base[k][2])
+            k += 1
         v = m[0]
-        if any(c.isdigit() for c in v) and v.lower() != v and v.upper() != v and entropy(v) >= MIN_ENTROPY:
-            if not any(a < m.end() and m.start() < b for a, _, b, _ in base):
-                out.append((m.start(), 3, m.end(), _digest(v)))
+        if reach <= start and any(c.isdigit() for c in v) and v.lower() != v and v.upper() != v and entropy(v) >= MIN_ENTROPY:
+            out.append((start, 3, end, _digest(v)))
     return out
 
 

@@ -9,6 +9,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+import xxhash
 import zstandard
 
 from emberline.llm import chat, decontam, fingerprint, graph, linededup, packing, quality, secrets, simhash, substring, suffixarray
@@ -143,11 +144,12 @@ def test_fingerprints(docs, empty, texts):
     assert fingerprint.fingerprint_documents(empty).count() == 0
 
 
-@pytest.mark.parametrize("window,gram", [(35, 16), (5, 2)])
-def test_substring(docs, empty, texts, window, gram):
+@pytest.mark.parametrize("window,grams,limit", [(35, (16, 28), 4000), (5, (2,), 4000), (5, (2, 3), 2), (5, (2, 4), 1)])
+def test_substring(docs, empty, texts, window, grams, limit, monkeypatch):
+    monkeypatch.setattr("emberline.llm._repeats.LIMIT", limit)
     words = {d: t.encode().split() for d, t in texts}
     c = Counter(tuple(w[i : i + window]) for w in words.values() for i in range(len(w) - window + 1))
-    for r in substring.dedup_words(docs, window, gram).collect():
+    for r in substring.dedup_words(docs, window, grams).collect():
         w = words[r.doc_id]
         gone = bytearray(len(w))
         for i in range(len(w) - window + 1):
@@ -157,9 +159,9 @@ def test_substring(docs, empty, texts, window, gram):
     assert substring.dedup_words(empty).count() == 0
 
 
-@pytest.mark.parametrize("window,heavy", [(100, 50_000), (100, 3)])
-def test_suffix_array(docs, empty, texts, window, heavy, monkeypatch):
-    monkeypatch.setattr("emberline.llm._repeats.HEAVY", heavy)
+@pytest.mark.parametrize("window,grams,limit", [(100, (32, 64), 4000), (100, (32, 64), 1), (20, (8, 16), 2)])
+def test_suffix_array(docs, empty, texts, window, grams, limit, monkeypatch):
+    monkeypatch.setattr("emberline.llm._repeats.LIMIT", limit)
     seen, want = set(), {}
     for d, t in texts:
         b = t.encode()
@@ -169,7 +171,7 @@ def test_suffix_array(docs, empty, texts, window, heavy, monkeypatch):
                 gone[i : i + window] = b"\1" * window
             seen.add(b[i : i + window])
         want[d] = (len(b), sum(gone), len(re.findall(b"\1+", bytes(gone))), _sha(bytes(x for x, g in zip(b, gone, strict=True) if not g)))
-    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffixarray.dedup_bytes(docs, window).collect()} == want
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffixarray.dedup_bytes(docs, window, grams).collect()} == want
     assert suffixarray.dedup_bytes(empty).count() == 0
 
 
@@ -178,14 +180,24 @@ def test_simhash(spark, docs, empty, texts):
     for d, t in texts:
         w = t.encode().lower().split()
         parts = [b" ".join(w[i : i + 3]) for i in range(len(w) - 2)] or ([b" ".join(w)] if w else [])
-        assert rows[d].fingerprint == f"{simhash.simhash(parts):016x}"
+        hashes = [xxhash.xxh64(p, seed=42).intdigest() for p in parts]
+        bits = sum((sum(h >> b & 1 for h in hashes) * 2 > len(hashes)) << b for b in range(64))
+        assert rows[d].fingerprint == f"{bits:016x}"
     assert rows[6].component_id == rows[20].component_id == 5 and rows[1].component_id == rows[0].component_id == 0
     rng = random.Random(4)
     fps = list({rng.getrandbits(64) ^ 0 for _ in range(40)})
     fps = list(dict.fromkeys(fps + [f ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64)) for f in fps * 3]))
     signed = [f - (1 << 64) if f >> 63 else f for f in fps]
-    links = simhash.link_classes(spark.createDataFrame(list(enumerate(signed)), "node long, fp long"))
-    got = {r.node: r.component for r in graph.connected_components(links).collect()}
+    number = {f: i for i, f in enumerate(signed)}
+    classes = spark.createDataFrame([(f,) for f in signed], "fp long")
+    pairs = {common: sorted(map(tuple, simhash.link_classes(classes, common).collect())) for common in (2000, 1)}
+    want = sorted((a, b) for a in signed for b in signed if a < b and ((a ^ b) & (1 << 64) - 1).bit_count() <= 2)
+    assert pairs[2000] == pairs[1] == want
+    got = {number[r.node]: number[r.component] for r in graph.connected_components(spark.createDataFrame(want, "src long, dst long")).collect()}
+    group = {}
+    for i, c in got.items():
+        group.setdefault(c, []).append(i)
+    got = {i: min(m) for m in group.values() for i in m}
     root = list(range(len(fps)))
     for _ in fps:
         for i in range(len(fps)):
@@ -196,6 +208,21 @@ def test_simhash(spark, docs, empty, texts):
     assert simhash.near_duplicates(empty).count() == 0
 
 
+def test_multi_index_fetches_and_rejects(spark):
+    """Fetched are exactly the pairs with a segment within one bit, once each; the complete distance rejects the rest."""
+    rng = random.Random(9)
+    half = [rng.getrandbits(32) for _ in range(6)]
+    fps = sorted({(a << 32 | b) - (1 << 64 if a >> 31 else 0) for a in half for b in [*half, *(h ^ 1 << rng.randrange(32) for h in half)]})
+    near = lambda a, b: any(((a ^ b) >> s & 0xFFFFFFFF).bit_count() <= 1 for s in (0, 32))
+    fetched = sorted((a, b) for a in fps for b in fps if a < b and near(a, b))
+    classes = spark.createDataFrame([(f,) for f in fps], "fp long")
+    assert sorted(map(tuple, simhash.candidates(classes).collect())) == fetched
+    linked = [(a, b) for a, b in fetched if ((a ^ b) & (1 << 64) - 1).bit_count() <= 2]
+    assert sorted(map(tuple, simhash.link_classes(classes).collect())) == linked and 0 < len(linked) < len(fetched) // 2
+    fewer = sorted(map(tuple, simhash.candidates(classes, 1).collect()))
+    assert set(linked) <= set(fewer) <= set(fetched) and len(set(fewer)) == len(fewer) < len(fetched)
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 60)] + [(7, 7)]
     got = {r.node: r.component for r in graph.connected_components(spark.createDataFrame(edges, "src long, dst long")).collect()}
@@ -238,16 +265,53 @@ def test_pipeline(spark):
     assert {r.doc_id for r in corpus_pipeline.run(spark, SF).select("doc_id").distinct().collect()} == ids and len(ids) > 100
 
 
-def test_zstd_is_used():
-    good, bad = (zstandard.ZstdCompressor(level=3) for _ in range(2))
-    assert quality.size_difference(b"abc" * 500, good, bad) == 0 and quality.shape("Hello, x1 worldwideword") == b"b, a0 c"
+def test_quality_against_plain_zstd(spark, docs):
+    """Dictionaries, sizes, calibration and scores again, by plain zstandard calls and a grid of slopes and intercepts."""
+    rng = random.Random(5)
+    words = {0: ["buy", "now", "cheap", "click", "$$$", "!!!"], 1: ["theory", "measure", "because", "result", "water", "river"]}
+    rows = [(i, " ".join(rng.choice(words[i % 2] + ["the", "a"]) for _ in range(rng.randrange(5, 300)))) for i in range(400)]
+    table = spark.createDataFrame(rows + [rows[7], (None, None), (401, ""), (402, None), (403, "long text " * 50_000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)] + [(3, None), (None, 1)], "doc_id long, quality int")
+    model = quality.fit(table, labels)
+    part = lambda i: zlib.crc32(str(i).encode()) % 5
+    dicts = []
+    for label in (1, 0):
+        texts = [t.lower().encode() for i, t in rows if i % 2 == label and part(i) > 1]
+        dicts.append(zstandard.train_dictionary(quality.DICT_BYTES, [t[k : k + quality.BLOCK] for t in texts for k in range(0, len(t), quality.BLOCK)]))
+    assert (model.good, model.bad) == tuple(d.as_bytes() for d in dicts)
+    zs = [zstandard.ZstdCompressor(level=quality.LEVEL, dict_data=d, write_content_size=False) for d in dicts]
+
+    def x(t):
+        t = (t or "").lower().encode()
+        g, b = (sum(len(z.compress(t[k : k + quality.BLOCK])) for k in range(0, max(1, len(t)), quality.BLOCK)) for z in zs)
+        return (b - g) / (b + g)
+
+    for r in quality.score_documents(table, model).collect():
+        assert abs(r.score - 1 / (1 + np.exp(-np.clip(model.slope * x(r.text) + model.intercept, -40, 40)))) < 1e-12
+    cal = [(x(t), i % 2) for i, t in rows if part(i) == 1]
+
+    def loss(s, c):
+        return sum(np.log1p(np.exp(-(2 * y - 1) * np.clip(s * v + c, -40, 40))) for v, y in cal) + 0.025 * (s * np.std([v for v, _ in cal])) ** 2
+
+    best = loss(model.slope, model.intercept)
+    assert all(best <= loss(model.slope * a, model.intercept + c) + 1e-9 for a in (0.9, 1, 1.1) for c in (-0.1, 0, 0.1))
+
+
+def test_odd_column_names(spark):
+    rows = [(1, "some line of text\nx", 5, {"in ner": 1}), (2, "some line of text\ny", 6, None)]
+    odd = spark.createDataFrame(rows, "doc_id long, text string, `my col` long, `b``tick.s` struct<`in ner`:long>")
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    assert linededup.dedup_lines(odd, counts=False).columns == odd.columns
+    kept = {r[0]: r for r in linededup.dedup_lines(odd, counts=False).collect()}
+    assert kept[2][1] == "y" and kept[1][2] == 5 and kept[1][3]["in ner"] == 1
+    assert quality.keep_good(odd, labels).columns == odd.columns and quality.keep_good(odd, labels).count() == 2
 
 
-CLASHING = ["_id", "_keep", "component_id", "fingerprint", "fp", "score", "key", "line", "pos", "n_dropped", "n_lines", "item_id", "start", "similarity", "quality", "held_out", "predicted", "label", "ids", "node", "ord", "tie", "kept", "row", "t", "w", "h"]
+CLASHING = ["_id", "_keep", "component_id", "fingerprint", "fp", "score", "key", "line", "pos", "n_dropped", "n_lines", "item_id", "start", "similarity", "quality", "held_out", "predicted", "label", "ids", "node", "ord", "tie", "kept", "row", "t", "w", "h", "_good", "my col", "b.c"]
 
 
 def _odd(spark, rows):
-    return spark.createDataFrame([(*r, *["clash"] * len(CLASHING)) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in CLASHING))
+    return spark.createDataFrame([(*r, *["clash"] * len(CLASHING)) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in CLASHING))
 
 
 @pytest.mark.parametrize("k", range(5))
@@ -318,16 +382,102 @@ def test_keep_first_at_similarity_four_fifths(spark):
     assert got == set(root) and len(got) < len(texts) - 20
 
 
-def test_calibration_and_dictionaries_of_whole_texts(spark):
-    """Labelled texts that start alike and differ only far from their start are told apart, whatever the labels' number."""
+def test_whole_labelled_texts(spark):
+    """Labelled texts that start alike and differ only far from their start are told apart."""
     rng = random.Random(3)
     start = " ".join("abcd"[: rng.randrange(1, 4)] for _ in range(9000))
-    ends = [lambda: rng.choice(["{};", "<a/>", "[0]:"]), lambda: rng.choice(["Aaa, bbbb", "ccccccccccc. Dd", "eeeee!"])]
+    ends = [lambda: rng.choice(["{};", "<a/>", "[0]:"]), lambda: rng.choice(["aaa, bbbb", "ccccccccccc. dd", "eeeee!"])]
     docs = spark.createDataFrame([(i, start + " ".join(ends[i % 2]() for _ in range(3000))) for i in range(80)], "doc_id long, text string")
     labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, quality int")
-    with pytest.MonkeyPatch.context() as m:
-        m.setattr(quality, "SAMPLE_BYTES", 80 * 8192)
-        rows = quality.classify(docs, labels).collect()
-    assert all((r.score > 0.5) == (r.doc_id % 2 == 1) for r in rows)
-    data = bytes(range(256)) * 160
-    assert b"".join(quality.blocks(data)) == data and len(quality.blocks(data, 0.5)) == 5
+    assert all((r.score > 0.5) == (r.doc_id % 2 == 1) for r in quality.classify(docs, labels).collect())
+    assert b"".join(quality.blocks(bytes(range(256)) * 160)) == bytes(range(256)) * 160
+
+
+def _digest_by_hand(data):
+    """Bucket counts one triplet at a time, quartiles by sorting."""
+    counts = [0] * 256
+    for i in range(len(data) - 2):
+        counts[((data[i] | data[i + 1] << 8 | data[i + 2] << 16) * 2654435761 & 0xFFFFFFFF) >> 24] += 1
+    q1, q2, q3 = (sorted(counts)[k] for k in (63, 127, 191))
+    body = [sum(c > q for q in (q1, q2, q3)) for c in counts]
+    head = [min(255, round(8 * np.log2(len(data) + 1))), (q1 * 15 // q3 << 4 | q2 * 15 // q3) if q3 else 0]
+    return bytes(head + [body[i] << 6 | body[i + 1] << 4 | body[i + 2] << 2 | body[i + 3] for i in range(0, 256, 4)]).hex(), body, head
+
+
+def test_fingerprints_by_hand(spark):
+    rng = random.Random(2)
+    texts = ["", "ab", "abc", "é" * 40, " ".join(rng.choice(["sun", "rain", "wind"]) for _ in range(900)), "x" * 3000, "next one " * 30]
+    rows = sorted((i // 2, t) for i, t in enumerate(texts))  # ids repeat
+    got = fingerprint.fingerprint_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), parts=4).collect()
+    assert len(got) == len(rows)
+    by_text = {t: _digest_by_hand(t.encode()) for _, t in rows}
+    assert sorted((r.doc_id, r.fingerprint) for r in got) == sorted((d, by_text[t][0]) for d, t in rows)
+    cost = [0, 1, 2, 4]
+
+    def like(a, b):
+        (_, x, (n, r)), (_, y, (m, s)) = a, b
+        if a[0] == b[0]:
+            return 1.0
+        off = sum(cost[abs(i - j)] for i, j in zip(x, y, strict=True)) / 384
+        head = min(1, abs(n - m) / 64) * 0.05 + (abs((r >> 4) - (s >> 4)) + abs((r & 15) - (s & 15))) / 30 * 0.05
+        return max(0.0, 1 - min(1.0, off) * 0.9 - head)
+
+    shas = {}
+    for d, t in rows:
+        for _, following in rows:
+            half = len(t) // 2
+            e = t[: len(t) - half] + following[:half]
+            shas[_sha(e), by_text[t][0]] = (e, following)
+    for r in got:
+        e, _ = shas[r.edited_sha256, r.fingerprint]
+        mine = _digest_by_hand(e.encode())
+        own = next(v for v in by_text.values() if v[0] == r.fingerprint)
+        assert r.edited_fingerprint == mine[0] and abs(r.near_edited - like(own, mine)) < 1e-12
+        assert any(abs(r.near_next - like(own, v)) < 1e-12 for v in by_text.values())
+
+
+def test_chat_of_one_turn_number(spark):
+    """All turns null, or all equal, and text ids: the order is by role and text, and nothing is lost."""
+    rows = [(c, None if c == "null" else 3, "user", f"{i:04d} words here") for c in ("null", "b", None) for i in range(300)]
+    turns = spark.createDataFrame(rows, "conv_id string, turn long, role string, text string")
+    got = {r.conv_id: r for r in chat.read_back(chat.format_conversations(turns)).collect()}
+    want = _sha("".join(f"user\n{i:04d} words here\n" for i in range(300)))
+    assert set(got) == {"null", "b", None} and all((r.n_turns, r.turns_sha256) == (300, want) for r in got.values())
+
+
+def test_history_behind_a_long_system_turn(spark):
+    """With little room in a window, every turn within HISTORY tokens before it is still repeated."""
+    rows = [(1, 0, "system", "s" * 3900)] + [(1, t, "user", f"{t:03d}" + "u" * 97) for t in range(1, 60)]
+    windows = chat.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).orderBy("window").collect()
+    for w in windows[10:-1]:
+        assert 7 <= w.n_repeated - 1 <= 9  # 29 tokens each, besides the system turn
+
+
+def test_decontamination_index(spark):
+    """10,000 items: the share the index fetches is small, and near items are fetched."""
+    from pyspark.sql import functions as F
+
+    items = spark.range(2000).select(F.col("id").alias("item"), F.lit(40).alias("n"), F.xxhash64("id").alias("fp0"), F.xxhash64("id", F.lit(1)).alias("fp1"))
+    flips = items.filter("item < 200").select(F.col("item").alias("row"), "n", F.col("fp0").bitwiseXOR(F.lit(0x0101010101010101)).alias("fp0"), F.col("fp1").bitwiseXOR(F.lit(0x1111)).alias("fp1"))
+    pairs = decontam.fetched(flips, items).collect()
+    assert len(pairs) == len({(r.row, r.item) for r in pairs}) < 0.12 * 200 * 2000
+    assert {r.row for r in pairs if r.row == r.item and r.apart == 12} == set(range(200))
+
+
+def test_recall_of_decontamination_at_four_fifths(spark):
+    """Against exact similarity: windows with words changed, down to a similarity of 0.8."""
+    rng = random.Random(8)
+    items = [[f"w{rng.randrange(5000)}" for _ in range(60)] for _ in range(60)]
+    docs, want = [], set()
+    for i, ws in enumerate(items):
+        for c in range(4):
+            copy = list(ws)
+            for _ in range(rng.randrange(3)):
+                copy[rng.randrange(60)] = f"x{rng.randrange(9999)}"
+            a, b = ({tuple(x[j : j + 5]) for j in range(56)} for x in (ws, copy))
+            if len(a & b) / len(a | b) >= 0.8:
+                want.add((i * 4 + c, i))
+            docs.append((i * 4 + c, "so it says " + " ".join(copy) + " and goes on"))
+    bench = spark.createDataFrame([(i, " ".join(ws)) for i, ws in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontam.report(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert len(want) > 150 and want - got == set() or len(want & got) / len(want) > 0.98
