@@ -97,7 +97,7 @@ def fetched(windows: DataFrame, index: DataFrame) -> DataFrame:
     those of the same n with a block within RADIUS // BLOCKS bits; apart is the whole distance."""
     masks = F.array(*[F.lit(m).cast("long") for m in ball()])
     held = index.select("item", "n", F.col("fp0").alias("i0"), F.col("fp1").alias("i1"), _blocks("own").alias("at")).select("item", "n", "i0", "i1", "at.block", F.explode(F.transform(masks, lambda m: F.col("at.own").bitwiseXOR(m))).alias("value"))
-    near = windows.select("row", "n", "fp0", "fp1", _blocks("value").alias("at")).select("row", "n", "fp0", "fp1", "at.*").join(held, ["n", "block", "value"])
+    near = windows.select("row", "n", "fp0", "fp1", _blocks("value").alias("at")).select("row", "n", "fp0", "fp1", "at.*").join(held.hint("shuffle_hash"), ["n", "block", "value"])
     x0, x1 = F.col("fp0").bitwiseXOR(F.col("i0")), F.col("fp1").bitwiseXOR(F.col("i1"))
     # a pair is fetched once for each block that is near; the first such block answers for it
     earlier = reduce(lambda c, b: c | ((F.col("block") > b) & (F.bit_count(_block(b, x0, x1)) <= RADIUS // BLOCKS)), range(BLOCKS - 1), F.lit(False))
