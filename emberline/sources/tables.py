@@ -46,7 +46,7 @@ def _delete(table: DataFrame) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def _clean(spark: SparkSession) -> None:
+def release(spark: SparkSession) -> None:
     """Let go of shuffle files that nothing needs."""
     gc.collect()
     spark._jvm.System.gc()
@@ -55,7 +55,7 @@ def _clean(spark: SparkSession) -> None:
 def discard(table: DataFrame) -> None:
     """Delete a table that materialize() wrote and nothing reads any more."""
     _delete(table)
-    _clean(table.sparkSession)
+    release(table.sparkSession)
 
 
 class Scratch:
@@ -79,4 +79,4 @@ class Scratch:
         if _open:
             _open[-1].extend(self.kept)
         if done:
-            _clean(done[0].sparkSession)
+            release(done[0].sparkSession)
