@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.tables import Scratch, discard, materialize, shared_dir  # noqa: F401
+from ..sources.tables import Scratch, discard, materialize, release, shared_dir  # noqa: F401
 
 #: Characters that separate words and are stripped from lines: space, tab, LF, VT, FF, CR.
 SPACES = " \t\n\x0b\x0c\r"

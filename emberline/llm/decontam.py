@@ -25,7 +25,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import materialize
+from ._shared import Scratch, materialize
 
 K, SIMILARITY = 5, 0.8
 BLOCKS, WIDTH, RADIUS = 8, 16, 31
@@ -146,14 +146,17 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_leaked(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs without a leak, with their columns."""
-    leaked = find_leaks(docs, benchmark).select(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie")).distinct()
+    with Scratch() as scratch:
+        leaked = scratch.keep(materialize(find_leaks(docs, benchmark).select(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie")).distinct(), "leaked"))
     keyed = F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == leaked["_tie"]
     return docs.join(leaked, keyed & docs["doc_id"].cast("long").eqNullSafe(leaked["_id"]), "left_anti")
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, similarity, start); rows that share a doc_id are reported as one."""
-    best = find_leaks(docs, benchmark).groupBy("doc_id", "item_id").agg(F.max(F.struct("similarity", (-F.col("start")).alias("back"))).alias("m"))
+    with Scratch() as scratch:
+        found = scratch.keep(materialize(find_leaks(docs, benchmark), "leaks"))
+    best = found.groupBy("doc_id", "item_id").agg(F.max(F.struct("similarity", (-F.col("start")).alias("back"))).alias("m"))
     return best.select("doc_id", "item_id", F.round("m.similarity", 6).alias("similarity"), (-F.col("m.back")).alias("start"))
 
 

@@ -35,7 +35,7 @@ WINDOW, DEPTH, BIN, FILL = 2048, 3, 8, 0.99
 END_ID = 1
 CACHED_LENGTH = 48
 #: Memory that a worker's words take at most, and what one of them takes as measured; they go IDLE_S seconds after a task.
-KEPT_BYTES, ENTRY_BYTES, IDLE_S = 160 << 20, 220, 3.0
+KEPT_BYTES, ENTRY_BYTES, IDLE_S = 128 << 20, 220, 3.0
 BROADCAST_ROWS = 1_000_000
 #: Split as white space by str.split() but not by the tokenizer.
 ODD_SPACES = "\x1c\x1d\x1e\x1f"

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import materialize, quoted
+from ._shared import Scratch, materialize, quoted
 
 FOLDS = 5
 SAMPLE_ROWS = 2000
@@ -138,7 +138,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
             picked += own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS).collect()
     if not picked:
         return Model(b"", b"", 0.0, 0.0)
-    sample = docs.sparkSession.createDataFrame(picked, known.schema)  # 4 x SAMPLE_ROWS rows of ids at most
+    with Scratch():
+        return _fitted(docs, docs.sparkSession.createDataFrame(picked, known.schema))  # 4 x SAMPLE_ROWS rows of ids at most
+
+
+def _fitted(docs: DataFrame, sample: DataFrame) -> Model:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id")
     rows = materialize(texts.groupBy("doc_id", "label", "part").agg(F.min("text").alias("text")), "labelled")
     found = rows.groupBy("part", "label").agg(F.count("*").alias("n")).collect()  # 4 rows at most

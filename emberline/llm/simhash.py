@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import materialize, shuffle_partitions
+from ._shared import Scratch, materialize, shuffle_partitions
 from .graph import connected_components
 
 SEGMENTS, RADIUS = 2, 2
@@ -129,12 +129,18 @@ def link_classes(classes: DataFrame, common: int = COMMON) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, k: int = 3) -> DataFrame:
     """(doc_id, fingerprint, component_id) of every row; links are at RADIUS differing bits or fewer."""
-    fps = materialize(fingerprints(docs, k), "simhash")
+    with Scratch() as scratch:
+        fps = scratch.keep(materialize(fingerprints(docs, k), "simhash"))
+        named = scratch.keep(materialize(_named(fps), "simhash-components"))
+    return fps.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def _named(fps: DataFrame) -> DataFrame:
+    """(fp, component_id) of each fingerprint."""
     classes = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-classes")
     found = connected_components(link_classes(classes)).withColumnRenamed("node", "fp")
     grouped = classes.join(found, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    named = grouped.select("fp", "component").join(grouped.groupBy("component").agg(F.min("least").alias("component_id")), "component").select("fp", "component_id")
-    return fps.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return grouped.select("fp", "component").join(grouped.groupBy("component").agg(F.min("least").alias("component_id")), "component").select("fp", "component_id")
 
 
 def keep_first(docs: DataFrame, k: int = 5) -> DataFrame:
@@ -144,6 +150,8 @@ def keep_first(docs: DataFrame, k: int = 5) -> DataFrame:
     of one group that share its smallest id; rows with a null doc_id all stay. Empty texts are one group."""
     from .similar import similar_groups
 
-    gone = similar_groups(docs, k).filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie")).distinct()
+    with Scratch() as scratch:
+        gone = similar_groups(docs, k).filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie")).distinct()
+        gone = scratch.keep(materialize(gone, "near-duplicates"))
     keyed = F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == gone["_tie"]
     return docs.join(gone, keyed & (docs["doc_id"].cast("long") == gone["_id"]), "left_anti")
