@@ -16,15 +16,15 @@ other columns are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import os
-import threading
 import zlib
 from array import array
 from collections import defaultdict
 from collections.abc import Iterator
-from contextlib import contextmanager
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,103 +33,133 @@ from ._shared import materialize
 
 WINDOW, DEPTH, BIN, FILL = 2048, 3, 8, 0.99
 END_ID = 1
-CACHED_LENGTH = 48
-#: Memory that a worker's words take at most, and what one of them takes as measured; they go IDLE_S seconds after a task.
-KEPT_BYTES, ENTRY_BYTES, IDLE_S = 128 << 20, 220, 3.0
+LONG_WORD = 48
+#: Letter words that a worker keeps (about 200 bytes each), and characters that it encodes at once.
+KEPT, BATCH_CHARS = 200_000, 6 << 20
+OUT_ROWS = 2000
 BROADCAST_ROWS = 1_000_000
-#: Split as white space by str.split() but not by the tokenizer.
-ODD_SPACES = "\x1c\x1d\x1e\x1f"
 
 
-def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
-    import public_tokenizers
+def _byte_level() -> dict[int, str]:
+    """The usual characters of bytes: visible ones stand for themselves, the others for 256, 257, ..."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = (b for b in range(256) if b not in visible)
+    return {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
-    return public_tokenizers.path(name)
 
+BYTE_LEVEL = _byte_level()
 
-class Kept(dict):
-    """Ids by word, in two generations of half the entries each: what is used again moves to the young one, and when that
-    is full the old one goes."""
 
-    def __init__(self, most: int):
-        super().__init__()
-        self.half, self.old = max(1, most // 2), {}
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
 
-    def keep(self, word: str, ids: bytes) -> bytes:
-        if len(self) >= self.half:
-            self.old = dict(self)
-            self.clear()
-        self[word] = ids
-        return ids
+    return public_tokenizers.path(name)
 
 
-class Encoder(Kept):
-    """Ids of texts as little-endian bytes. The tokenizer splits at white space, so the ids of words are kept and reused:
-    those of whole words, and those of the lower-case letter words inside them, which far fewer words share."""
+class Encoder:
+    """Ids of texts, many at a time. The tokenizer splits at white space, so each different word of a batch is encoded once
+    and its ids are gathered wherever it stands. Lower-case letter words, which words share, are kept from batch to batch:
+    KEPT at most, in two generations, of which the old one goes when the young one is full."""
 
-    def __init__(self, path: str, kept_bytes: int = KEPT_BYTES):
+    def __init__(self, path: str, kept: int = KEPT):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        entries = kept_bytes // ENTRY_BYTES
-        super().__init__(entries // 3)
-        self.letters = Kept(entries - entries // 3)
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.code, self.dtype = ("H", "<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else ("I", "<u4")
+        self.half, self.letters, self.old = max(1, kept // 2), {}, {}
 
     def _ids(self, text: str) -> bytes:
         return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
+    def _of_model(self, word: str) -> bytes:
+        """What the tokenizer's other steps make of lower-case letters in composed form: each byte as a character."""
+        if not word.isascii():
+            if not word.isalpha() or not is_normalized("NFC", word):
+                return self._ids(word)
+            word = word.encode().decode("latin-1").translate(BYTE_LEVEL)
+        return array(self.code, [t.id for t in self.model.tokenize(word)]).tobytes()
+
     def _of_letters(self, word: str) -> bytes:
         ids = self.letters.get(word)
         if ids is None:
-            ids = self.letters.old.get(word)
-            if ids is None:  # ASCII letters in lower case are what the model itself sees
-                ids = array(self.code, [t.id for t in self.model.tokenize(word)]).tobytes() if word.isascii() else self._ids(word)
-            self.letters.keep(word, ids)
+            ids = self.old.get(word)
+            if ids is None:
+                ids = self._of_model(word)
+            if len(self.letters) >= self.half:
+                self.letters, self.old = {}, self.letters
+            self.letters[word] = ids
         return ids
 
-    def __missing__(self, word: str) -> bytes:
-        if len(word) > CACHED_LENGTH:
-            return self._ids(word)
-        ids = self.old.get(word)
+    def _of_word(self, word: str) -> bytes:
         # a run of letters is a unit of its own, in either case; a final sigma's lower case depends on its place
-        if ids is None:
-            if "\u03a3" in word:
-                ids = self._ids(word)
-            elif word.isalpha():
-                ids = self._of_letters(word.lower())
-            elif word[-1] in ".," and word[:-1].isalpha():
-                ids = self._of_letters(word[:-1].lower()) + self._of_letters(word[-1])
-            else:
-                ids = self._ids(word)
-        return self.keep(word, ids)
-
-    def encode(self, text: str) -> bytes:
-        if any(c in text for c in ODD_SPACES):
-            return self._ids(text)
-        return b"".join(map(self.__getitem__, text.split()))
+        if len(word) > LONG_WORD or "\u03a3" in word:
+            return self._ids(word)
+        if word.isalpha():
+            return self._of_letters(word.lower())
+        if word and word[-1] in ".," and word[:-1].isalpha():
+            return self._of_letters(word[:-1].lower()) + self._of_letters(word[-1])
+        return self._ids(word)
+
+    def _of_words(self, words: pa.LargeStringArray) -> list[bytes]:
+        """The ids of different words. ASCII letters, with a full stop or comma after them or not, are by far the most; they
+        are put in lower case together, so that each letter word is looked up once."""
+        dot, comma = pc.ends_with(words, "."), pc.ends_with(words, ",")
+        marked = pc.or_(dot, comma)
+        core = pc.if_else(marked, pc.utf8_slice_codeunits(words, 0, -1), words)
+        plain = pc.and_(pc.ascii_is_alpha(core), pc.less_equal(pc.binary_length(core), LONG_WORD))
+        odd = np.flatnonzero(~plain.to_numpy(zero_copy_only=False))
+        low = pc.ascii_lower(core.filter(plain)).dictionary_encode()
+        letters = list(map(self._of_letters, low.dictionary.to_pylist()))
+        ends = [b"", self._of_letters("."), self._of_letters(",")]
+        mark = pc.add(pc.cast(dot, pa.int8()), pc.multiply(pc.cast(comma, pa.int8()), pa.scalar(2, pa.int8()))).filter(plain)
+        out = [letters[i] + ends[k] if k else letters[i] for i, k in zip(low.indices.to_pylist(), mark.to_pylist(), strict=True)]
+        if not len(odd):
+            return out
+        every: list[bytes] = [b""] * len(words)
+        for i, ids in zip(np.flatnonzero(plain.to_numpy(zero_copy_only=False)).tolist(), out, strict=True):
+            every[i] = ids
+        for i, w in zip(odd.tolist(), words.take(pa.array(odd)).to_pylist(), strict=True):
+            every[i] = self._of_word(w)
+        return every
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text. ASCII white space ends a word for the tokenizer too; other spaces are left to it."""
+        words = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        found = words.flatten().dictionary_encode()
+        each = self._of_words(found.dictionary)
+        size = np.dtype(self.dtype).itemsize
+        lengths = np.fromiter(map(len, each), np.int64, len(each)) // size
+        starts = np.r_[0, np.cumsum(lengths)[:-1]] if len(each) else lengths
+        ids = np.frombuffer(b"".join(each), self.dtype)
+        word = found.indices.to_numpy()
+        n = lengths[word]
+        ends = np.r_[0, np.cumsum(n)]
+        out = ids[np.repeat(starts[word] - ends[:-1], n) + np.arange(ends[-1])]
+        at = ends[words.offsets.to_numpy()].tolist()
+        return [out[a:b] for a, b in zip(at, at[1:], strict=False)]
+
+    def batches(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+        """The ids of each text in turn, encoded in batches of about BATCH_CHARS characters."""
+        now, size = [], 0
+        for t in texts:
+            now.append(t or "")
+            size += len(now[-1])
+            if size >= BATCH_CHARS:
+                yield from self.encode(now)
+                now, size = [], 0
+        yield from self.encode(now)
 
 
 _ENCODERS: dict[str, Encoder] = {}
-_release: threading.Timer | None = None
 
 
-@contextmanager
-def encoder(path: str) -> Iterator[Encoder]:
-    """One per process: a worker keeps its words from task to task, and lets go of them when IDLE_S pass without one."""
-    global _release
-    if _release:
-        _release.cancel()
+def encoder(path: str) -> Encoder:
+    """One per process."""
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
-    try:
-        yield _ENCODERS[path]
-    finally:
-        _release = threading.Timer(IDLE_S, _ENCODERS.clear)
-        _release.daemon = True
-        _release.start()
+    return _ENCODERS[path]
 
 
 _PIECES = pa.schema([("chunk", pa.int32()), ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int32()), ("doc_tokens", pa.int64()), ("rank", pa.int64()), ("crc", pa.int64()), ("ids", pa.binary())])
@@ -138,29 +168,32 @@ _PIECES_DDL = "chunk int, doc_id long, start long, length int, doc_tokens long,
 
 def _tokenize(path: str, window: int, keep_all: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with encoder(path) as words:
-            yield from tokenized(batches, words)
-
-    def tokenized(batches: Iterator[pa.RecordBatch], words: Encoder) -> Iterator[pa.RecordBatch]:
-        chunk, ranks = TaskContext.get().partitionId(), defaultdict(int)
-        closing = np.array([END_ID], words.dtype).tobytes()
+        words, chunk, ranks = encoder(path), TaskContext.get().partitionId(), defaultdict(int)
+        closing = np.array([END_ID], words.dtype)
         wide = words.dtype == "<u4"
         for batch in batches:
             out = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                ids = np.frombuffer(words.encode(text.as_py() or "") + closing, words.dtype)
+            for doc_id, found in zip(batch.column("doc_id").to_pylist(), words.batches(batch.column("text").to_pylist()), strict=True):
+                ids = np.concatenate((found, closing))
                 for start in range(0, len(ids), window):
                     piece = ids[start : start + window]
                     n = len(piece)
                     crc = zlib.crc32(piece.tobytes() if wide else piece.astype("<u4").tobytes())
                     out.append((chunk, doc_id, start, n, len(ids), ranks[n], crc, piece.tobytes() if keep_all or n < window else None))
                     ranks[n] += 1
-            cols = list(zip(*out, strict=True)) or [()] * len(_PIECES)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _PIECES, strict=True)], schema=_PIECES)
+                if len(out) >= OUT_ROWS:
+                    yield _rows(out)
+                    out = []
+            yield _rows(out)
 
     return run
 
 
+def _rows(out: list[tuple]) -> pa.RecordBatch:
+    cols = list(zip(*out, strict=True)) or [()] * len(_PIECES)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _PIECES, strict=True)], schema=_PIECES)
+
+
 def combinations(total: int, depth: int = DEPTH) -> list[tuple[int, ...]]:
     """Descending tuples of at most depth positive bins that sum to total."""
     out: list[tuple[int, ...]] = []
@@ -343,6 +376,4 @@ def pack_documents(docs: DataFrame, path: str | None = None, window: int = WINDO
     if counts.count() <= BROADCAST_ROWS:  # else the pieces are shuffled with their ids, by (chunk, length)
         firsts = F.broadcast(firsts)
     ranked = pieces.join(firsts, ["chunk", "length"]).withColumn("rank", F.col("rank") + F.col("rank0")).drop("rank0")
-    with encoder(path) as words:
-        dtype = words.dtype
-    return ranked.mapInArrow(_place(rows, window, with_ids, dtype), _PLACED_DDL + (", ids binary" if with_ids else ""))
+    return ranked.mapInArrow(_place(rows, window, with_ids, encoder(path).dtype), _PLACED_DDL + (", ids binary" if with_ids else ""))
