@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import discard, materialize, shuffle_partitions
+from ._shared import discard, materialize, shuffle_partitions, small_batches
 
 #: Kinds of a group; one of more is split by a longer gram.
 LIMIT = 4000
@@ -267,6 +267,7 @@ def _verdicts(kinds: DataFrame, units: Bytes, judge: Judge, gather: int, level:
 
 def find_marks(docs: DataFrame, units: Bytes, judge: Judge, gather: int = GATHER) -> DataFrame:
     """(ord, tie, a, b): windows a .. b-1 of a document (ord, tie, text) that repeat, as judge says."""
+    small_batches(docs.sparkSession)
     runs = materialize(docs.mapInArrow(_find_runs(units, units.grams[0]), _RUNS_DDL), "repeat-runs")
     # written, so that the join reads plain exchanges, of which adaptive execution can split those of common keys
     keys = materialize(runs.groupBy("key").agg(F.count("*").alias("c"), F.max("own").alias("any_own")).filter("c > 1 OR any_own").select("key"), "repeat-keys")

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import materialize, shuffle_partitions
+from ._shared import materialize, shuffle_partitions, small_batches
 
 BUCKETS = 256
 #: Cost of codes that differ by 0, 1, 2 and 3 quartiles.
@@ -116,6 +116,7 @@ def fingerprint_documents(docs: DataFrame, parts: int | None = None) -> DataFram
 
     Texts are shuffled once, by ranges of (doc_id, hash). The last text of each range meets the first of the next range that
     holds rows by an equi-join on the range's number; the driver sees only which ranges hold rows."""
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
     ranged = src.repartitionByRange(parts or shuffle_partitions(spark), "doc_id", "tie").sortWithinPartitions("doc_id", "tie")

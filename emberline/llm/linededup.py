@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import SPACES, ascii_lower, discard, materialize, quoted, shared_dir, shuffle_partitions
+from ._shared import SPACES, ascii_lower, discard, materialize, quoted, shared_dir, shuffle_partitions, small_batches
 
 FANOUT = 3
 #: Batches: one for each BATCH_ROWS documents, BATCHES at least.
@@ -111,6 +111,7 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def dedup_lines(docs: DataFrame, batches: int | None = None, min_chars: int = MIN_CHARS, fanout: int = FANOUT, counts: bool = True) -> DataFrame:
     """docs with the kept lines as text and, with counts, n_lines (before) and n_dropped."""
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     added = ("n_lines", "n_dropped") if counts else ()
     rest = [c for c in docs.columns if c not in ("text", *added)]

@@ -20,6 +20,7 @@ import zlib
 from array import array
 from collections import defaultdict
 from collections.abc import Iterator
+from typing import TypeVar
 from unicodedata import is_normalized
 
 import numpy as np
@@ -29,10 +30,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._shared import materialize
+from ._shared import materialize, small_batches
 
 WINDOW, DEPTH, BIN, FILL = 2048, 3, 8, 0.99
 END_ID = 1
+T = TypeVar("T")
 LONG_WORD = 48
 #: Letter words that a worker keeps (about 200 bytes each), and characters that it encodes at once.
 KEPT, BATCH_CHARS = 200_000, 6 << 20
@@ -140,16 +142,17 @@ class Encoder:
         at = ends[words.offsets.to_numpy()].tolist()
         return [out[a:b] for a, b in zip(at, at[1:], strict=False)]
 
-    def batches(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        """The ids of each text in turn, encoded in batches of about BATCH_CHARS characters."""
-        now, size = [], 0
-        for t in texts:
+    def batches(self, rows: Iterator[tuple[T, str | None]]) -> Iterator[tuple[T, np.ndarray]]:
+        """The ids of each row's text in turn, encoded in batches of about BATCH_CHARS characters."""
+        keys, now, size = [], [], 0
+        for key, t in rows:
+            keys.append(key)
             now.append(t or "")
             size += len(now[-1])
             if size >= BATCH_CHARS:
-                yield from self.encode(now)
-                now, size = [], 0
-        yield from self.encode(now)
+                yield from zip(keys, self.encode(now), strict=True)
+                keys, now, size = [], [], 0
+        yield from zip(keys, self.encode(now), strict=True)
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -171,20 +174,20 @@ def _tokenize(path: str, window: int, keep_all: bool):
         words, chunk, ranks = encoder(path), TaskContext.get().partitionId(), defaultdict(int)
         closing = np.array([END_ID], words.dtype)
         wide = words.dtype == "<u4"
-        for batch in batches:
-            out = []
-            for doc_id, found in zip(batch.column("doc_id").to_pylist(), words.batches(batch.column("text").to_pylist()), strict=True):
-                ids = np.concatenate((found, closing))
-                for start in range(0, len(ids), window):
-                    piece = ids[start : start + window]
-                    n = len(piece)
-                    crc = zlib.crc32(piece.tobytes() if wide else piece.astype("<u4").tobytes())
-                    out.append((chunk, doc_id, start, n, len(ids), ranks[n], crc, piece.tobytes() if keep_all or n < window else None))
-                    ranks[n] += 1
-                if len(out) >= OUT_ROWS:
-                    yield _rows(out)
-                    out = []
-            yield _rows(out)
+        texts = (row for batch in batches for row in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True))
+        out = []
+        for doc_id, found in words.batches(texts):
+            ids = np.concatenate((found, closing))
+            for start in range(0, len(ids), window):
+                piece = ids[start : start + window]
+                n = len(piece)
+                crc = zlib.crc32(piece.tobytes() if wide else piece.astype("<u4").tobytes())
+                out.append((chunk, doc_id, start, n, len(ids), ranks[n], crc, piece.tobytes() if keep_all or n < window else None))
+                ranks[n] += 1
+            if len(out) >= OUT_ROWS:
+                yield _rows(out)
+                out = []
+        yield _rows(out)
 
     return run
 
@@ -365,6 +368,7 @@ def _place(rows: np.ndarray, window: int, with_ids: bool, dtype: str):
 def pack_documents(docs: DataFrame, path: str | None = None, window: int = WINDOW, with_ids: bool = False) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset) of each piece; with_ids adds its ids, unsigned
     little-endian 32-bit."""
+    small_batches(docs.sparkSession)
     path = path or tokenizer_path()
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     pieces = materialize(src.mapInArrow(_tokenize(path, window, with_ids), _PIECES_DDL), "pieces")

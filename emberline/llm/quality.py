@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import Scratch, materialize, quoted
+from ._shared import Scratch, materialize, quoted, small_batches
 
 FOLDS = 5
 SAMPLE_ROWS = 2000
@@ -129,6 +129,7 @@ def _differences(dictionaries: tuple[bytes, bytes]):
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Learn from labelled rows outside fold 0: folds from 2 on make the dictionaries, fold 1 the calibration."""
+    small_batches(docs.sparkSession)
     known = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").cast("int").alias("label"))
     known = known.withColumn("part", F.when(fold(F.col("doc_id")) == 1, 1).when(fold(F.col("doc_id")) > 1, 0)).filter("part IS NOT NULL")
     picked = []
@@ -170,6 +171,7 @@ def _scorer(model: Model):
 
 def score_documents(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
     """docs with a column of that name, which replaces another: how likely label 1 is."""
+    small_batches(docs.sparkSession)
     kept = [c for c in docs.columns if c != name]
     packed = docs.select(F.struct(*[F.col(quoted(c)) for c in kept]).alias("rest"), "text")
     scored = packed.mapInArrow(_scorer(model), T.StructType([packed.schema["rest"], T.StructField("score", T.DoubleType())]))

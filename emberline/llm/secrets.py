@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import materialize
+from ._shared import materialize, small_batches
 
 #: Kinds in the order in which spans with the same start are listed.
 KINDS = ("assign", "access", "hex", "owned")
@@ -91,6 +91,7 @@ _SCAN_DDL = "row long, doc_id long, owner string, repo string, n_assign long, n_
 def scan_secrets(docs: DataFrame, owner: str = "source", repo: str = "doc_id", live_owners: int = 1, live_repos: int = 3) -> DataFrame:
     """One row per row of docs (doc_id, text, owner, repo): counts and hash of the base spans, all spans, and how many of
     the candidate values look live (held by at most live_owners owners and live_repos repositories) or copied."""
+    small_batches(docs.sparkSession)
     src = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(owner).cast("string"), F.lit("")).alias("owner"), F.coalesce(F.col(repo).cast("string"), F.lit("")).alias("repo"), F.coalesce("text", F.lit("")).alias("text")
     )

@@ -88,9 +88,9 @@ def test_encoder_odd_words():
     tk, e = Tokenizer.from_file(packing.tokenizer_path()), packing.Encoder(packing.tokenizer_path(), kept=4)
     texts = ["ΣΑΣ Straße, don't é A\x1cB Å.", "<|endoftext|> x<|endoftext|>", "a" * 100 + " İstanbul. 123.", "..., 日本語 한국어", "", " \t\n", "a\u00a0b\u2028c\x85d \x1f e", "Word word, WORD. w\u0301ord e\u0301", "Żółć żółć. ÉTÉ, straße ПРИВЕТ мир", "one"] * 2
     assert [x.tolist() for x in e.encode(texts)] == [tk.encode(t, add_special_tokens=False).ids for t in texts]
-    assert e.encode([]) == [] and [x.tolist() for x in e.batches([None, "one"])] == [[], e.encode(["one"])[0].tolist()]
+    assert e.encode([]) == [] and [(k, x.tolist()) for k, x in e.batches(enumerate([None, "one"]))] == [(0, []), (1, e.encode(["one"])[0].tolist())]
     real = [r[0] or "" for r in duckdb.sql(f"SELECT text FROM '{SF}/documents.parquet'").fetchall()]
-    assert [x.tolist() for x in e.batches(real)] == [tk.encode(t, add_special_tokens=False).ids for t in real]
+    assert [x.tolist() for _, x in e.batches(enumerate(real))] == [tk.encode(t, add_special_tokens=False).ids for t in real]
 
 
 def test_chat(spark):
