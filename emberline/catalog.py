@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import grid_queries, ingest_queries, product_queries, registry, support_queries
+from .plans import grid_queries, ingest_queries, product_queries, registry, report_queries, support_queries, web_queries
 
-MODULES = (grid_queries, ingest_queries, product_queries, support_queries)
+MODULES = (grid_queries, ingest_queries, product_queries, report_queries, support_queries, web_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

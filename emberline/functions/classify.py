@@ -21,6 +21,16 @@ def normal_instrument(c: Column) -> Column:
     return F.when(up.contains("VIIRS"), "VIIRS").when(up.contains("MODIS"), "MODIS").otherwise(up)
 
 
+def causal_instrument(c: Column) -> Column:
+    """As the causal step has it: upper case only, nothing trimmed or looked for."""
+    return F.upper(F.coalesce(c, F.lit("")))
+
+
+def displayed(level: Column, cells: Column, before: Column) -> Column:
+    """Whether a projection is shown: of a level that says enough, and larger than the mask it starts from."""
+    return level.isin("moyenne", "élevée") & (cells != before)
+
+
 def confident() -> Column:
     """VIIRS n or h, MODIS 30 or more; anything else fails."""
     text = F.lower(F.trim("confidence"))

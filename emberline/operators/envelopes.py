@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import params as P
 from ..functions.classify import by_instrument
+from ..sources.tables import discard, materialize
 from .neighbours import pairs_within
 
 
@@ -55,10 +58,77 @@ def snapshots(state: DataFrame, minutes: int = P.SNAPSHOT_HOURS * 60) -> DataFra
     return changed.filter("before IS NULL OR before != s.m").select("cluster", F.col("at").alias("target"), "s.m", "s.n")
 
 
-def match_clusters(old: DataFrame, new: DataFrame) -> DataFrame:
-    """(new_cluster, old_cluster, cells): for each new cluster the old one with the largest overlap, ties to the smaller id.
+def overlaps(old: DataFrame, new: DataFrame) -> DataFrame:
+    """(old_cluster, new_cluster, cells, iou, apart) of clusters (cluster, r, c) that share cells; apart: squared distance
+    between the centres of their bounds, in half cells."""
+    a, b = (t.groupBy("cluster").agg(F.count("*").alias("n"), (F.min("r") + F.max("r")).alias("y"), (F.min("c") + F.max("c")).alias("x")) for t in (old, new))
+    shared = old.select(F.col("cluster").alias("old_cluster"), "r", "c").join(new.select(F.col("cluster").alias("new_cluster"), "r", "c"), ["r", "c"]).groupBy("old_cluster", "new_cluster").agg(F.count("*").alias("cells"))
+    met = shared.join(a.select(F.col("cluster").alias("old_cluster"), F.col("n").alias("na"), F.col("x").alias("xa"), F.col("y").alias("ya")), "old_cluster").join(b.select(F.col("cluster").alias("new_cluster"), "n", "x", "y"), "new_cluster")
+    dx, dy = F.col("x") - F.col("xa"), F.col("y") - F.col("ya")
+    return met.select("old_cluster", "new_cluster", "cells", (F.col("cells") / (F.col("na") + F.col("n") - F.col("cells"))).alias("iou"), (dx * dx + dy * dy).alias("apart"))
+
+
+def best_match(shared: DataFrame) -> DataFrame:
+    """(old_cluster, new_cluster, cells): for each old cluster the new one with the largest overlap, then the nearest, then
+    the largest id. shared: overlaps()."""
+    best = F.max(F.struct("cells", (-F.col("apart")).alias("near"), "new_cluster")).alias("b")
+    return shared.groupBy("old_cluster").agg(best).select("old_cluster", "b.new_cluster", "b.cells")
+
+
+def match_one_to_one(shared: DataFrame, max_rounds: int = 100) -> DataFrame:
+    """(new_cluster, old_cluster): pairs taken greedily by (cells, iou, old id, new id), the
+    largest first, each side once. shared: overlaps().
+
+    A pair that is the best of both its sides is what the greedy order takes before any other pair of theirs, so each round
+    takes all such pairs at once, and what they used leaves the table."""
+    left = materialize(shared.select("old_cluster", "new_cluster", F.struct("cells", "iou", F.col("old_cluster").alias("o"), F.col("new_cluster").alias("w")).alias("rank")), "overlaps")
+    taken = []
+    for _ in range(max_rounds):
+        if left.isEmpty():
+            break
+        ranked = left
+        for side in ("old_cluster", "new_cluster"):
+            ranked = ranked.withColumn(f"top_{side}", F.max("rank").over(Window.partitionBy(side)))
+        pairs = materialize(ranked.filter((F.col("rank") == F.col("top_old_cluster")) & (F.col("rank") == F.col("top_new_cluster"))).select("new_cluster", "old_cluster"), "matched")
+        taken.append(pairs)
+        last, left = left, materialize(left.join(pairs.select("old_cluster"), "old_cluster", "left_anti").join(pairs.select("new_cluster"), "new_cluster", "left_anti"), "overlaps")
+        discard(last)
+    else:
+        raise RuntimeError(f"matching did not settle in {max_rounds} rounds")
+    return reduce(DataFrame.union, taken) if taken else left.select("new_cluster", "old_cluster")
+
+
+def _fallback(pdf: pd.DataFrame) -> pd.DataFrame:
+    used = set(pdf.old_cluster.dropna().astype(int))
+    rows, free = [], 1
+    for new, old in sorted((int(n), None if pd.isna(o) else int(o)) for n, o in zip(pdf.new_cluster, pdf.old_cluster, strict=True)):
+        if old is not None:
+            rows.append((new, old, "matched"))
+            continue
+        how, chosen = "own", new
+        if new in used:
+            while free in used:
+                free += 1
+            how, chosen = "free", free
+        used.add(chosen)
+        rows.append((new, chosen, how))
+    return pd.DataFrame(rows, columns=["new_cluster", "id", "how"])
+
+
+def assign_ids(new: DataFrame, matched: DataFrame) -> DataFrame:
+    """(new_cluster, id, how): a matched cluster gets the old id. The others follow in order: each keeps its own id if it is
+    not used yet, and else gets the smallest from 1 on that is not. new: (cluster).
+
+    Each choice depends on all before, so that the ids of one run, a row for each cluster, are one group."""
+    named = new.select(F.col("cluster").alias("new_cluster")).join(matched, "new_cluster", "left").select("new_cluster", "old_cluster", F.lit(0).alias("run"))
+    return named.groupBy("run").applyInPandas(_fallback, "new_cluster long, id long, how string")
+
+
+def monotone_floor(new: DataFrame, old: DataFrame) -> DataFrame:
+    """(cluster, r, c, m): new with all that an earlier run had, from the time it had it. Both say when cells join.
 
-    old, new: (cluster, r, c). Overlaps are counts of shared cells."""
-    shared = old.select(F.col("cluster").alias("old_cluster"), "r", "c").join(new.select(F.col("cluster").alias("new_cluster"), "r", "c"), ["r", "c"])
-    size = shared.groupBy("new_cluster", "old_cluster").agg(F.count("*").alias("cells"))
-    return size.groupBy("new_cluster").agg(F.max(F.struct("cells", (-F.col("old_cluster")).alias("o"))).alias("b")).select("new_cluster", (-F.col("b.o")).alias("old_cluster"), "b.cells")
+    A new run that ends before the old one is refused."""
+    ends = [t.agg(F.max("m")).first()[0] for t in (old, new)]
+    if ends[0] is not None and (ends[1] is None or ends[1] < ends[0]):
+        raise ValueError(f"the new run ends at {ends[1]}, before the old one at {ends[0]}")
+    return new.select("cluster", "r", "c", "m").unionByName(old.select("cluster", "r", "c", "m")).groupBy("cluster", "r", "c").agg(F.min("m").alias("m"))

@@ -32,6 +32,56 @@ def extent(points: DataFrame) -> DataFrame:
     return points.agg(snap("x").alias("gx"), snap("y").alias("gy"))
 
 
+def size(points: DataFrame) -> DataFrame:
+    """One row (nx, ny): columns and rows of the grid that extent() begins, padded on the far sides too."""
+    far = lambda c: F.ceil((F.max(c) + P.PADDING) / P.CELL) * P.CELL
+    near = lambda c: F.floor((F.min(c) - P.PADDING) / P.CELL) * P.CELL
+    return points.agg(*[((far(c) - near(c)) / P.CELL).cast("long").alias(n) for c, n in (("x", "nx"), ("y", "ny"))])
+
+
+def in_bounds(cells: DataFrame, grid_size: DataFrame) -> DataFrame:
+    """Cells on a grid; grid_size: one row (nx, ny)."""
+    on = cells.crossJoin(F.broadcast(grid_size))  # a single row
+    return on.filter((F.col("c") >= 0) & (F.col("c") < F.col("nx")) & (F.col("r") >= 0) & (F.col("r") < F.col("ny"))).drop("nx", "ny")
+
+
+def windows(cells: DataFrame, grid_size: DataFrame, by: list[str]) -> DataFrame:
+    """(by, r0, c0, r1, c1): bounds of each group's cells, a cell wider on each side, clipped to the grid."""
+    b = cells.groupBy(*by).agg(*[f(c).alias(n) for f, c, n in ((F.min, "r", "a"), (F.min, "c", "b"), (F.max, "r", "d"), (F.max, "c", "e"))])
+    b = b.crossJoin(F.broadcast(grid_size))  # a single row
+    zero = F.lit(0).cast("long")
+    return b.select(*by, F.greatest(zero, F.col("a") - 1).alias("r0"), F.greatest(zero, F.col("b") - 1).alias("c0"), F.least(F.col("ny") - 1, F.col("d") + 1).alias("r1"), F.least(F.col("nx") - 1, F.col("e") + 1).alias("c1"))
+
+
+def spread(mask: DataFrame, around: list[tuple[int, int]], keys: tuple[str, ...] = ("p",)) -> DataFrame:
+    """(keys, r, c, n): the cells that the offsets reach from mask, and from how many of its cells."""
+    near = mask.select(*keys, "r", "c", offsets(around)).select(*keys, (F.col("r") + F.col("o.dr")).alias("r"), (F.col("c") + F.col("o.dc")).alias("c"))
+    return near.groupBy(*keys, "r", "c").agg(F.count("*").alias("n"))
+
+
+def closing(mask: DataFrame, radius: int, keys: tuple[str, ...] = ("p",)) -> DataFrame:
+    """Dilated, then eroded, by a disc: gaps and notches narrower than the disc are filled, and nothing is taken away."""
+    ball = disc(radius)
+    return spread(spread(mask, ball, keys).drop("n"), ball, keys).filter(F.col("n") == len(ball)).drop("n")
+
+
+def same_masks(a: DataFrame, b: DataFrame) -> DataFrame:
+    """(p, equal): whether both masks have the same cells in a pass; passes of either."""
+    both = a.select("p", "r", "c", F.lit(1).alias("k")).union(b.select("p", "r", "c", F.lit(2).alias("k"))).groupBy("p", "r", "c").agg(F.bit_or("k").alias("k"))
+    return both.groupBy("p").agg(F.every(F.col("k") == 3).alias("equal"))
+
+
+def part_distances(labelled: DataFrame, radius: int = P.ADVANCE_CELLS) -> DataFrame:
+    """(p, label, other, d2): squared distance in cells between parts of a pass that lie within radius, label < other.
+
+    Only boundary cells are spread, as the nearest cells of two parts are always on their boundaries."""
+    edge = labelled.join(boundary(labelled.select("p", "r", "c")), ["p", "r", "c"])
+    near = edge.select("p", "label", "r", "c", offsets(disc(radius))).select("p", "label", (F.col("r") + F.col("o.dr")).alias("r"), (F.col("c") + F.col("o.dc")).alias("c"), (F.col("o.dr") * F.col("o.dr") + F.col("o.dc") * F.col("o.dc")).alias("d2"))
+    near = near.groupBy("p", "label", "r", "c").agg(F.min("d2").alias("d2"))
+    met = near.join(edge.withColumnRenamed("label", "other"), ["p", "r", "c"]).filter("label < other")
+    return met.groupBy("p", "label", "other").agg(F.min("d2").alias("d2"))
+
+
 def with_cell(points: DataFrame) -> DataFrame:
     g = points.crossJoin(F.broadcast(extent(points)))  # a single row
     return g.withColumn("r", F.floor((F.col("y") - F.col("gy")) / P.CELL)).withColumn("c", F.floor((F.col("x") - F.col("gx")) / P.CELL)).drop("gx", "gy")
@@ -46,11 +96,12 @@ def smooth(cells: DataFrame, sigma: float = P.SIGMA_CELLS) -> DataFrame:
     return cells
 
 
-def robust(smoothed: DataFrame) -> DataFrame:
-    """Cells at EVIDENCE_ABSOLUTE of the whole run's maximum and EVIDENCE_RELATIVE of their own pass's."""
+def robust(smoothed: DataFrame, frozen: float | None = None) -> DataFrame:
+    """Cells at EVIDENCE_ABSOLUTE of the whole run's maximum and EVIDENCE_RELATIVE of their own pass's. frozen: a maximum
+    that is held fixed, so that later passes leave earlier thresholds as they are (streams)."""
     s = smoothed.withColumn("v", F.round("v", 9))
     per = s.groupBy("p").agg(F.max("v").alias("pmax"))
-    top = per.agg(F.max("pmax").alias("gmax"))
+    top = per.agg((F.max("pmax") if frozen is None else F.lit(frozen)).alias("gmax"))
     limits = per.crossJoin(F.broadcast(top))  # a single row
     met = s.join(limits, "p")
     return met.filter(F.col("v") / F.col("gmax") >= F.greatest(F.lit(P.EVIDENCE_ABSOLUTE), F.col("pmax") / F.col("gmax") * P.EVIDENCE_RELATIVE)).select("p", "r", "c", "v")

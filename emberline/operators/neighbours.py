@@ -21,7 +21,7 @@ def pairs_within(left: DataFrame, right: DataFrame, radius: Column, widest: int,
     on: a column that both must share; minutes: 0 < |difference of m| <= minutes instead, past_only: right before left."""
     cell = lambda c: F.floor(F.col(c) / widest)
     keys = ["cx", "cy"]
-    lhs = left.withColumn("radius", radius).withColumn("cx", _around(cell("x"), AROUND)).withColumn("cy", _around(cell("y"), AROUND))
+    lhs = left.withColumn("radius", radius.cast("long")).withColumn("cx", _around(cell("x"), AROUND)).withColumn("cy", _around(cell("y"), AROUND))
     rhs = right.select(*[F.col(c).alias(f"r_{c}") for c in right.columns], cell("x").alias("cx"), cell("y").alias("cy"))
     if on:
         keys.append(on)
@@ -39,9 +39,10 @@ def pairs_within(left: DataFrame, right: DataFrame, radius: Column, widest: int,
 
 
 def neighbour_counts(det: DataFrame, radii: dict[str, int], **how) -> DataFrame:
-    """(id, n) of all rows of det: neighbours within the radius of the row's own instrument."""
+    """(id, n, past) of all rows of det: neighbours within the radius of the row's own instrument, and how many of them are
+    earlier."""
     from ..functions.classify import by_instrument
 
     thin = det.select("id", "m", "x", "y", "instrument")
-    found = pairs_within(thin, thin.drop("instrument"), by_instrument(radii), max(radii.values()), **how).groupBy("id").agg(F.count("*").alias("n"))
-    return det.select("id").join(found, "id", "left").select("id", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+    found = pairs_within(thin, thin.drop("instrument"), by_instrument(radii), max(radii.values()), **how).groupBy("id").agg(F.count("*").alias("n"), F.count_if(F.col("r_m") < F.col("m")).alias("past"))
+    return det.select("id").join(found, "id", "left").select("id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n", "past")])

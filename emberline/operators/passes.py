@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import params as P
 from ..functions.classify import by_instrument, clip
+from ..sources.tables import materialize
 from .neighbours import pairs_within
 
 #: Side of the cells in which nearest neighbours are looked for first.
@@ -37,14 +40,34 @@ def with_midpoint(sessions: DataFrame) -> DataFrame:
 def nearest(sessions: DataFrame) -> DataFrame:
     """(pass_id, id, d): distance to the nearest other point of the pass, null where there is none.
 
-    Neighbours within REACH are found by cells; only points without one are compared with their whole pass."""
-    p = sessions.select("id", "x", "y", "pass_id")
-    close = pairs_within(p, p, F.lit(REACH), REACH, on="pass_id").groupBy("pass_id", "id").agg(F.min("d2").alias("d2"))
-    lone = p.join(close, ["pass_id", "id"], "left_anti")
-    other = p.select("pass_id", F.col("id").alias("id2"), F.col("x").alias("x2"), F.col("y").alias("y2"))
-    dx, dy = F.col("x") - F.col("x2"), F.col("y") - F.col("y2")
-    far = lone.join(other, "pass_id").withColumn("d2", F.when(F.col("id") != F.col("id2"), dx * dx + dy * dy)).groupBy("pass_id", "id").agg(F.min("d2").alias("d2"))
-    return close.unionByName(far).select("pass_id", "id", F.sqrt("d2").alias("d"))
+    Points are looked for in cells of REACH metres around; those that find none look again in cells four times as wide, and
+    so on until the cells are as wide as the widest pass."""
+    p = materialize(sessions.select("id", "x", "y", "pass_id"), "nearest")
+    span = p.groupBy("pass_id").agg((F.max("x") - F.min("x")).alias("dx"), (F.max("y") - F.min("y")).alias("dy"), F.count("*").alias("n"))
+    widest = span.agg(F.max(F.greatest("dx", "dy"))).first()[0] or 0
+    alone = p.join(span.filter("n = 1").select("pass_id"), "pass_id", "left_semi").select("pass_id", "id", F.lit(None).cast("double").alias("d2"))
+    todo = p.join(span.filter("n > 1").select("pass_id"), "pass_id", "left_semi")
+    found, reach = [alone], REACH
+    while True:
+        close = pairs_within(todo, p, F.lit(reach), reach, on="pass_id").groupBy("pass_id", "id").agg(F.min("d2").cast("double").alias("d2"))
+        close = materialize(close, "nearest-found")
+        found.append(close)
+        if reach > widest * 2:
+            break
+        todo = materialize(todo.join(close, ["pass_id", "id"], "left_anti"), "nearest-left")
+        if todo.isEmpty():
+            break
+        reach *= 4
+    return reduce(DataFrame.unionByName, found).select("pass_id", "id", F.sqrt("d2").alias("d"))
+
+
+def even_subsample(rows: DataFrame, key: str, most: int = 16) -> DataFrame:
+    """Rows at even steps of their order by key, from the first to the last; all of them if there are no more than most.
+    rows: one for each pass, so that one window over all is small."""
+    ranked = rows.select(key, (F.row_number().over(Window.orderBy(key)) - 1).alias("i"))
+    ranked = ranked.crossJoin(F.broadcast(ranked.agg(F.count("*").alias("n"))))  # a single row
+    steps = F.transform(F.sequence(F.lit(0), F.lit(most - 1)), lambda k: F.rint(k * ((F.col("n") - 1) / (most - 1))))
+    return ranked.filter((F.col("n") <= most) | F.array_contains(steps, F.col("i").cast("double"))).select(key)
 
 
 def nearest_stats(sessions: DataFrame) -> DataFrame:

@@ -42,7 +42,8 @@ def _near(cells: Cells, radius: int) -> Cells:
 
 
 def fold(passes: list[tuple[int, float, Cells]]) -> list[dict]:
-    """passes: (p, hours, robust cells) in order, of which the first is the run's first pass. A row of counts for each."""
+    """passes: (p, hours, robust cells) in order, of which the first is the run's first pass. A row of counts for each, and
+    the cells of each category."""
     history: Cells = set()
     pending: list[tuple[float, Cells]] = []
     out = []
@@ -69,7 +70,8 @@ def fold(passes: list[tuple[int, float, Cells]]) -> list[dict]:
                     provisional |= part
                     pending.append((now, part))
         history = set().union(*_large(history | persistence | advance | confirmed))
-        out.append({"p": p, "persistence": len(persistence), "advance": len(advance), "provisional": len(provisional), "confirmed": len(confirmed), "pending": len(pending), "expired": expired, "history": len(history), "components": len(set(label_cells(history).values()))})
+        made = {"persistence": persistence, "advance": advance, "provisional": provisional, "confirmed": confirmed}
+        out.append({"p": p, "cells": made, "persistence": len(persistence), "advance": len(advance), "provisional": len(provisional), "confirmed": len(confirmed), "pending": len(pending), "expired": expired, "history": len(history), "components": len(set(label_cells(history).values()))})
     return out
 
 
@@ -77,16 +79,32 @@ _COUNTS = ("persistence", "advance", "provisional", "confirmed", "pending", "exp
 
 
 def progression(cells: DataFrame, hours_per_pass: DataFrame) -> DataFrame:
-    """Counts per pass, summed over regions. cells: (p, r, c); hours_per_pass: (p, hours) of all passes, one row each."""
-    times = hours_per_pass.agg(F.sort_array(F.collect_list(F.struct("hours", "p"))).alias("times"))
-    keyed = regions(cells).crossJoin(F.broadcast(times))  # a single row, as long as the list of passes
+    """What becomes of each pass in each region: a row of counts, and rows (p, category, r, c) of the cells themselves, told
+    apart by category being null. cells: (p, r, c); hours_per_pass: (p, hours) of all passes, one row each."""
+    # one row a pass: the times of all go to each task once
+    times = sorted((r.hours, r.p) for r in hours_per_pass.select("hours", "p").collect())
+    columns = ["p", "category", "r", "c", *_COUNTS]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         by: dict[int, Cells] = {}
         for p, r, c in zip(pdf.p, pdf.r, pdf.c, strict=True):
             by.setdefault(p, set()).add((r, c))
-        rows = fold([(t["p"], t["hours"], by.get(t["p"], set())) for t in pdf.times.iloc[0]])
-        return pd.DataFrame(rows).assign(region=pdf.region.iloc[0])[["region", "p", *_COUNTS]]
+        rows = []
+        for x in fold([(p, hours, by.get(p, set())) for hours, p in times]):
+            rows.append((x["p"], None, None, None, *(x[c] for c in _COUNTS)))
+            rows += [(x["p"], name, r, c, *[None] * len(_COUNTS)) for name, made in x["cells"].items() for r, c in sorted(made)]
+        return pd.DataFrame(rows, columns=columns).astype({c: "Int64" for c in columns if c != "category"})
 
-    folded = keyed.groupBy("region").applyInPandas(run, "region long, p long, " + ", ".join(f"{c} long" for c in _COUNTS))
-    return folded.groupBy("p").agg(*[F.sum(c).alias(c) for c in _COUNTS])
+    return regions(cells).groupBy("region").applyInPandas(run, "p long, category string, r long, c long, " + ", ".join(f"{c} long" for c in _COUNTS))
+
+
+def counts(folded: DataFrame) -> DataFrame:
+    """Counts per pass, summed over regions, and areas."""
+    per = folded.filter("category IS NULL").groupBy("p").agg(*[F.sum(c).alias(c) for c in _COUNTS])
+    return per.select("p", *_COUNTS, *[F.bround(F.col(c) * P.CELL_AREA_KM2, 3).alias(f"{c}_km2") for c in ("persistence", "advance", "provisional", "confirmed", "history")])
+
+
+def categories(folded: DataFrame) -> DataFrame:
+    """(p, category, r, c): the four categories, and observed_front, which is all of them together."""
+    own = folded.filter("category IS NOT NULL").select("p", "category", "r", "c")
+    return own.unionByName(own.select("p", F.lit("observed_front").alias("category"), "r", "c").distinct())

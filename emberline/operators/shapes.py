@@ -7,6 +7,9 @@ that it needs. So one pass gives the envelope of every moment.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,6 +66,97 @@ def polygons(mask: DataFrame) -> DataFrame:
     return mask.select("p", "r", "c").groupBy("p").applyInPandas(_trace, "p long, part int, rings array<array<struct<x: long, y: long>>>, cells long")
 
 
+def inside(polygon: list[list[Corner]]) -> set[tuple[int, int]]:
+    """The cells whose centre lies in a polygon, by counting the rings' edges left of it, row by row."""
+    across: dict[int, list[float]] = {}
+    for ring in polygon:
+        for (x1, y1), (x2, y2) in zip(ring, ring[1:], strict=False):
+            low, high = sorted((y1, y2))
+            for r in range(math.ceil(low - 0.5), math.ceil(high - 0.5)):
+                across.setdefault(r, []).append(x1 + (r + 0.5 - y1) * (x2 - x1) / (y2 - y1))
+    return {(r, c) for r, xs in across.items() for a, b in zip(sorted(xs)[::2], sorted(xs)[1::2], strict=True) for c in range(math.ceil(a - 0.5), math.ceil(b - 0.5))}
+
+
+def rasterise(polygons_: DataFrame, touched: bool = False) -> DataFrame:
+    """(p, r, c): cells whose centre lies in one of the polygons (p, rings), rings in corners of cells; with touched also
+    those that an outline goes through."""
+
+    def cells(polygon: list[list[Corner]]) -> set[tuple[int, int]]:
+        out = inside(polygon)
+        if touched:
+            for ring in polygon:
+                for (x1, y1), (x2, y2) in zip(ring, ring[1:], strict=False):
+                    n = 4 * max(1, math.ceil(max(abs(x2 - x1), abs(y2 - y1))))
+                    out |= {(math.floor(y1 + (y2 - y1) * (k + 0.5) / n), math.floor(x1 + (x2 - x1) * (k + 0.5) / n)) for k in range(n)}
+        return out
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = [(p, r, c) for p, polygon in zip(pdf.p, pdf.rings, strict=True) for r, c in cells([[(v["x"], v["y"]) for v in ring] for ring in polygon])]
+            yield pd.DataFrame(rows, columns=["p", "r", "c"])
+
+    return polygons_.select("p", "rings").mapInPandas(run, "p long, r long, c long").distinct()
+
+
+def simplified(ring: list[tuple[float, float]], tolerance: float) -> list[tuple[float, float]]:
+    """A closed ring without the points that lie within tolerance of the line between those that stay. Four points stay at
+    least, so that a ring stays a ring."""
+
+    def off(p, a, b) -> float:
+        dx, dy = b[0] - a[0], b[1] - a[1]
+        t = ((p[0] - a[0]) * dx + (p[1] - a[1]) * dy) / (dx * dx + dy * dy) if dx or dy else 0.0
+        t = min(1.0, max(0.0, t))
+        return math.hypot(p[0] - a[0] - t * dx, p[1] - a[1] - t * dy)
+
+    if len(ring) <= 4:
+        return ring
+    half = max(range(1, len(ring) - 1), key=lambda i: math.dist(ring[0], ring[i]))  # the point furthest from the first
+    keep, todo = {0, half, len(ring) - 1}, [(0, half), (half, len(ring) - 1)]
+    while todo:
+        a, b = todo.pop()
+        if b - a > 1:
+            k = max(range(a + 1, b), key=lambda i: off(ring[i], ring[a], ring[b]))
+            if off(ring[k], ring[a], ring[b]) > tolerance:
+                keep.add(k)
+                todo += [(a, k), (k, b)]
+    if len(keep) < 4:
+        rest = [i for i in range(1, len(ring) - 1) if i not in keep]
+        keep.add(max(rest, key=lambda i: min(off(ring[i], ring[0], ring[half]), off(ring[i], ring[half], ring[0]))))
+    return [ring[i] for i in sorted(keep)]
+
+
+def simplify(polygons_: DataFrame, tolerance: float) -> DataFrame:
+    """Polygons (p, part, rings) with simplified rings; tolerance in sides of a cell."""
+    kind = "array<array<struct<x: double, y: double>>>"
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = [[[{"x": x, "y": y} for x, y in simplified([(float(v["x"]), float(v["y"])) for v in ring], tolerance)] for ring in polygon] for polygon in pdf.rings]
+            yield pd.DataFrame({"p": pdf.p, "part": pdf.part, "rings": out})
+
+    return polygons_.select("p", "part", "rings").mapInPandas(run, f"p long, part int, rings {kind}")
+
+
+def ring_area2(ring: Column) -> Column:
+    """Twice the signed area of a ring of corners."""
+    return F.aggregate(F.sequence(F.lit(1), F.size(ring) - 1), F.lit(0).cast("long"), lambda s, i: s + F.get(ring, i - 1)["x"] * F.get(ring, i)["y"] - F.get(ring, i)["x"] * F.get(ring, i - 1)["y"])
+
+
+def valid(ring: Column) -> Column:
+    """A ring of four positions or more that ends where it began and encloses something."""
+    return (F.size(ring) >= 4) & (F.get(ring, F.lit(0)) == F.element_at(ring, -1)) & (ring_area2(ring) != 0)
+
+
+def repaired(polygons_: DataFrame) -> DataFrame:
+    """Polygons with their valid rings only; those whose outer ring is not valid go."""
+    return polygons_.filter((F.size("rings") > 0) & valid(F.get("rings", F.lit(0)))).withColumn("rings", F.filter("rings", valid))
+
+
+def points_of(rings_: Column) -> Column:
+    """How many positions rings have, the repeated last ones included."""
+    return F.aggregate(rings_, F.lit(0), lambda n, ring: n + F.size(ring))
+
+
 def to_degrees(rings_: Column, x0: Column, y0: Column, cell: int = P.CELL) -> Column:
     """Rings in corners of cells as GeoJSON positions [longitude, latitude], of a grid whose corner lies at x0, y0 in metres."""
 
@@ -89,8 +183,3 @@ def envelope_times(points: DataFrame, cell: int = P.ENVELOPE_CELL, closing: int
         around = first.select("cluster", "m", "r", "c", offsets(ball)).select("cluster", "m", (F.col("r") + F.col("o.dr")).alias("r"), (F.col("c") + F.col("o.dc")).alias("c"))
         first = around.groupBy("cluster", "r", "c").agg(join.alias("m"), F.count("*").alias("n")).filter(F.col("n") >= needed).drop("n")
     return first.select("cluster", "r", "c", "m")
-
-
-def feature(properties: Column, coordinates: Column) -> Column:
-    """A GeoJSON MultiPolygon feature."""
-    return F.to_json(F.struct(F.lit("Feature").alias("type"), properties.alias("properties"), F.struct(F.lit("MultiPolygon").alias("type"), coordinates.alias("coordinates")).alias("geometry")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import classify, geo
+from ..functions import classify, geo, times
 from ..sources.detections import VIEW_SQL, acquired, detections, merge_history
 from .registry import query
 
@@ -51,6 +51,15 @@ def campaign_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detections(spark, sf_dir).filter("m >= 1440").select("id", F.col("m").cast("long").alias("m"))
 
 
+@query(f"{WITH} SELECT start, count(*) AS n FROM det CROSS JOIN (VALUES ('auto', 0), ('2024-01-02T00:00:00', 1440), ('2024-01-02T12:00:00+02:00', 2040)) v(start, a) WHERE m >= a GROUP BY start")
+def campaign_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detections since each of three starts: none at all, one without a zone (UTC) and one with."""
+    ts = F.timestamp_seconds(F.unix_seconds(times.parsed_utc(F.lit("2024-01-01T00:00:00Z"))) + F.col("m") * 60)
+    starts = ("auto", "2024-01-02T00:00:00", "2024-01-02T12:00:00+02:00")
+    hits = F.explode(F.array(*[F.struct(F.lit(s).alias("start"), times.since(ts, s).alias("in")) for s in starts]))
+    return detections(spark, sf_dir).select(hits.alias("h")).filter("h.in").groupBy("h.start").agg(F.count("*").alias("n"))
+
+
 @query(f"{WITH}, a AS (SELECT ({NOW_SQL} - m) / 60.0 AS h FROM det) SELECT CAST(least(floor(h / 8) + 1, 6) AS BIGINT) AS age_class, count(*) AS n FROM a WHERE h BETWEEN 0 AND 48 GROUP BY 1")
 def age_class_8h(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = _now(detections(spark, sf_dir)).select(classify.age_class((F.col("now") - F.col("m")) / 60.0).cast("long").alias("age_class"))
@@ -69,12 +78,22 @@ def dedupe_max_frp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best.agg(F.count("*").alias("kept"), F.min(-F.col("b.i")).alias("first_id"), F.max(-F.col("b.i")).alias("last_id"), F.round(F.sum("b.frp"), 4).alias("power"))
 
 
-@query(f"{WITH}, u AS (SELECT id, x, y, m, frp, 'old' AS source FROM det WHERE id % 2 = 0 UNION ALL SELECT id, x, y, m, frp + 1, 'new' FROM det WHERE id % 3 = 0) SELECT source, count(*) AS n, round(sum(frp), 4) AS power FROM (SELECT *, row_number() OVER (PARTITION BY id, m ORDER BY frp DESC, source DESC) AS rn FROM u) WHERE rn = 1 GROUP BY source")
+_UPSERT = f"{WITH}, l AS (SELECT max(m) AS b FROM det), u AS (SELECT id, (x * 2 + 1) / 200000.0 AS lon, (y * 2 + 1) / 200000.0 AS lat, m, frp, 'old' AS source FROM det, l WHERE m <= b - 1440 UNION ALL SELECT id, (x * 2 + 1) / 200000.0, (y * 2 + 1) / 200000.0, m, frp + id % 2, 'new' FROM det, l WHERE m > b - 4320)"
+
+
+def _overlapping(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """An archive up to a day before the end, and a batch of the last three days, in which half the rows have more power;
+    together they have every row. Degrees of no place on earth: rounded to three decimals they make squares of 100 m."""
+    d = detections(spark, sf_dir).crossJoin(F.broadcast(detections(spark, sf_dir).agg(F.max("m").alias("b"))))  # a single row
+    d = d.select(((F.col("y") * 2 + 1) / 200000.0).alias("lat"), ((F.col("x") * 2 + 1) / 200000.0).alias("lon"), F.col("m").cast("string").alias("acq_date"), F.lit(0).alias("acq_time"), F.timestamp_seconds(F.col("m") * 60).alias("dt_utc"), "frp", "id", "m", "b")
+    old = d.filter("m <= b - 1440").withColumn("source", F.lit("old"))
+    new = d.filter("m > b - 4320").withColumns({"frp": F.col("frp") + F.col("id") % 2, "source": F.lit("new")})
+    return old, new
+
+
+@query(f"{_UPSERT} SELECT source, count(*) AS n, round(sum(frp), 4) AS power FROM (SELECT *, row_number() OVER (PARTITION BY round(lat, 3), round(lon, 3), m ORDER BY frp DESC, source DESC, lat, lon) AS rn FROM u) WHERE rn = 1 GROUP BY source")
 def history_union_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = detections(spark, sf_dir).select(F.col("id").cast("double").alias("lat"), F.lit(0.0).alias("lon"), F.col("m").cast("string").alias("acq_date"), F.lit(0).alias("acq_time"), F.timestamp_seconds(F.col("m") * 60).alias("dt_utc"), "frp", "id")
-    old = d.filter("id % 2 = 0").withColumn("source", F.lit("old"))
-    new = d.filter("id % 3 = 0").withColumns({"frp": F.col("frp") + 1, "source": F.lit("new")})
-    return merge_history(old, new).groupBy("source").agg(F.count("*").alias("n"), F.round(F.sum("frp"), 4).alias("power"))
+    return merge_history(*_overlapping(spark, sf_dir)).groupBy("source").agg(F.count("*").alias("n"), F.round(F.sum("frp"), 4).alias("power"))
 
 
 @query(f"{WITH} SELECT instrument, count(*) AS n, round(sum(CASE WHEN scan * track > 0 THEN scan * track WHEN instrument = 'MODIS' THEN 1.0 ELSE 0.140625 END), 4) AS area FROM det GROUP BY instrument")

@@ -7,23 +7,27 @@ from pyspark.sql import functions as F
 
 from .. import params as P
 from ..operators import envelopes, grid, shapes
-from ..operators.components import linked_clusters
 from ..sources.detections import detections
-from ..sources.tables import materialize
+from ..sources.tables import materialize, step
 from .grid_queries import _ARRIVAL, _MASK, arrivals, masks
 from .registry import query
-from .support_queries import _CELLS, D2
+from .support_queries import _CELLS, D2, clusters
 
 _SUPPORTED = f"{_CELLS}, su AS (SELECT a.id FROM det a JOIN det b ON a.slot = b.slot AND a.id <> b.id AND {D2} <= 4000000 GROUP BY a.id), st AS (SELECT cluster, CAST(m AS BIGINT) AS m, CAST(sum(count(*)) OVER (PARTITION BY cluster ORDER BY m) AS BIGINT) AS n FROM cl JOIN su USING (id) JOIN det USING (id) GROUP BY cluster, m)"
 
 
 def _clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = detections(spark, sf_dir)
-    return d.join(linked_clusters(d, P.CLUSTER_RADIUS), "id")
+    return d.join(clusters(spark, sf_dir), "id")
+
+
+def counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detections that their pass supports, with their cluster, written once."""
+    return step(spark, "counted", f"{sf_dir}/events.parquet", lambda: envelopes.same_pass_supported(_clustered(spark, sf_dir)))
 
 
 def _states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    per = envelopes.same_pass_supported(_clustered(spark, sf_dir)).groupBy("cluster", F.col("m").cast("long").alias("m")).agg(F.count("*").alias("k"))
+    per = counted(spark, sf_dir).groupBy("cluster", F.col("m").cast("long").alias("m")).agg(F.count("*").alias("k"))
     return per.select("cluster", "m", F.sum("k").over(Window.partitionBy("cluster").orderBy("m")).alias("n"))
 
 
@@ -44,37 +48,66 @@ def snapshot_6h_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     return envelopes.snapshots(_states(spark, sf_dir))
 
 
-@query(f"{_SUPPORTED}, cut AS (SELECT unnest(range(360, 7200, 720)) AS cutoff) SELECT cluster, CAST(cutoff AS BIGINT) AS cutoff, max(m) AS m, max(n) AS n FROM st JOIN cut ON st.m <= cutoff GROUP BY cluster, cutoff")
+@query(f"{_SUPPORTED}, cut AS (SELECT unnest(range((SELECT min(m) FROM det) + 360, (SELECT max(m) FROM det) + 720, 720)) AS cutoff) SELECT cluster, CAST(cutoff AS BIGINT) AS cutoff, max(m) AS m, max(n) AS n FROM st JOIN cut ON st.m <= cutoff GROUP BY cluster, cutoff")
 def extent_asof_per_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cutoffs = spark.range(360, 7200, 720).withColumnRenamed("id", "cutoff")  # a fixed list
+    span = detections(spark, sf_dir).agg(F.min("m").cast("long").alias("a"), F.max("m").cast("long").alias("b"))
+    steps = F.sequence(F.col("a") + 360, F.col("b") + 719, F.lit(720).cast("long"))
+    cutoffs = span.select(F.explode(steps).alias("cutoff"))  # two a day
     s = _states(spark, sf_dir).join(F.broadcast(cutoffs), F.col("m") <= F.col("cutoff"))
     return s.groupBy("cluster", "cutoff").agg(F.max("m").alias("m"), F.max("n").alias("n"))
 
 
-@query(f"{_SUPPORTED}, cut AS (SELECT unnest(range(360, 7200, 720)) AS cutoff), e AS (SELECT cluster, cutoff, max(m) AS m FROM st JOIN cut ON st.m <= cutoff GROUP BY cluster, cutoff), l AS (SELECT *, lag(m) OVER (PARTITION BY cluster ORDER BY cutoff) AS before FROM e) SELECT cluster, CAST(cutoff AS BIGINT) AS cutoff, m FROM l WHERE before IS NULL OR before <> m")
+@query(f"{_SUPPORTED}, cut AS (SELECT unnest(range((SELECT min(m) FROM det) + 360, (SELECT max(m) FROM det) + 720, 720)) AS cutoff), e AS (SELECT cluster, cutoff, max(m) AS m FROM st JOIN cut ON st.m <= cutoff GROUP BY cluster, cutoff), l AS (SELECT *, lag(m) OVER (PARTITION BY cluster ORDER BY cutoff) AS before FROM e) SELECT cluster, CAST(cutoff AS BIGINT) AS cutoff, m FROM l WHERE before IS NULL OR before <> m")
 def extent_change_emit(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = extent_asof_per_cluster(spark, sf_dir)
     return e.withColumn("before", F.lag("m").over(Window.partitionBy("cluster").orderBy("cutoff"))).filter("before IS NULL OR before != m").select("cluster", "cutoff", "m")
 
 
-_CC = f"{_CELLS}, pc AS (SELECT cluster, id, x // 250 AS c, y // 250 AS r FROM cl JOIN det USING (id)), nw AS (SELECT DISTINCT cluster, r, c FROM pc), ol AS (SELECT DISTINCT cluster % 7 AS cluster, r, c FROM pc WHERE id % 2 = 0)"
+#: Cells of 2 km, so that clusters overlap; the run before is what was there a day before the end, named by its own smallest
+#: detection, plus 1 for every other cluster so that most names change.
+_CC = f"{_CELLS}, fin AS (SELECT max(m) AS b FROM det), pc AS (SELECT cluster, id, m, x // 2000 AS c, y // 2000 AS r FROM cl JOIN det USING (id)), nw AS (SELECT DISTINCT cluster, r, c FROM pc), ol AS (SELECT DISTINCT min(id) OVER (PARTITION BY cluster) + cluster % 2 AS cluster, r, c FROM pc, fin WHERE m <= b - 1440)"
+_OV = f"{_CC}, bo AS (SELECT cluster, count(*) AS n, min(r) + max(r) AS y, min(c) + max(c) AS x FROM ol GROUP BY cluster), bn AS (SELECT cluster, count(*) AS n, min(r) + max(r) AS y, min(c) + max(c) AS x FROM nw GROUP BY cluster), ov AS (SELECT s.*, cells / (bo.n + bn.n - cells) AS iou, (bo.x - bn.x) * (bo.x - bn.x) + (bo.y - bn.y) * (bo.y - bn.y) AS apart FROM (SELECT ol.cluster AS old_cluster, nw.cluster AS new_cluster, count(*) AS cells FROM ol JOIN nw USING (r, c) GROUP BY ALL) s JOIN bo ON bo.cluster = old_cluster JOIN bn ON bn.cluster = new_cluster)"
+#: Greedy by rank: a pair is taken if no pair taken before has one of its sides.
+_PAIRS = f"{_OV}, rk AS (SELECT *, row_number() OVER (ORDER BY cells DESC, iou DESC, old_cluster DESC, new_cluster DESC) AS k FROM ov), gr AS (SELECT 0 AS k, CAST([] AS BIGINT[]) AS o, CAST([] AS BIGINT[]) AS w UNION ALL SELECT gr.k + 1, CASE WHEN t THEN list_append(o, old_cluster) ELSE o END, CASE WHEN t THEN list_append(w, new_cluster) ELSE w END FROM (SELECT gr.*, rk.old_cluster, rk.new_cluster, NOT (list_contains(o, rk.old_cluster) OR list_contains(w, rk.new_cluster)) AS t FROM gr JOIN rk ON rk.k = gr.k + 1) gr), mt AS (SELECT unnest(o) AS old_cluster, unnest(w) AS new_cluster FROM (SELECT * FROM gr ORDER BY k DESC LIMIT 1))"
 
 
 def _cluster_cells(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    c = _clustered(spark, sf_dir).select("cluster", "id", F.floor(F.col("x") / P.CELL).alias("c"), F.floor(F.col("y") / P.CELL).alias("r"))
-    return c.filter("id % 2 = 0").select((F.col("cluster") % 7).alias("cluster"), "r", "c").distinct(), c.select("cluster", "r", "c").distinct()
+    c = materialize(_clustered(spark, sf_dir).select("cluster", "id", "m", F.floor(F.col("x") / 2000).alias("c"), F.floor(F.col("y") / 2000).alias("r")), "cluster-cells")
+    before = c.crossJoin(F.broadcast(c.agg(F.max("m").alias("b")))).filter("m <= b - 1440")  # a single row
+    names = before.groupBy("cluster").agg((F.min("id") + F.col("cluster") % 2).alias("name"))
+    old = before.join(names, "cluster").select(F.col("name").alias("cluster"), "r", "c").distinct()
+    return old, c.select("cluster", "r", "c").distinct()
+
+
+@query(f"{_OV} SELECT old_cluster, arg_max(new_cluster, (cells, -apart, new_cluster)) AS new_cluster, max(cells) AS cells FROM ov GROUP BY old_cluster")
+def cluster_best_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return envelopes.best_match(envelopes.overlaps(*_cluster_cells(spark, sf_dir)))
 
 
-@query(f"{_CC}, ov AS (SELECT nw.cluster AS new_cluster, ol.cluster AS old_cluster, count(*) AS cells FROM nw JOIN ol USING (r, c) GROUP BY ALL) SELECT new_cluster, arg_max(old_cluster, (cells, -old_cluster)) AS old_cluster, max(cells) AS cells FROM ov GROUP BY new_cluster")
+@query(f"{_PAIRS} SELECT new_cluster, old_cluster FROM mt")
 def cluster_id_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return envelopes.match_clusters(*_cluster_cells(spark, sf_dir))
+    """One-to-one, greedily by shared cells, intersection over union and ids."""
+    return envelopes.match_one_to_one(envelopes.overlaps(*_cluster_cells(spark, sf_dir)))
 
 
-@query(f"{_CC} SELECT count(*) AS cells, count(*) FILTER (WHERE n = 2) AS in_both FROM (SELECT r, c, count(DISTINCT k) AS n FROM (SELECT r, c, 0 AS k FROM ol UNION ALL SELECT r, c, 1 FROM nw) GROUP BY r, c)")
-def monotone_floor_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query(f"{_PAIRS}, um AS (SELECT cluster, row_number() OVER (ORDER BY cluster) AS k FROM (SELECT DISTINCT cluster FROM nw) WHERE cluster NOT IN (SELECT new_cluster FROM mt)), fb AS (SELECT 0 AS k, (SELECT coalesce(list(old_cluster), CAST([] AS BIGINT[])) FROM mt) AS used, CAST(0 AS BIGINT) AS cluster, CAST(0 AS BIGINT) AS id UNION ALL SELECT k, list_append(used, id), cluster, id FROM (SELECT um.k, used, um.cluster, CASE WHEN list_contains(used, um.cluster) THEN list_min(list_filter(range(1, len(used) + 2), lambda v: NOT list_contains(used, v))) ELSE um.cluster END AS id FROM fb JOIN um ON um.k = fb.k + 1)) SELECT cluster AS new_cluster, id, CASE WHEN id = cluster THEN 'own' ELSE 'free' END AS how FROM fb WHERE k > 0 UNION ALL SELECT new_cluster, old_cluster, 'matched' FROM mt")
+def cluster_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     old, new = _cluster_cells(spark, sf_dir)
-    both = old.select("r", "c", F.lit(1).alias("k")).union(new.select("r", "c", F.lit(2).alias("k"))).groupBy("r", "c").agg(F.bit_or("k").alias("k"))
-    return both.agg(F.count("*").alias("cells"), F.count_if(F.col("k") == 3).alias("in_both"))
+    return envelopes.assign_ids(new.select("cluster").distinct(), envelopes.match_one_to_one(envelopes.overlaps(old, new)))
+
+
+_RUNS = f"{_CELLS}, fin AS (SELECT max(m) AS b FROM det), pc AS (SELECT cluster, m, instrument, x // 250 AS c, y // 250 AS r FROM cl JOIN det USING (id)), nw AS (SELECT cluster, r, c, min(m) AS m FROM pc WHERE instrument = 'VIIRS' OR m > (SELECT b - 1440 FROM fin) GROUP BY ALL), ol AS (SELECT cluster, r, c, min(m) AS m FROM pc WHERE m <= (SELECT b - 1440 FROM fin) GROUP BY ALL), fl AS (SELECT cluster, r, c, min(m) AS m FROM (FROM nw UNION ALL FROM ol) GROUP BY ALL)"
+
+
+@query(f"{_RUNS} SELECT cluster, m, CAST(sum(count(*)) OVER (PARTITION BY cluster ORDER BY m) AS BIGINT) AS cells FROM fl GROUP BY cluster, m")
+def monotone_floor_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells of each cluster over time: those of a run that lost an instrument's early detections, never below those of the
+    run a day before."""
+    c = _clustered(spark, sf_dir).select("cluster", "m", "instrument", F.floor(F.col("x") / P.CELL).alias("c"), F.floor(F.col("y") / P.CELL).alias("r"))
+    c = materialize(c.crossJoin(F.broadcast(detections(spark, sf_dir).agg((F.max("m") - 1440).alias("b")))), "runs")  # a single row
+    new, old = (c.filter(w).groupBy("cluster", "r", "c").agg(F.min("m").cast("long").alias("m")) for w in ("instrument = 'VIIRS' OR m > b", "m <= b"))
+    grown = envelopes.monotone_floor(new, old).groupBy("cluster", "m").agg(F.count("*").alias("k"))
+    return grown.select("cluster", "m", F.sum("k").over(Window.partitionBy("cluster").orderBy("m")).alias("cells"))
 
 
 #: A synthetic land cover: class 80 (water) in fine cells, 5 to a cell's side.
@@ -123,16 +156,30 @@ def mask_resolution_sensitivity(spark: SparkSession, sf_dir: str) -> DataFrame:
 _WET = f"{_LAND.replace('ar AS (SELECT', 'ar AS (SELECT', 1)}, wt AS (SELECT r * 5 + i AS fr, c * 5 + j AS fc, (r * 5 + i) * 100000 + c * 5 + j AS k FROM fi WHERE class = 80), wr(root, k) AS (SELECT k, k FROM wt UNION SELECT q.root, wt.k FROM wr q JOIN wt ON wt.k > q.root AND (wt.k = q.k + 1 OR wt.k = q.k - 1 OR wt.k = q.k + 100000 OR wt.k = q.k - 100000)), wl AS (SELECT k, min(root) AS label FROM wr GROUP BY k)"
 
 
-@query(f"{_WET} SELECT count(*) AS bodies, CAST(sum(n) AS BIGINT) AS cells FROM (SELECT label, count(*) AS n FROM wl GROUP BY label HAVING count(*) >= 16)")
-def water_component_subtraction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Water bodies of 16 fine cells or more, which would be cut from the surfaces."""
+def water_bodies(fine: DataFrame, least: int = 16) -> DataFrame:
+    """(fr, fc) of water in connected bodies of at least so many fine cells; fine: (fr, fc, class)."""
     from ..operators.components import connected_components
 
-    w = _fine(arrivals(spark, sf_dir)).filter("class = 80").select((F.col("fr") * 100_000 + F.col("fc")).alias("k"))
-    w = materialize(w, "water")
+    w = materialize(fine.filter("class = 80").select((F.col("fr") * 100_000 + F.col("fc")).alias("k")), "water")
     step = w.select(F.col("k").alias("src"), F.explode(F.array(F.col("k"), F.col("k") + 1, F.col("k") + 100_000)).alias("dst"))
-    parts = connected_components(step.join(w.withColumnRenamed("k", "dst"), "dst").select("src", "dst"))
-    return parts.groupBy("component").agg(F.count("*").alias("n")).filter("n >= 16").agg(F.count("*").alias("bodies"), F.sum("n").alias("cells"))
+    parts = materialize(connected_components(step.join(w.withColumnRenamed("k", "dst"), "dst").select("src", "dst")), "water-parts")
+    large = parts.groupBy("component").agg(F.count("*").alias("n")).filter(F.col("n") >= least)
+    return parts.join(large, "component").select(F.floor(F.col("node") / 100_000).alias("fr"), (F.col("node") % 100_000).alias("fc"), F.col("component").alias("body"))
+
+
+@query(f"{_WET} SELECT count(*) AS bodies, CAST(sum(n) AS BIGINT) AS cells FROM (SELECT label, count(*) AS n FROM wl GROUP BY label HAVING count(*) >= 16)")
+def water_component_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Water bodies of a hectare (16 fine cells) or more that meet the burnt surface."""
+    return water_bodies(_fine(arrivals(spark, sf_dir))).agg(F.countDistinct("body").alias("bodies"), F.count("*").alias("cells"))
+
+
+@query(f"{_WET}, wb AS (SELECT k FROM wl WHERE label IN (SELECT label FROM wl GROUP BY label HAVING count(*) >= 16)) SELECT first_p, count(*) AS fine_cells, round(count(*) * 0.0025, 4) AS area_km2 FROM (SELECT ar.first_p, (fi.r * 5 + i) * 100000 + fi.c * 5 + j AS k FROM fi JOIN ar USING (r, c)) WHERE k NOT IN (SELECT k FROM wb) GROUP BY first_p")
+def water_component_subtraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each pass's newly burnt cells keep when large water bodies are taken off: never more than they had."""
+    a = materialize(arrivals(spark, sf_dir), "arrivals")
+    fine = _fine(a)
+    left = fine.join(water_bodies(fine), ["fr", "fc"], "left_anti").join(a, ["r", "c"])
+    return left.groupBy("first_p").agg(F.count("*").alias("fine_cells"), F.round(F.count("*") * 0.0025, 4).alias("area_km2"))
 
 
 _AUDIT = f"{_MASK}, aw AS (SELECT p, r, c, CASE WHEN (r + c) % 2 = 0 THEN 'advance' ELSE 'persistence' END AS category FROM mk), o AS (SELECT category, p, count(*) AS n FROM aw WHERE p % 10 <> 0 GROUP BY ALL), n AS (SELECT category, p, count(*) AS n FROM aw WHERE p % 10 <> 1 AND r % 50 <> 0 GROUP BY ALL)"
@@ -180,27 +227,17 @@ def front_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"{_MASK} SELECT p, CAST(count(DISTINCT label) AS BIGINT) AS parts, count(*) AS cells FROM lab JOIN big USING (p, label) GROUP BY p")
 def polygon_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts of each pass's outline; the cells within it by the rings' own area, holes taken off."""
-    half = lambda ring: F.aggregate(F.sequence(F.lit(1), F.size(ring) - 1), F.lit(0).cast("long"), lambda s, i: s + F.get(ring, i - 1)["x"] * F.get(ring, i)["y"] - F.get(ring, i)["x"] * F.get(ring, i - 1)["y"])
-    inside = F.aggregate(F.transform("rings", half), F.lit(0).cast("long"), lambda s, v: s + v)
+    inside = F.aggregate(F.transform("rings", shapes.ring_area2), F.lit(0).cast("long"), lambda s, v: s + v)
     return shapes.polygons(masks(spark, sf_dir)).withColumn("inside", inside).groupBy("p").agg(F.count("*").alias("parts"), F.sum(F.expr("inside div 2")).alias("cells"))
 
 
-@query()
-def feature_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One GeoJSON feature per pass: the outline of its cells in degrees, with area and number of cells as properties."""
-    p = front_polygons(spark, sf_dir).withColumn("degrees", shapes.to_degrees(F.col("rings"), F.col("gx"), F.col("gy")))
-    p = p.groupBy("p").agg(F.sum("cells").alias("cells"), F.sort_array(F.collect_list(F.struct("part", "degrees"))).alias("parts"))
-    properties = F.struct(F.col("p").alias("snapshot_index"), "cells", F.bround(F.col("cells") * P.CELL_AREA_KM2, 3).alias("area_km2"))
-    return p.select("p", shapes.feature(properties, F.col("parts.degrees")).alias("feature"))
-
-
 _ENVELOPE = f"""{_SUPPORTED}, sp AS (SELECT cluster, CAST(m AS BIGINT) AS m, x, y, CASE instrument WHEN 'MODIS' THEN 750 ELSE 300 END AS rad FROM cl JOIN su USING (id) JOIN det USING (id)),
 e0 AS (SELECT cluster, r, c, min(m) AS m FROM (SELECT cluster, m, x, y, rad, y // 50 + i AS r, x // 50 + j AS c FROM sp JOIN range(-16, 17) t(i) ON abs((y // 50 + i) * 50 + 25 - y) <= rad CROSS JOIN range(-16, 17) u(j)) WHERE (r * 50 + 25 - y) * (r * 50 + 25 - y) + (c * 50 + 25 - x) * (c * 50 + 25 - x) <= rad * rad GROUP BY cluster, r, c),
 ba AS (SELECT i, j FROM range(-2, 3) t(i), range(-2, 3) u(j) WHERE i * i + j * j <= 4), e1 AS (SELECT cluster, r + i AS r, c + j AS c, min(m) AS m FROM e0 CROSS JOIN ba GROUP BY ALL), e2 AS (SELECT cluster, r + i AS r, c + j AS c, max(m) AS m FROM e1 CROSS JOIN ba GROUP BY ALL HAVING count(*) = 13)"""
 
 
 def _envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shapes.envelope_times(envelopes.same_pass_supported(_clustered(spark, sf_dir)).withColumn("m", F.col("m").cast("long")))
+    return step(spark, "envelopes", f"{sf_dir}/events.parquet", lambda: shapes.envelope_times(counted(spark, sf_dir).withColumn("m", F.col("m").cast("long"))))
 
 
 @query(f"{_ENVELOPE} SELECT cluster, m, round(sum(count(*)) OVER (PARTITION BY cluster ORDER BY m) * 0.0025, 4) AS area_km2 FROM e2 GROUP BY cluster, m")
@@ -211,19 +248,10 @@ def envelope_area(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grown.select("cluster", "m", F.round(total * (P.ENVELOPE_CELL**2 / 1e6), 4).alias("area_km2"))
 
 
-@query(f"{_ENVELOPE}, h AS (SELECT cluster, count(*) AS total, count(*) FILTER (WHERE m <= 1440 * 7) AS week FROM e2 GROUP BY cluster) SELECT cluster, round(week / total, 6) AS iou, round((total - week) * 0.0025, 4) AS added_km2 FROM h")
+@query(f"{_ENVELOPE}, h AS (SELECT cluster, count(*) AS total, count(*) FILTER (WHERE m <= a + 1440) AS day FROM e2 JOIN (SELECT cluster, min(m) AS a FROM e2 GROUP BY cluster) USING (cluster) GROUP BY cluster) SELECT cluster, round(day / total, 6) AS iou, round((total - day) * 0.0025, 4) AS added_km2 FROM h")
 def envelope_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Intersection over union, and difference, of each cluster's envelope after a week and at the end."""
-    e = _envelope(spark, sf_dir).groupBy("cluster").agg(F.count("*").alias("total"), F.count_if(F.col("m") <= 1440 * 7).alias("week"))
-    return e.select("cluster", F.round(F.col("week") / F.col("total"), 6).alias("iou"), F.round((F.col("total") - F.col("week")) * (P.ENVELOPE_CELL**2 / 1e6), 4).alias("added_km2"))
-
-
-@query()
-def manifest_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The manifest of a run: a snapshot for each pass with its categories; one row, as long as the list of passes."""
-    s = masks(spark, sf_dir).groupBy("p").agg(F.bround(F.count("*") * P.CELL_AREA_KM2, 3).alias("area_km2"))
-    snap = F.struct(F.col("p").alias("snapshot_index"), F.array(F.struct(F.lit("observed_front").alias("category"), "area_km2")).alias("categories"))
-    one = s.agg(F.sort_array(F.collect_list(snap)).alias("snapshots"))
-    return one.select(F.size("snapshots").alias("n_snapshots"), F.to_json(F.struct(F.lit("arrival").alias("model"), "snapshots")).alias("manifest"))
-
-
+    """Intersection over union, and difference, of each cluster's envelope after its first day and at the end."""
+    e = _envelope(spark, sf_dir)
+    began = e.groupBy("cluster").agg(F.min("m").alias("a"))
+    e = e.join(began, "cluster").groupBy("cluster").agg(F.count("*").alias("total"), F.count_if(F.col("m") <= F.col("a") + 1440).alias("day"))
+    return e.select("cluster", F.round(F.col("day") / F.col("total"), 6).alias("iou"), F.round((F.col("total") - F.col("day")) * (P.ENVELOPE_CELL**2 / 1e6), 4).alias("added_km2"))

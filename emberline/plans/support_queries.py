@@ -10,6 +10,7 @@ from ..operators import passes
 from ..operators.components import linked_clusters
 from ..operators.neighbours import neighbour_counts, pairs_within
 from ..sources.detections import VIEW_SQL, detections
+from ..sources.tables import step
 from .registry import query
 
 D2 = "(a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)"
@@ -25,21 +26,38 @@ _CLASSES = f"WITH {VIEW_SQL}, {_SAME}, {_TEMPORAL}, c AS (SELECT det.*, CASE WHE
 
 
 def same_pass(det: DataFrame) -> DataFrame:
-    return neighbour_counts(det, P.SAME_PASS_RADIUS, on="m")
+    return neighbour_counts(det, P.SAME_PASS_RADIUS, on="m").select("id", "n")
 
 
 def temporal(det: DataFrame, past_only: bool = False) -> DataFrame:
-    return neighbour_counts(det, P.TEMPORAL_RADIUS, minutes=P.TEMPORAL_MINUTES, past_only=past_only)
+    both = neighbour_counts(det, P.TEMPORAL_RADIUS, minutes=P.TEMPORAL_MINUTES)
+    return both.select("id", F.col("past" if past_only else "n").alias("n"))
 
 
 def supported(det: DataFrame) -> DataFrame:
-    """det with support_class, causal_class and their weights."""
-    a, b, c = same_pass(det).withColumnRenamed("n", "n_same"), temporal(det).withColumnRenamed("n", "n_time"), temporal(det, True).withColumnRenamed("n", "n_past")
-    both = det.join(a, "id").join(b, "id").join(c, "id")
+    """det with support_class, causal_class and their weights. One join finds the neighbours in time, past and later."""
+    same = same_pass(det).withColumnRenamed("n", "n_same")
+    around = neighbour_counts(det, P.TEMPORAL_RADIUS, minutes=P.TEMPORAL_MINUTES).withColumnsRenamed({"n": "n_time", "past": "n_past"})
+    both = det.join(same, "id").join(around, "id")
     both = both.withColumn("support_class", F.when(F.col("n_same") > 0, "same_pass").when(F.col("n_time") > 0, "temporal_only").otherwise("isolated"))
     return both.withColumn("causal_class", F.when(F.col("n_same") > 0, "same_pass").when(F.col("n_past") > 0, "past_confirmed").otherwise("isolated"))
 
 
+def support(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The view's detections with their classes, written once as most steps start from them."""
+    return step(spark, "support", f"{sf_dir}/events.parquet", lambda: supported(detections(spark, sf_dir)))
+
+
+def distances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passes with their nearest-neighbour distances, written once."""
+    return step(spark, "pass-distances", f"{sf_dir}/events.parquet", lambda: passes.nearest_stats(passes.sessionize(detections(spark, sf_dir))))
+
+
+def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, cluster), written once."""
+    return step(spark, "clusters", f"{sf_dir}/events.parquet", lambda: linked_clusters(detections(spark, sf_dir), P.CLUSTER_RADIUS))
+
+
 @query(f"WITH {VIEW_SQL}, {_SAME} SELECT id, n FROM same")
 def same_pass_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return same_pass(detections(spark, sf_dir))
@@ -59,18 +77,18 @@ def past_temporal_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def support_class_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..functions.classify import mapped
 
-    s = supported(detections(spark, sf_dir))
+    s = support(spark, sf_dir)
     return s.groupBy("support_class").agg(F.count("*").alias("n"), F.round(F.sum(mapped(F.col("support_class"), P.SUPPORT_WEIGHT, 0.25)), 2).alias("weight"))
 
 
 @query(f"{_CLASSES} SELECT causal_class, count(*) AS n FROM c GROUP BY causal_class")
 def causal_class_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return supported(detections(spark, sf_dir)).groupBy("causal_class").agg(F.count("*").alias("n"))
+    return support(spark, sf_dir).groupBy("causal_class").agg(F.count("*").alias("n"))
 
 
 @query(f"{_CLASSES} SELECT count(*) FILTER (WHERE support_class = 'temporal_only' AND causal_class = 'isolated') AS future_only, count(*) AS n FROM c")
 def future_only_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = supported(detections(spark, sf_dir))
+    s = support(spark, sf_dir)
     return s.agg(F.count_if((F.col("support_class") == "temporal_only") & (F.col("causal_class") == "isolated")).alias("future_only"), F.count("*").alias("n"))
 
 
@@ -97,13 +115,13 @@ _NN = f"{_PASSES}, nn AS (SELECT a.pass_id, a.id, sqrt(min({D2})) AS d FROM p a
 
 @query(f"{_NN} SELECT pass_id, n, round(mean, 4) AS nn_mean_m, round(med, 4) AS nn_median_m, round(p75, 4) AS nn_p75_m, round(p90, 4) AS nn_p90_m FROM st")
 def pass_nn_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = passes.nearest_stats(passes.sessionize(detections(spark, sf_dir)))
+    s = distances(spark, sf_dir)
     return s.select("pass_id", "n", *[F.round(a, 4).alias(b) for a, b in (("mean", "nn_mean_m"), ("med", "nn_median_m"), ("p75", "nn_p75_m"), ("p90", "nn_p90_m"))])
 
 
 @query(f"{_NN} SELECT instrument, count(*) AS passes, round(quantile_cont(med, 0.5), 4) AS median_of_median, round(quantile_cont(p75, 0.5), 4) AS median_of_p75, round(quantile_cont(p75, 0.9), 4) AS p90_of_p75 FROM st GROUP BY instrument")
 def instrument_nn_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = passes.nearest_stats(passes.sessionize(detections(spark, sf_dir)))
+    s = distances(spark, sf_dir)
     return s.groupBy("instrument").agg(F.count("*").alias("passes"), F.round(F.percentile("med", 0.5), 4).alias("median_of_median"), F.round(F.percentile("p75", 0.5), 4).alias("median_of_p75"), F.round(F.percentile("p75", 0.9), 4).alias("p90_of_p75"))
 
 
@@ -118,13 +136,13 @@ _REG = f"{_NN}, rg AS (SELECT pass_id, instrument, CASE WHEN p75 IS NULL THEN 0.
 
 @query(f"{_REG} SELECT pass_id, distance AS distance_regularized_m, round(w, 6) AS pass_weight, CASE WHEN p75 IS NULL THEN 'instrument_fallback' ELSE 'pass_shrunk' END AS distance_source FROM rd")
 def distance_regularized(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = passes.regularize(passes.nearest_stats(passes.sessionize(detections(spark, sf_dir))))
+    r = passes.regularize(distances(spark, sf_dir))
     return r.select("pass_id", F.round("distance", 4).alias("distance_regularized_m"), F.round("weight", 6).alias("pass_weight"), "distance_source")
 
 
 @query(f"{_REG} SELECT instrument, count(*) AS n, round(quantile_cont(distance, 0.5), 3) AS median_m, round(min(distance), 3) AS min_m, round(max(distance), 3) AS max_m FROM rd GROUP BY instrument")
 def regularized_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = passes.regularize(passes.nearest_stats(passes.sessionize(detections(spark, sf_dir)))).withColumn("distance", F.round("distance", 4))
+    r = passes.regularize(distances(spark, sf_dir)).withColumn("distance", F.round("distance", 4))
     return r.groupBy("instrument").agg(F.count("*").alias("n"), F.round(F.percentile("distance", 0.5), 3).alias("median_m"), F.round(F.min("distance"), 3).alias("min_m"), F.round(F.max("distance"), 3).alias("max_m"))
 
 
@@ -142,12 +160,12 @@ lab AS (SELECT node, min(root) AS cluster FROM reach GROUP BY node), cl AS (SELE
 
 @query(f"{_CELLS} SELECT cluster, count(*) AS n FROM cl GROUP BY cluster")
 def cell_graph_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linked_clusters(detections(spark, sf_dir), P.CLUSTER_RADIUS).groupBy("cluster").agg(F.count("*").alias("n"))
+    return clusters(spark, sf_dir).groupBy("cluster").agg(F.count("*").alias("n"))
 
 
 @query(f"{_CELLS}, k AS (SELECT cluster, count(*) AS n FROM cl GROUP BY cluster HAVING count(*) >= 15) SELECT row_number() OVER (ORDER BY n DESC, cluster) AS cluster_id, cluster, n FROM k ORDER BY n DESC, cluster LIMIT 2")
 def top_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clusters_ranked(linked_clusters(detections(spark, sf_dir), P.CLUSTER_RADIUS))
+    return clusters_ranked(clusters(spark, sf_dir))
 
 
 def clusters_ranked(clusters: DataFrame) -> DataFrame:

@@ -1,9 +1,11 @@
-"""Thermal detections: the feed schema, readers and sinks, and the deterministic view of `events` as detections."""
+"""Thermal detections: the feed schema and readers, and the deterministic view of `events` as detections."""
 
 from __future__ import annotations
 
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, SparkRuntimeException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +25,35 @@ def union_feeds(feeds: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), feeds)
 
 
+def read_feeds(spark: SparkSession, paths: dict[str, str]) -> tuple[DataFrame, dict[str, str]]:
+    """All feeds that can be read, and why the others can't; an error where none has a row. paths: feed -> path."""
+    feeds, failed = [], {}
+    for source, path in paths.items():
+        try:
+            feed = read_feed(spark, path, source)
+            if feed.isEmpty():
+                failed[source] = "empty"
+            else:
+                feeds.append(feed)
+        except (AnalysisException, Py4JJavaError, SparkRuntimeException) as e:
+            failed[source] = str(e).split("\n")[0]
+    if not feeds:
+        raise RuntimeError(f"no feed has a row: {failed}")
+    return union_feeds(feeds), failed
+
+
+def read_history(spark: SparkSession, archive: str, working: str, schema: str | T.StructType) -> DataFrame | None:
+    """The archive, else the working file, else none; what can't be read is passed over."""
+    for path in (archive, working):
+        try:
+            found = spark.read.schema(schema).option("header", True).csv(path)
+            found.isEmpty()
+            return found
+        except (AnalysisException, Py4JJavaError, SparkRuntimeException):
+            continue
+    return None
+
+
 def acquired(date: Column, hhmm: Column) -> Column:
     """Timestamp of a date and an unpadded HHMM number; null where they make none."""
     return F.try_to_timestamp(F.concat(date, F.lit(" "), F.lpad(F.coalesce(hhmm, F.lit(0)).cast("string"), 4, "0")), F.lit("yyyy-MM-dd HHmm"))

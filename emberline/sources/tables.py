@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,6 +59,30 @@ def discard(table: DataFrame) -> None:
     release(table.sparkSession)
 
 
+_steps: dict[tuple, DataFrame] = {}
+
+
+def _state(spark: SparkSession, path: str) -> tuple:
+    """The files at path, with their sizes and times."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)
+    return tuple(sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in files))
+
+
+def step(spark: SparkSession, name: str, source: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A step that several queries of a run start from, written once: the same table for as long as the application lasts
+    and the files at source stay as they are. As the files between the steps of a batch run, but none is read when stale."""
+    key = (spark.sparkContext.applicationId, name, source, _state(spark, source))
+    if key not in _steps:
+        global _open
+        _open, held = [], _open  # belongs to no block
+        try:
+            _steps[key] = materialize(build(), name)
+        finally:
+            _open = held
+    return _steps[key]
+
+
 class Scratch:
     """with Scratch() as s: tables written inside go when the block ends, but those that s.keep() was given. What the block
     hands on must have been written by then."""

@@ -86,9 +86,15 @@ def test_regions_fold_like_one(spark):
     runs = [(p, p * 0.8, set().union(*[_block(rng.randrange(0, 120), rng.randrange(0, 120)) for _ in range(3)])) for p in range(12)]
     cells = spark.createDataFrame([(p, r, c) for p, _, x in runs for r, c in x], "p long, r long, c long")
     hours = spark.createDataFrame([(p, h) for p, h, _ in runs], "p long, hours double")
-    got = {r.p: r.asDict() for r in progression.progression(cells, hours).collect()}
+    folded = progression.progression(cells, hours).cache()
+    got = {r.p: r.asDict() for r in progression.counts(folded).collect()}
+    made = {}
+    for r in progression.categories(folded).collect():
+        made.setdefault((r.p, r.category), set()).add((r.r, r.c))
     for row in progression.fold(runs):
-        assert got[row["p"]] == row
+        kinds = row.pop("cells")
+        assert {k: got[row["p"]][k] for k in row} == row
+        assert all(made.get((row["p"], k), set()) == v for k, v in kinds.items())
 
 
 def test_streaming_twins(spark):
@@ -135,13 +141,16 @@ def test_normalised_smooth(spark):
 
 
 def test_projection_stays_without_speed(spark):
+    from pyspark.sql import functions as F
+
     from emberline.plans import grid_queries
 
     mask = spark.createDataFrame([(1, 0, 0), (1, 0, 1)], "p long, r long, c long")
     still = spark.createDataFrame([(1, 0, 0, 0.0), (1, 0, 1, 1000.0)], "p long, r long, c long, speed double")
     cells = {(r.r, r.c) for r in grid_queries.project(mask, still, 1).collect()}
     assert cells == {(0, 0), (0, 1), (0, 2)} | {(1, 1), (-1, 1)}
-    assert grid_queries.correspondence_m() == 1000 and grid_queries.correspondence_m(5000) == 2500
+    wide = spark.createDataFrame([(600.0,), (5000.0,), (1000.0,)], "d double").select(grid_queries.correspondence_m(F.col("d")).alias("w")).collect()
+    assert [r.w for r in wide] == [1000, 2500, 1500]
 
 
 def test_rings():
@@ -181,7 +190,9 @@ def test_envelope_times(spark):
 def test_feature_is_a_polygon(spark):
     import json
 
-    row = catalog.queries()["feature_json"](spark, SF).filter("p = 3").first()
+    from emberline.plans import web_queries
+
+    row = web_queries._features(spark, SF).filter("p = 3").first()
     shape = json.loads(row.feature)["geometry"]
     assert shape["type"] == "MultiPolygon" and shape["coordinates"][0][0][0] == shape["coordinates"][0][0][-1]
     lon, lat = shape["coordinates"][0][0][0]
