@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import discard, materialize, shuffle_partitions, small_batches
+from ._shared import discard, materialize, shuffle_partitions, small_batches, trimmed
 
 #: Kinds of a group; one of more is split by a longer gram.
 LIMIT = 4000
@@ -245,11 +245,11 @@ def _hot(kinds: DataFrame) -> DataFrame:
 def _verdicts(kinds: DataFrame, units: Bytes, judge: Judge, gather: int, level: int = 0) -> DataFrame:
     """Verdicts on kinds, grouped by grams of that level; hot ones by longer grams."""
     light = kinds.filter(~F.col("hot")).repartition(shuffle_partitions(kinds.sparkSession), "key").sortWithinPartitions("key")
-    judged = materialize(light.mapInArrow(_judge_groups(judge, gather), _VERDICTS_DDL), "repeat-verdicts")
+    judged = materialize(light.mapInArrow(trimmed(_judge_groups(judge, gather)), _VERDICTS_DDL), "repeat-verdicts")
     hot = kinds.filter("hot").drop("hot")
     if level + 1 == len(units.grams) or hot.isEmpty():
         return judged
-    sub = materialize(hot.repartition(shuffle_partitions(kinds.sparkSession)).mapInArrow(_split_kinds(units, units.grams[level + 1]), _SUB_DDL), "repeat-split")
+    sub = materialize(hot.repartition(shuffle_partitions(kinds.sparkSession)).mapInArrow(trimmed(_split_kinds(units, units.grams[level + 1])), _SUB_DDL), "repeat-split")
     where = F.struct(*_WHERE)
     again = sub.groupBy("key", "same", "seg").agg(F.min(where).alias("first"), F.max(where).alias("last"), F.max("n").alias("n"), F.max("own").alias("own"), F.max("multi").alias("multi"))
     again = materialize(again.select("key", "same", "first.*", "n", "own", (F.col("multi") | (F.col("first") != F.col("last"))).alias("multi"), F.lit(False).alias("hot"), "seg"), "repeat-kinds")
@@ -268,7 +268,7 @@ def _verdicts(kinds: DataFrame, units: Bytes, judge: Judge, gather: int, level:
 def find_marks(docs: DataFrame, units: Bytes, judge: Judge, gather: int = GATHER) -> DataFrame:
     """(ord, tie, a, b): windows a .. b-1 of a document (ord, tie, text) that repeat, as judge says."""
     small_batches(docs.sparkSession)
-    runs = materialize(docs.mapInArrow(_find_runs(units, units.grams[0]), _RUNS_DDL), "repeat-runs")
+    runs = materialize(docs.mapInArrow(trimmed(_find_runs(units, units.grams[0])), _RUNS_DDL), "repeat-runs")
     # written, so that the join reads plain exchanges, of which adaptive execution can split those of common keys
     keys = materialize(runs.groupBy("key").agg(F.count("*").alias("c"), F.max("own").alias("any_own")).filter("c > 1 OR any_own").select("key"), "repeat-keys")
     found = materialize(runs.join(keys, "key"), "repeat-found")
@@ -278,7 +278,7 @@ def find_marks(docs: DataFrame, units: Bytes, judge: Judge, gather: int = GATHER
     kinds = found.groupBy("key", "same").agg(F.min(where).alias("first"), F.max(where).alias("last"), F.max("n").alias("n"), F.max("own").alias("own"))
     kinds = materialize(kinds.select("key", "same", "first.*", "n", "own", (F.col("first") != F.col("last")).alias("multi")), "repeat-kinds")
     per = _hot(kinds).groupBy("ord", "tie").agg(F.collect_list(F.struct("key", "same", "a", "n", "own", "multi", "hot")).alias("kinds"))
-    cut = docs.join(per.hint("shuffle_hash"), ["ord", "tie"]).select("ord", "tie", "text", "kinds").mapInArrow(_cut_kinds(units), _KINDS_DDL)
+    cut = docs.join(per.hint("shuffle_hash"), ["ord", "tie"]).select("ord", "tie", "text", "kinds").mapInArrow(trimmed(_cut_kinds(units)), _KINDS_DDL)
     segments = materialize(cut, "repeat-segments")
     discard(kinds)
     verdicts = _verdicts(segments, units, judge, gather).withColumnsRenamed({c: f"v_{c}" for c in _WHERE})

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,5 +43,21 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(_BATCH, str(BATCH_ROWS))
 
 
+def trimmed(work: Callable) -> Callable:
+    """A function for mapInArrow that gives the memory it has freed back to the system when its task ends, as workers live
+    on beside those of later stages."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            if (trim := getattr(ctypes.CDLL(None), "malloc_trim", None)) is not None:  # glibc
+                trim(0)
+
+    return run
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

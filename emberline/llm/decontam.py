@@ -50,18 +50,15 @@ def _hashes(ws: Column, k: int) -> Column:
     return F.transform(_starts(ws, k), lambda i: _shingle_hash(ws, i, k))
 
 
-def _signed(bit: int) -> int:
-    return (1 << bit) - (1 << 64) if bit == 63 else 1 << bit
-
-
 def _fingerprint(sums: list[Column], n: Column, lanes: int) -> Column:
-    """One 64-bit half: sums[j] holds, in each of its lanes, how many hashes have bit j + lane * len(sums)."""
-    width, step = 64 // lanes, len(sums)
-    bits = []
-    for j, v in enumerate(sums):
-        for lane in range(lanes):
-            count = F.shiftrightunsigned(v, lane * width).bitwiseAND(F.lit((1 << width) - 1))
-            bits.append(F.when(count * 2 > n, F.lit(_signed(j + lane * step))).otherwise(F.lit(0)).cast("long"))
+    """One 64-bit half: sums[j] holds, in each of its lanes, how many hashes have bit j + lane * len(sums).
+
+    What is added to each lane carries into its last bit but one where the count is over half of n, so that all lanes of a
+    sum are decided at once; the last bit stays free, as sums are signed."""
+    width = 64 // lanes
+    each, top = sum(1 << (i * width) for i in range(lanes)), width - 2
+    lift = (F.lit((1 << top) - 1).cast("long") - F.floor(n / 2)) * F.lit(each)
+    bits = [F.shiftleft(F.shiftrightunsigned(v + lift, top).bitwiseAND(F.lit(each)), j) for j, v in enumerate(sums)]
     return reduce(lambda a, b: a.bitwiseOR(b), bits)
 
 
@@ -69,7 +66,7 @@ def with_fingerprint(df: DataFrame, k: int, longest: int) -> DataFrame:
     """(row, n_sh, fp0, fp1) and df's columns but ws: the SimHash, of 128 bits, of the k-word shingles of its column ws.
 
     Sums are in lanes of a long, four of 16 bits where the longest ws allows it, else two of 32."""
-    lanes = 4 if longest < 1 << 16 else 2
+    lanes = 4 if longest < 1 << 14 else 2
     step = 64 // lanes
     mask = F.lit(sum(1 << (i * step) for i in range(lanes)))
     shingles = df.select("row", F.explode(_hashes(F.col("ws"), k)).alias("h0")).withColumn("h1", F.xxhash64(F.lit("second"), "h0"))

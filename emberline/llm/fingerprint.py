@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import materialize, shuffle_partitions, small_batches
+from ._shared import materialize, shuffle_partitions, small_batches, trimmed
 
 BUCKETS = 256
 #: Cost of codes that differ by 0, 1, 2 and 3 quartiles.
@@ -120,10 +120,10 @@ def fingerprint_documents(docs: DataFrame, parts: int | None = None) -> DataFram
     spark = docs.sparkSession
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
     ranged = src.repartitionByRange(parts or shuffle_partitions(spark), "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
-    done = materialize(ranged.select("doc_id", "text").mapInArrow(_within, _DDL), "fingerprints")
+    done = materialize(ranged.select("doc_id", "text").mapInArrow(trimmed(_within), _DDL), "fingerprints")
     tails = done.filter(F.col("kind") == TAIL).select("part", "doc_id", "text", F.col("fingerprint").alias("fp"))
     held = sorted(r.part for r in tails.select("part").collect())  # a number for each range
     follows = spark.createDataFrame(list(zip(held, held[1:] + held[:1], strict=True)), "part int, next int")
     heads = done.filter(F.col("kind") == HEAD).select(F.col("part").alias("next"), F.col("text").alias("next_text"), F.col("fingerprint").alias("next_fp"))
-    edges = tails.join(follows, "part").join(heads, "next").mapInArrow(_between, _DDL)
+    edges = tails.join(follows, "part").join(heads, "next").mapInArrow(trimmed(_between), _DDL)
     return done.filter(F.col("kind") == ROW).unionByName(edges).drop("part", "kind", "text")

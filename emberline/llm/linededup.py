@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import SPACES, ascii_lower, discard, materialize, quoted, shared_dir, shuffle_partitions, small_batches
+from ._shared import SPACES, ascii_lower, discard, materialize, quoted, shared_dir, shuffle_partitions, small_batches, trimmed
 
 FANOUT = 3
 #: Batches: one for each BATCH_ROWS documents, BATCHES at least.
@@ -136,7 +136,7 @@ def dedup_lines(docs: DataFrame, batches: int | None = None, min_chars: int = MI
     drop = reduce(DataFrame.unionByName, drops).groupBy("ord", "tie").agg(F.collect_set("pos").alias("drop"))
     met = src.join(drop.hint("shuffle_hash"), ["ord", "tie"], "left").select("rest", "text", "drop")
     kind = T.StructType([met.schema["rest"], T.StructField("text", T.StringType()), T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
-    done = met.mapInArrow(_assemble, kind)
+    done = met.mapInArrow(trimmed(_assemble), kind)
     first = [F.col("text") if c == "text" else F.col(f"rest.{quoted(c)}").alias(c) for c in docs.columns if c not in added]
     return done.select(*first, *added)
 

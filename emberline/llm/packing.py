@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._shared import materialize, small_batches
+from ._shared import materialize, small_batches, trimmed
 
 WINDOW, DEPTH, BIN, FILL = 2048, 3, 8, 0.99
 END_ID = 1
@@ -326,14 +326,16 @@ _PLACED = [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64())
 _PLACED_DDL = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-def _place(rows: np.ndarray, window: int, with_ids: bool, dtype: str):
+def _place(rows: np.ndarray, window: int, with_ids: bool, path: str):
     base = rows[:, 0] << 44 | rows[:, 1]
     schema = pa.schema([*_PLACED, ("ids", pa.binary())] if with_ids else _PLACED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        dtype = None
         for batch in batches:
             if not batch.num_rows:
                 continue
+            dtype = dtype or encoder(path).dtype
             col = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in ("start", "length", "doc_tokens", "rank", "crc")}
             n = col["length"].astype(np.int64)
             run_of = rows[np.searchsorted(base, n << 44 | col["rank"], "right") - 1]
@@ -371,7 +373,7 @@ def pack_documents(docs: DataFrame, path: str | None = None, window: int = WINDO
     small_batches(docs.sparkSession)
     path = path or tokenizer_path()
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    pieces = materialize(src.mapInArrow(_tokenize(path, window, with_ids), _PIECES_DDL), "pieces")
+    pieces = materialize(src.mapInArrow(trimmed(_tokenize(path, window, with_ids)), _PIECES_DDL), "pieces")
     counts = materialize(pieces.groupBy("chunk", "length").agg(F.count("*").alias("n")), "piece-counts")
     histogram = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # window entries at most
     rows = plan(histogram, window)
@@ -380,4 +382,4 @@ def pack_documents(docs: DataFrame, path: str | None = None, window: int = WINDO
     if counts.count() <= BROADCAST_ROWS:  # else the pieces are shuffled with their ids, by (chunk, length)
         firsts = F.broadcast(firsts)
     ranked = pieces.join(firsts, ["chunk", "length"]).withColumn("rank", F.col("rank") + F.col("rank0")).drop("rank0")
-    return ranked.mapInArrow(_place(rows, window, with_ids, encoder(path).dtype), _PLACED_DDL + (", ids binary" if with_ids else ""))
+    return ranked.mapInArrow(trimmed(_place(rows, window, with_ids, path)), _PLACED_DDL + (", ids binary" if with_ids else ""))

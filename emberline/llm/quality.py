@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import Scratch, materialize, quoted, small_batches
+from ._shared import Scratch, materialize, quoted, small_batches, trimmed
 
 FOLDS = 5
 SAMPLE_ROWS = 2000
@@ -155,7 +155,7 @@ def _fitted(docs: DataFrame, sample: DataFrame) -> Model:
     good, bad = bytes(made[1]), bytes(made[0])
     if not good or not bad:
         return prior
-    measured = sorted(map(tuple, rows.filter("part = 1").mapInArrow(_differences((good, bad)), "doc_id long, label int, x double").collect()))
+    measured = sorted(map(tuple, rows.filter("part = 1").mapInArrow(trimmed(_differences((good, bad))), "doc_id long, label int, x double").collect()))
     return Model(good, bad, *_logistic(np.array([x for _, _, x in measured]), np.array([q for _, q, _ in measured], float)))
 
 
@@ -174,7 +174,7 @@ def score_documents(docs: DataFrame, model: Model, name: str = "score") -> DataF
     small_batches(docs.sparkSession)
     kept = [c for c in docs.columns if c != name]
     packed = docs.select(F.struct(*[F.col(quoted(c)) for c in kept]).alias("rest"), "text")
-    scored = packed.mapInArrow(_scorer(model), T.StructType([packed.schema["rest"], T.StructField("score", T.DoubleType())]))
+    scored = packed.mapInArrow(trimmed(_scorer(model)), T.StructType([packed.schema["rest"], T.StructField("score", T.DoubleType())]))
     return scored.select(*[F.col(f"rest.{quoted(c)}").alias(c) for c in kept], F.col("score").alias(name))
 
 

@@ -56,4 +56,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_line_dedup": linededup.ORACLE, "op9_decontaminate": decontam.ORACLE}
+    return {"op4_line_dedup": linededup.ORACLE, "op6_substring_dedup": substring.ORACLE, "op7_suffix_array_dedup": suffixarray.ORACLE, "op9_decontaminate": decontam.ORACLE}

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import materialize, small_batches
+from ._shared import materialize, small_batches, trimmed
 
 #: Kinds in the order in which spans with the same start are listed.
 KINDS = ("assign", "access", "hex", "owned")
@@ -95,7 +95,7 @@ def scan_secrets(docs: DataFrame, owner: str = "source", repo: str = "doc_id", l
     src = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(owner).cast("string"), F.lit("")).alias("owner"), F.coalesce(F.col(repo).cast("string"), F.lit("")).alias("repo"), F.coalesce("text", F.lit("")).alias("text")
     )
-    scanned = materialize(src.mapInArrow(_scan, _SCAN_DDL), "secrets-scan")
+    scanned = materialize(src.mapInArrow(trimmed(_scan), _SCAN_DDL), "secrets-scan")
     flat = scanned.select("row", "owner", "repo", F.explode("cands").alias("c")).select("row", "owner", "repo", "c.*")
     # each step combines on the map side first, so a value that a third of all documents hold stays small
     per_owner = flat.groupBy("h", "owner", "repo").agg(F.lit(1).alias("one")).groupBy("h", "owner").agg(F.count("*").alias("repos"))

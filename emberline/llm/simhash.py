@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import Scratch, materialize, shuffle_partitions, small_batches
+from ._shared import Scratch, materialize, shuffle_partitions, small_batches, trimmed
 from .graph import connected_components
 
 SEGMENTS, RADIUS = 2, 2
@@ -75,7 +75,7 @@ def fingerprints(docs: DataFrame, k: int = 3) -> DataFrame:
     """(doc_id, tie, fp): the fingerprint as a signed long of each row of docs, and a hash of its text."""
     small_batches(docs.sparkSession)
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
-    return src.mapInArrow(_fingerprints(k), "doc_id long, tie long, fp long")
+    return src.mapInArrow(trimmed(_fingerprints(k)), "doc_id long, tie long, fp long")
 
 
 def ball(width: int, radius: int) -> list[int]:

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from ._repeats import Kind, Words, covered, find_marks, source, with_marks
+from ._shared import trimmed
 from .suffixarray import suffix_order
 
 WINDOW, GRAMS = 35, (16, 28)
@@ -97,4 +98,14 @@ def dedup_words(docs: DataFrame, window: int = WINDOW, grams: tuple[int, ...] =
     """(doc_id, n_words, n_removed, kept_sha256, kept): kept is the text of the words that stay, joined by spaces."""
     src = source(docs)
     marks = find_marks(src.drop("doc_id"), Words(window, grams), judge(window))
-    return with_marks(src, marks).mapInArrow(_apply(window, with_text), _OUT_DDL)
+    return with_marks(src, marks).mapInArrow(trimmed(_apply(window, with_text)), _OUT_DDL)
+
+
+ORACLE = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+win AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 34], ' ')) AS k FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) AS i FROM w WHERE len(ws) >= 35)),
+cov AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS j FROM win WHERE k IN (SELECT k FROM win GROUP BY k HAVING count(*) > 1)),
+pos AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS j, unnest(ws) AS word FROM w),
+a AS (SELECT pos.doc_id, count(*) AS n, count(cov.j) AS gone, string_agg(word, ' ' ORDER BY pos.j) FILTER (WHERE cov.j IS NULL) AS kept FROM pos LEFT JOIN cov ON cov.doc_id = pos.doc_id AND cov.j = pos.j GROUP BY pos.doc_id)
+SELECT w.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_words, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM w LEFT JOIN a USING (doc_id)
+"""

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from ._repeats import Bytes, Kind, covered, find_marks, source, with_marks
+from ._shared import trimmed
 
 WINDOW, GRAMS = 100, (32, 64)
 #: Bytes of segments that are judged at once; the rank table takes a byte for each of them and each different byte.
@@ -201,4 +202,19 @@ def dedup_bytes(docs: DataFrame, window: int = WINDOW, grams: tuple[int, ...] =
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept): kept is the bytes that stay; they may split a character."""
     src = source(docs)
     marks = find_marks(src.drop("doc_id"), Bytes(window, grams), judge(window), GATHER)
-    return with_marks(src, marks).mapInArrow(_apply(window, with_text), _OUT_DDL)
+    return with_marks(src, marks).mapInArrow(trimmed(_apply(window, with_text)), _OUT_DDL)
+
+
+#: Two hexadecimal digits a byte, so that a string of 100 bytes is 200 digits from digit 2 i + 1 on.
+ORACLE = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+win AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 200)) AS k FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 99)) AS i FROM d WHERE length(h) >= 200)),
+again AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS n FROM win) WHERE n > 1),
+cov AS (SELECT doc_id, i, CASE WHEN i > lag(i) OVER w + 100 OR lag(i) OVER w IS NULL THEN 1 ELSE 0 END AS fresh FROM again WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+runs AS (SELECT doc_id, min(i) AS a, max(i) + 100 AS b FROM (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM cov) GROUP BY doc_id, run),
+gaps AS (SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS x, a AS y, a FROM runs UNION ALL SELECT doc_id, max(b), NULL, max(b) FROM runs GROUP BY doc_id),
+kept AS (SELECT doc_id, string_agg(CASE WHEN y IS NULL THEN substr(h, 2 * x + 1) ELSE substr(h, 2 * x + 1, 2 * (y - x)) END, '' ORDER BY a, y NULLS LAST) AS h FROM gaps JOIN d USING (doc_id) GROUP BY doc_id),
+s AS (SELECT doc_id, sum(b - a) AS gone, count(*) AS spans FROM runs GROUP BY doc_id)
+SELECT d.doc_id, CAST(length(d.h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, CAST(coalesce(spans, 0) AS BIGINT) AS n_spans, sha256(unhex(CASE WHEN s.doc_id IS NULL THEN d.h ELSE kept.h END)) AS kept_sha256
+FROM d LEFT JOIN s USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""

@@ -466,6 +466,21 @@ def test_decontamination_index(spark):
     assert {r.row for r in pairs if r.row == r.item and r.apart == 12} == set(range(200))
 
 
+@pytest.mark.parametrize("longest", [40, 1 << 15])
+def test_decontamination_fingerprints(spark, longest):
+    """The majority of each bit, one at a time, of the hashes that Spark gives; with narrow and wide lanes."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(6)
+    rows = [(i, [f"w{rng.randrange(9)}" for _ in range(n)]) for i, n in enumerate((5, 6, 7, 8, 20, 40))]
+    df = spark.createDataFrame(rows, "row long, ws array<string>")
+    hs = {r.row: r.hs for r in df.select("row", F.transform(decontam._hashes(F.col("ws"), 5), lambda h: F.struct(h.alias("a"), F.xxhash64(F.lit("second"), h).alias("b"))).alias("hs")).collect()}
+    for r in decontam.with_fingerprint(df, 5, longest).collect():
+        for got, part in ((r.fp0, "a"), (r.fp1, "b")):
+            want = sum((sum((h[part] >> b) & 1 for h in hs[r.row]) * 2 > len(hs[r.row])) << b for b in range(64))
+            assert got & (1 << 64) - 1 == want and r.n_sh == len(hs[r.row])
+
+
 def test_recall_of_decontamination_at_four_fifths(spark):
     """Against exact similarity: windows with words changed, down to a similarity of 0.8."""
     rng = random.Random(8)
