@@ -1,4 +1,5 @@
-"""Streaming twins of the batch steps. Each takes and gives a streaming DataFrame (or a batch one, for tests)."""
+"""Streaming twins of the batch steps. Each takes and gives a streaming DataFrame; all but first_seen and
+candidate_timers take a batch one too."""
 
 from __future__ import annotations
 
