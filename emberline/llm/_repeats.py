@@ -17,6 +17,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -101,10 +102,15 @@ def runs_of(u: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, ...]:
     m = sliding_min(g, span)
     a = np.flatnonzero(np.r_[True, m[1:] != m[:-1]])
     b = np.r_[a[1:], len(m)]
-    reach = np.arange(span)
-    left = a + g[a[:, None] + reach].argmin(1)
-    right = b - 1 + span - 1 - g[(b - 1)[:, None] + reach[::-1]].argmin(1)
-    own = left != right
+    own = np.zeros(len(a), bool)
+    ordered = np.sort(g)
+    twice = ordered[1:][ordered[1:] == ordered[:-1]]
+    if len(twice):  # only a gram that the text holds twice can lie twice in a run
+        doubt = np.flatnonzero(np.isin(m[a], twice))
+        reach = np.arange(span)
+        left = a[doubt] + g[a[doubt][:, None] + reach].argmin(1)
+        right = b[doubt] - 1 + span - 1 - g[(b[doubt] - 1)[:, None] + reach[::-1]].argmin(1)
+        own[doubt] = left != right
     # a run around one gram is no longer than its first and last window
     w = gram_hashes(u, window)
     same = (w[a] * np.uint64(3) + (b - a).astype(np.uint64)) * np.uint64(_P) ^ w[b - 1]
@@ -218,7 +224,8 @@ def _judge_groups(judge: Judge, gather: int):
             return 0
 
         for batch in batches:
-            for k, same, o, t, a, n, own, multi, seg in zip(*(batch.column(c).to_pylist() for c in ("key", "same", "ord", "tie", "a", "n", "own", "multi", "seg")), strict=True):
+            plain = [batch.column(c).to_numpy(zero_copy_only=False).tolist() for c in ("key", "same", "ord", "tie", "a", "n", "own", "multi")]
+            for k, same, o, t, a, n, own, multi, seg in zip(*plain, batch.column("seg").to_pylist(), strict=True):
                 if k != key:
                     size += close()
                     key, now = k, {}
@@ -290,14 +297,26 @@ def find_marks(docs: DataFrame, units: Bytes, judge: Judge, gather: int = GATHER
     return out
 
 
-def covered(marks: list, window: int, n: int) -> list[tuple[int, int]]:
-    """Disjoint unit ranges, in order, that the marked windows cover."""
+def marks_of(batch: pa.RecordBatch) -> Iterator[list[tuple[int, int]]]:
+    """The marks (a, b) of each row, in order."""
+    lists = batch.column("marks")
+    flat = lists.flatten()
+    pairs = list(zip(*(flat.field(c).to_numpy(zero_copy_only=False).tolist() for c in ("a", "b")), strict=True))
+    at = 0
+    for n in pc.fill_null(pc.list_value_length(lists), 0).to_pylist():
+        yield sorted(pairs[at : at + n]) if n else []
+        at += n
+
+
+def covered(marks: list[tuple[int, int]], window: int, n: int) -> list[tuple[int, int]]:
+    """Disjoint unit ranges, in order, that the marked windows (a .. b-1, in order) cover."""
     out: list[list[int]] = []
-    for a, b in sorted((m["a"], min(n, m["b"] + window - 1)) for m in marks or ()):
+    for a, b in marks:
+        end = min(n, b + window - 1)
         if out and a <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], b)
+            out[-1][1] = max(out[-1][1], end)
         else:
-            out.append([a, b])
+            out.append([a, end])
     return [(a, b) for a, b in out]
 
 

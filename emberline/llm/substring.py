@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ._repeats import Kind, Words, covered, find_marks, source, with_marks
+from ._repeats import Kind, Words, covered, find_marks, marks_of, source, with_marks
 from ._shared import trimmed
 from .suffixarray import suffix_order
 
@@ -79,7 +79,7 @@ def _apply(window: int, with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for text, marks in zip(batch.column("text").to_pylist(), batch.column("marks").to_pylist(), strict=True):
+            for text, marks in zip(batch.column("text").to_pylist(), marks_of(batch), strict=True):
                 words = text.encode().split()
                 kept, last, gone = [], 0, 0
                 for a, b in covered(marks, window, len(words)):

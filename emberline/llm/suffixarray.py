@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ._repeats import Bytes, Kind, covered, find_marks, source, with_marks
+from ._repeats import Bytes, Kind, covered, find_marks, marks_of, source, with_marks
 from ._shared import trimmed
 
 WINDOW, GRAMS = 100, (32, 64)
@@ -71,13 +71,12 @@ def suffix_order(t: np.ndarray, depth: int, levels: list[tuple[int, np.ndarray]]
         step *= i + 1
 
 
-def _ranks(bwt: np.ndarray, symbols: np.ndarray):
-    """Two functions: (symbol indices, positions) -> occurrences of each before it; positions -> those of all symbols but
-    the first, a row for each position."""
-    index = np.searchsorted(symbols, bwt)
-    if len(bwt) * len(symbols) <= TABLE_BYTES:
+def _ranks(index: np.ndarray, many: int):
+    """Of a transform whose symbols are 0 .. many-1: two functions, (symbols, positions) -> occurrences of each before it,
+    and positions -> those of all symbols but the first, a row for each position."""
+    n = len(index)
+    if n * many <= TABLE_BYTES:
         # counts before each block of 256 positions, and before each position in its block
-        many, n = len(symbols), len(bwt)
         blocks = (n >> 8) + 1
         before = np.zeros((blocks + 1, many), np.int32)
         before[1:] = np.bincount((np.arange(n) >> 8) * many + index, minlength=blocks * many).reshape(blocks, many)
@@ -91,14 +90,14 @@ def _ranks(bwt: np.ndarray, symbols: np.ndarray):
             step[:, j] += step[:, j - 1]
         return lambda k, at: before[at >> 8, k] + inner[at, k], lambda at: (before[at >> 8] + inner[at])[:, 1:]
     sorted_at = np.argsort(index, kind="stable")
-    size = len(bwt) + 1
+    size = n + 1
     flat = index[sorted_at] * size + sorted_at
-    first = np.searchsorted(flat, np.arange(len(symbols)) * size)
+    first = np.searchsorted(flat, np.arange(many) * size)
 
     def rank(k: np.ndarray, at: np.ndarray) -> np.ndarray:
         return np.searchsorted(flat, k * size + at) - first[k]
 
-    letters = np.arange(1, len(symbols))
+    letters = np.arange(1, many)
     return rank, lambda at: rank(letters, at[:, None])
 
 
@@ -108,10 +107,13 @@ def common_prefixes(t: np.ndarray, order: np.ndarray, stop: int) -> np.ndarray:
     after a suffix that ends sooner the value can be too high, as strings that hold a 0 are not enumerated. Such a suffix
     sorts before all others it is a prefix of, so that no two longer ones are joined by it."""
     n = len(t)
-    bwt = t[order - 1]  # of the first suffix the last symbol: t ends with 0
-    symbols = np.unique(t)
-    starts = np.searchsorted(np.sort(t), symbols)
-    (rank, ranks), code = _ranks(bwt, symbols), np.searchsorted(symbols, bwt)
+    counts = np.bincount(t)
+    symbols = np.flatnonzero(counts)
+    dense = np.zeros(len(counts), np.int64)
+    dense[symbols] = np.arange(len(symbols))
+    code = dense[t[order - 1]]  # the transform; of the first suffix the last symbol: t ends with 0
+    starts = np.r_[0, np.cumsum(counts[symbols])[:-1]]
+    rank, ranks = _ranks(code, len(symbols))
     base = starts[1:]  # without the separator
     lcp = np.full(n + 1, -1, np.int64)
     lcp[: int((t == 0).sum()) + 1] = 0  # separators sort first and differ
@@ -182,7 +184,7 @@ def _apply(window: int, with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for text, marks in zip(batch.column("text").to_pylist(), batch.column("marks").to_pylist(), strict=True):
+            for text, marks in zip(batch.column("text").to_pylist(), marks_of(batch), strict=True):
                 data = text.encode()
                 kept, last, gone = [], 0, 0
                 spans = covered(marks, window, len(data))
