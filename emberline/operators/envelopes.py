@@ -21,29 +21,35 @@ def same_pass_supported(det: DataFrame, radius: int = 2000) -> DataFrame:
     return det.join(near, "id", "left_semi")
 
 
-def _fold(pdf: pd.DataFrame) -> pd.DataFrame:
-    """A point counts if its pass supports it or it lies within CONTINUITY_M of an earlier counted point's footprint.
-
-    Counted points are held in cells as wide as the furthest reach, so each point looks at nine cells."""
-    pdf = pdf.sort_values(["m", "satellite", "instrument", "id"])
-    reach = P.CONTINUITY_M + max(P.FOOTPRINT.values())
-    cells: dict[tuple[int, int], list[tuple[float, float, float]]] = {}
-    rows, n = [], 0
-    for r in pdf.itertuples(index=False):
-        cx, cy = int(r.x // reach), int(r.y // reach)
-        ok = bool(r.supported) or any((r.x - x) ** 2 + (r.y - y) ** 2 <= (P.CONTINUITY_M + f) ** 2 for i in (-1, 0, 1) for j in (-1, 0, 1) for x, y, f in cells.get((cx + i, cy + j), ()))
-        if ok:
-            n += 1
-            cells.setdefault((cx, cy), []).append((r.x, r.y, r.footprint))
-            rows.append((r.cluster, r.id, r.m, n))
-    return pd.DataFrame(rows, columns=["cluster", "id", "m", "n"])
+def counted(points: DataFrame, max_rounds: int = 1000) -> DataFrame:
+    """(cluster, id, m) of the points that count: those that their pass supports, and those within CONTINUITY_M of the
+    footprint of a point of their cluster that counts and comes before them (by m, satellite, instrument, id).
+
+    A point depends on earlier ones only, so that what a walk through the points in order would count is what can be
+    reached from the supported ones: each round joins the points that are still open with those that were counted last.
+    points: cluster, id, m, x, y, satellite, instrument, supported."""
+    p = materialize(points.select("cluster", "id", "m", "x", "y", by_instrument(P.FOOTPRINT).alias("reach"), F.struct("m", "satellite", "instrument", "id").alias("place"), "supported"), "points")
+    widest = int(P.CONTINUITY_M + max(P.FOOTPRINT.values()))
+    done = [p.filter("supported")]
+    todo = p.filter("NOT supported")
+    for _ in range(max_rounds):
+        near = pairs_within(todo.select("cluster", "id", "x", "y", "place"), done[-1].select("cluster", "id", "x", "y", "place", "reach"), F.lit(widest), widest, on="cluster")
+        limit = F.col("r_reach") + P.CONTINUITY_M
+        hit = near.filter((F.col("r_place") < F.col("place")) & (F.col("d2") <= limit * limit)).select("id").distinct()
+        new = materialize(todo.join(hit, "id", "left_semi"), "counted")
+        if new.isEmpty():
+            break
+        done.append(new)
+        todo = materialize(todo.join(new.select("id"), "id", "left_anti"), "open")
+    else:
+        raise RuntimeError(f"continuity did not settle in {max_rounds} rounds")
+    return reduce(DataFrame.unionByName, done).select("cluster", "id", "m", "place")
 
 
 def states(points: DataFrame) -> DataFrame:
-    """(cluster, id, m, n): counted points in order with their running number. points: id, m, x, y, satellite, instrument,
-    supported, cluster. The fold of one cluster is sequential by definition, so a cluster is one group."""
-    p = points.withColumn("footprint", by_instrument(P.FOOTPRINT)).select("cluster", "id", "m", "x", "y", "satellite", "instrument", "supported", "footprint")
-    return p.groupBy("cluster").applyInPandas(_fold, "cluster long, id long, m long, n long")
+    """(cluster, id, m, n): counted points in order with their running number. points as for counted()."""
+    n = F.row_number().over(Window.partitionBy("cluster").orderBy("place")).cast("long")
+    return counted(points).select("cluster", "id", "m", n.alias("n"))
 
 
 def snapshots(state: DataFrame, minutes: int = P.SNAPSHOT_HOURS * 60) -> DataFrame:

@@ -13,7 +13,11 @@ from .grid_queries import _ARRIVAL, _MASK, arrivals, masks
 from .registry import query
 from .support_queries import _CELLS, D2, clusters
 
-_SUPPORTED = f"{_CELLS}, su AS (SELECT a.id FROM det a JOIN det b ON a.slot = b.slot AND a.id <> b.id AND {D2} <= 4000000 GROUP BY a.id), st AS (SELECT cluster, CAST(m AS BIGINT) AS m, CAST(sum(count(*)) OVER (PARTITION BY cluster ORDER BY m) AS BIGINT) AS n FROM cl JOIN su USING (id) JOIN det USING (id) GROUP BY cluster, m)"
+#: su: supported by their pass; ct: all that count, by reaching from those to later points in range; st: running counts.
+_SUPPORTED = f"""{_CELLS}, su AS (SELECT a.id FROM det a JOIN det b ON a.slot = b.slot AND a.id <> b.id AND {D2} <= 4000000 GROUP BY a.id),
+cp AS (SELECT cluster, det.id, m, x, y, satellite, instrument, CASE instrument WHEN 'MODIS' THEN 3750 ELSE 3300 END AS reach, det.id IN (SELECT id FROM su) AS sup FROM cl JOIN det USING (id)),
+ct AS (SELECT id FROM cp WHERE sup UNION SELECT u.id FROM ct JOIN cp v ON v.id = ct.id JOIN cp u ON u.cluster = v.cluster AND NOT u.sup AND (v.m, v.satellite, v.instrument, v.id) < (u.m, u.satellite, u.instrument, u.id) AND (u.x - v.x) * (u.x - v.x) + (u.y - v.y) * (u.y - v.y) <= v.reach * v.reach),
+st AS (SELECT cluster, CAST(m AS BIGINT) AS m, CAST(sum(count(*)) OVER (PARTITION BY cluster ORDER BY m) AS BIGINT) AS n FROM cl JOIN ct USING (id) JOIN det USING (id) GROUP BY cluster, m)"""
 
 
 def _clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,8 +26,15 @@ def _clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def counted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Detections that their pass supports, with their cluster, written once."""
-    return step(spark, "counted", f"{sf_dir}/events.parquet", lambda: envelopes.same_pass_supported(_clustered(spark, sf_dir)))
+    """Detections that count towards their cluster's envelope, with the cluster, written once."""
+
+    def build() -> DataFrame:
+        d = _clustered(spark, sf_dir)
+        near = envelopes.same_pass_supported(d).select("id", F.lit(True).alias("supported"))
+        ids = envelopes.counted(d.join(near, "id", "left").withColumn("supported", F.coalesce("supported", F.lit(False))))
+        return d.join(ids.select("id"), "id", "left_semi")
+
+    return step(spark, "counted", f"{sf_dir}/events.parquet", build)
 
 
 def _states(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,11 +47,10 @@ def envelope_supported_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return envelopes.same_pass_supported(detections(spark, sf_dir)).select("id")
 
 
-@query()
+@query(f"{_SUPPORTED} SELECT cluster, id, m, row_number() OVER (PARTITION BY cluster ORDER BY m, satellite, instrument, id) AS n FROM cp JOIN ct USING (id)")
 def envelope_states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = _clustered(spark, sf_dir)
-    near = envelopes.same_pass_supported(d).select("id", F.lit(True).alias("supported"))
-    return envelopes.states(d.join(near, "id", "left").withColumn("supported", F.coalesce("supported", F.lit(False))))
+    d = counted(spark, sf_dir).select("cluster", "id", "m", "x", "y", "satellite", "instrument", F.lit(True).alias("supported"))
+    return envelopes.states(d)
 
 
 @query(f"{_SUPPORTED}, sn AS (SELECT cluster, min(m) AS a, max(m) AS b FROM st GROUP BY cluster), tg AS (SELECT DISTINCT cluster, target FROM (SELECT cluster, b, unnest(range(a, b, 360)) AS target FROM sn UNION ALL SELECT cluster, b, b FROM sn)), ao AS (SELECT tg.cluster, target, max(st.m) AS m FROM tg JOIN st ON st.cluster = tg.cluster AND st.m <= target GROUP BY tg.cluster, target), ch AS (SELECT *, lag(m) OVER (PARTITION BY cluster ORDER BY target) AS before FROM ao) SELECT ch.cluster, target, ch.m, n FROM ch JOIN st ON st.cluster = ch.cluster AND st.m = ch.m WHERE before IS NULL OR before <> ch.m")
@@ -231,7 +241,7 @@ def polygon_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shapes.polygons(masks(spark, sf_dir)).withColumn("inside", inside).groupBy("p").agg(F.count("*").alias("parts"), F.sum(F.expr("inside div 2")).alias("cells"))
 
 
-_ENVELOPE = f"""{_SUPPORTED}, sp AS (SELECT cluster, CAST(m AS BIGINT) AS m, x, y, CASE instrument WHEN 'MODIS' THEN 750 ELSE 300 END AS rad FROM cl JOIN su USING (id) JOIN det USING (id)),
+_ENVELOPE = f"""{_SUPPORTED}, sp AS (SELECT cluster, CAST(m AS BIGINT) AS m, x, y, CASE instrument WHEN 'MODIS' THEN 750 ELSE 300 END AS rad FROM cl JOIN ct USING (id) JOIN det USING (id)),
 e0 AS (SELECT cluster, r, c, min(m) AS m FROM (SELECT cluster, m, x, y, rad, y // 50 + i AS r, x // 50 + j AS c FROM sp JOIN range(-16, 17) t(i) ON abs((y // 50 + i) * 50 + 25 - y) <= rad CROSS JOIN range(-16, 17) u(j)) WHERE (r * 50 + 25 - y) * (r * 50 + 25 - y) + (c * 50 + 25 - x) * (c * 50 + 25 - x) <= rad * rad GROUP BY cluster, r, c),
 ba AS (SELECT i, j FROM range(-2, 3) t(i), range(-2, 3) u(j) WHERE i * i + j * j <= 4), e1 AS (SELECT cluster, r + i AS r, c + j AS c, min(m) AS m FROM e0 CROSS JOIN ba GROUP BY ALL), e2 AS (SELECT cluster, r + i AS r, c + j AS c, max(m) AS m FROM e1 CROSS JOIN ba GROUP BY ALL HAVING count(*) = 13)"""
 

@@ -106,7 +106,7 @@ def mask_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order.join(d, "p", "left").select("p", F.coalesce(F.round(F.sqrt("d2") * P.CELL, 4), F.lit(float("inf"))).alias("distance_m"))
 
 
-@query(f"{_SUPPORTED}, sp AS (SELECT cluster, CAST(m AS BIGINT) AS m, satellite FROM cl JOIN su USING (id) JOIN det USING (id)), mm AS (SELECT DISTINCT cluster, m FROM sp), ds AS (SELECT cluster, satellite, min(m) AS m FROM sp GROUP BY cluster, satellite) SELECT mm.cluster, mm.m, (SELECT n FROM st WHERE st.cluster = mm.cluster AND st.m = mm.m) AS n, string_agg(satellite, ',' ORDER BY satellite) AS satellites FROM mm JOIN ds ON ds.cluster = mm.cluster AND ds.m <= mm.m GROUP BY mm.cluster, mm.m")
+@query(f"{_SUPPORTED}, sp AS (SELECT cluster, CAST(m AS BIGINT) AS m, satellite FROM cl JOIN ct USING (id) JOIN det USING (id)), mm AS (SELECT DISTINCT cluster, m FROM sp), ds AS (SELECT cluster, satellite, min(m) AS m FROM sp GROUP BY cluster, satellite) SELECT mm.cluster, mm.m, (SELECT n FROM st WHERE st.cluster = mm.cluster AND st.m = mm.m) AS n, string_agg(satellite, ',' ORDER BY satellite) AS satellites FROM mm JOIN ds ON ds.cluster = mm.cluster AND ds.m <= mm.m GROUP BY mm.cluster, mm.m")
 def cumulative_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Supported detections so far, and the satellites that have seen the cluster so far, in order."""
     per = counted(spark, sf_dir).groupBy("cluster", F.col("m").cast("long").alias("m")).agg(F.count("*").alias("k"), F.collect_set("satellite").alias("seen"))

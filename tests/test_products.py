@@ -194,3 +194,17 @@ def test_frozen_maximum(spark):
     assert twins.robust_evidence(s, 1.0).count() == 2
     first = s.filter("p = 1").select("p", "r", "c", "v")
     assert grid.robust(first, frozen=1.0).count() == 1 and grid.robust(s.select("p", "r", "c", "v"), frozen=1.0).filter("p = 1").count() == 1
+
+
+def test_counted_points_against_a_walk(spark):
+    """In order: a point counts if supported, or within 3000 m of the footprint of one that counts already."""
+    rng = random.Random(4)
+    rows = [(rng.choice([1, 2]), i, rng.randrange(6), rng.randrange(0, 60_000), rng.randrange(0, 3000), rng.choice("AB"), rng.choice(["VIIRS", "MODIS"]), rng.random() < 0.1) for i in range(120)]
+    kept, want = {1: [], 2: []}, []
+    for c, i, m, x, y, _, kind, supported in sorted(rows, key=lambda r: (r[2], r[5], r[6], r[1])):
+        if supported or any((x - a) ** 2 + (y - b) ** 2 <= (3000 + f) ** 2 for a, b, f in kept[c]):
+            kept[c].append((x, y, 750 if kind == "MODIS" else 300))
+            want.append((c, i, m, len(kept[c])))
+    points = spark.createDataFrame(rows, "cluster long, id long, m long, x long, y long, satellite string, instrument string, supported boolean")
+    assert sorted(map(tuple, envelopes.states(points).collect())) == sorted(want)
+    assert sum(r[7] for r in rows) < len(want) < len(rows) and envelopes.states(points.filter("NOT supported")).count() == 0
