@@ -2,7 +2,7 @@
 
 Candidate segments come in groups that fit a task, split by grams of 32, 64 and 100 bytes (see _repeats); equal segments are
 one kind, with its multiplicity. Groups are judged many at a time: the segments of all their kinds are joined with
-separators, and of the suffix order the Burrows-Wheeler transform and its rank table are made. From the
+separators, and of the suffix order the Burrows-Wheeler transform and its mapping to longer suffixes are made. From the
 interval of the empty string, intervals are extended backwards by one byte, breadth first; the first time an interval ends
 at a rank, its length is the common prefix there, so prefixes appear by increasing value. The search stops at WINDOW: ranks
 without a value by then share WINDOW bytes or more with their neighbour. Each such set of suffixes is one string; the
@@ -25,12 +25,8 @@ from ._repeats import Bytes, Kind, covered, find_marks, marks_of, source, with_m
 from ._shared import trimmed
 
 WINDOW, GRAMS = 100, (32, 64)
-#: Bytes of segments that are judged at once; the rank table takes a byte for each of them and each different byte.
-GATHER = 128 << 10
-
-
-#: Up to this size ranks are looked up in a table of all symbols; beyond, by binary search in the positions of each.
-TABLE_BYTES = 192 << 20
+#: Bytes of segments that are judged at once.
+GATHER = 256 << 10
 
 
 def suffix_order(t: np.ndarray, depth: int, levels: list[tuple[int, np.ndarray]] | None = None) -> np.ndarray:
@@ -46,59 +42,37 @@ def suffix_order(t: np.ndarray, depth: int, levels: list[tuple[int, np.ndarray]]
     key = np.zeros(n, np.int64)
     for i in range(step):
         key = key << bits | padded[i : i + n]
+    order = np.argsort(key)
+    ordered = key[order]
+    differ = ordered[1:] != ordered[:-1]  # of neighbours in the order
+    rank = np.empty(n, np.int64)
+    each = n.bit_length()  # bits of a rank
     while True:
-        order = np.argsort(key)
-        s = key[order]
-        new = np.cumsum(np.r_[0, s[1:] != s[:-1]])
+        new = np.cumsum(np.r_[0, differ])
         done = step >= depth or new[-1] == n - 1
         if done and levels is None:
             return order
-        rank = np.empty(n, np.int64)
         rank[order] = new
         if levels is not None:
-            levels.append((step, rank))
+            levels.append((step, rank.copy()))
         if done:
             return order
+        # only suffixes that are equal so far are sorted again, in the places they have
+        tied = np.flatnonzero(np.r_[False, ~differ] | np.r_[~differ, False])
+        at = order[tied]
+        key = new[tied]
         # a key packs the ranks of as many steps as 63 bits hold, two at least
-        each = n.bit_length()
-        key = rank
         for i in range(1, 63 // each):
-            key = key << each
-            if i * step < n:
-                key[: n - i * step] |= rank[i * step :] + 1
+            ahead = at + i * step
+            key = key << each | np.where(ahead < n, rank[np.minimum(ahead, n - 1)] + 1, 0)
             if (i + 1) * step >= depth:
                 break
         step *= i + 1
-
-
-def _ranks(index: np.ndarray, many: int):
-    """Of a transform whose symbols are 0 .. many-1: two functions, (symbols, positions) -> occurrences of each before it,
-    and positions -> those of all symbols but the first, a row for each position."""
-    n = len(index)
-    if n * many <= TABLE_BYTES:
-        # counts before each block of 256 positions, and before each position in its block
-        blocks = (n >> 8) + 1
-        before = np.zeros((blocks + 1, many), np.int32)
-        before[1:] = np.bincount((np.arange(n) >> 8) * many + index, minlength=blocks * many).reshape(blocks, many)
-        np.cumsum(before, axis=0, out=before)
-        inner = np.zeros((blocks << 8, many), np.uint8)
-        after = np.arange(1, n + 1)
-        after = after[after & 255 > 0]
-        inner[after, index[after - 1]] = 1
-        step = inner.reshape(blocks, 256, many)
-        for j in range(2, 256):
-            step[:, j] += step[:, j - 1]
-        return lambda k, at: before[at >> 8, k] + inner[at, k], lambda at: (before[at >> 8] + inner[at])[:, 1:]
-    sorted_at = np.argsort(index, kind="stable")
-    size = n + 1
-    flat = index[sorted_at] * size + sorted_at
-    first = np.searchsorted(flat, np.arange(many) * size)
-
-    def rank(k: np.ndarray, at: np.ndarray) -> np.ndarray:
-        return np.searchsorted(flat, k * size + at) - first[k]
-
-    letters = np.arange(1, many)
-    return rank, lambda at: rank(letters, at[:, None])
+        again = np.argsort(key)
+        order[tied] = at[again]
+        key = key[again]
+        beside = np.flatnonzero(tied[1:] == tied[:-1] + 1)
+        differ[tied[beside]] = key[beside + 1] != key[beside]
 
 
 def common_prefixes(t: np.ndarray, order: np.ndarray, stop: int) -> np.ndarray:
@@ -111,10 +85,11 @@ def common_prefixes(t: np.ndarray, order: np.ndarray, stop: int) -> np.ndarray:
     symbols = np.flatnonzero(counts)
     dense = np.zeros(len(counts), np.int64)
     dense[symbols] = np.arange(len(symbols))
+    many = len(symbols)
     code = dense[t[order - 1]]  # the transform; of the first suffix the last symbol: t ends with 0
-    starts = np.r_[0, np.cumsum(counts[symbols])[:-1]]
-    rank, ranks = _ranks(code, len(symbols))
-    base = starts[1:]  # without the separator
+    # where the suffix that is longer by the symbol before stands: suffixes that begin with a symbol keep the order of what follows
+    longer = np.empty(n, np.int64)
+    longer[np.argsort(code.astype(np.uint8 if many <= 256 else np.uint16), kind="stable")] = np.arange(n)
     lcp = np.full(n + 1, -1, np.int64)
     lcp[: int((t == 0).sum()) + 1] = 0  # separators sort first and differ
     lcp[n] = 0
@@ -128,19 +103,30 @@ def common_prefixes(t: np.ndarray, order: np.ndarray, stop: int) -> np.ndarray:
         if not len(lo) or length == stop:
             break
         # where one symbol precedes all suffixes of an interval, it is the only extension
-        c = code[lo]
-        a = rank(c, lo) + starts[c]
-        b = rank(c, hi) + starts[c]
-        alone = b - a == hi - lo
-        keep = alone & (c > 0)
+        a, b = longer[lo], longer[hi - 1] + 1
+        alone = (code[lo] == code[hi - 1]) & (b - a == hi - lo)
+        keep = alone & (code[lo] > 0)
         los, his = [a[keep]], [b[keep]]
         lo, hi = lo[~alone], hi[~alone]
-        for at in range(0, len(lo), 4096):
-            a = ranks(lo[at : at + 4096])
-            b = ranks(hi[at : at + 4096])
-            row, letter = np.nonzero(a < b)
-            los.append(a[row, letter] + base[letter])
-            his.append(b[row, letter] + base[letter])
+        if len(lo):
+            # the symbols before the suffixes of each other interval, and the first place that each leads to
+            size = hi - lo
+            at = np.arange(size.sum()) + np.repeat(lo - np.cumsum(size) + size, size)
+            key = np.repeat(np.arange(len(lo)), size) * many + code[at]
+            if len(lo) * many <= 4 * len(key):
+                each = np.bincount(key, minlength=len(lo) * many)
+                first = np.empty(len(each), np.int64)
+                first[key[::-1]] = longer[at[::-1]]  # the last to be written is the first of its kind
+                found = np.flatnonzero(each)
+                a, each = first[found], each[found]
+            else:
+                by = np.argsort(key)
+                found = key[by]
+                start = np.flatnonzero(np.r_[True, found[1:] != found[:-1]])
+                a, each, found = np.minimum.reduceat(longer[at[by]], start), np.diff(np.r_[start, len(by)]), found[start]
+            letter = found % many > 0
+            los.append(a[letter])
+            his.append((a + each)[letter])
         lo, hi = np.concatenate(los), np.concatenate(his)
     out = lcp[:n].copy()
     out[out < 0] = stop
