@@ -116,7 +116,8 @@ def _leaks(docs: DataFrame, items: DataFrame, k: int) -> DataFrame:
     at = docs.withColumn("ws", words(F.col("text"))).select("doc_id", "tie", F.posexplode(_hashes(F.col("ws"), k)).alias("i", "h"))
     hits = materialize(at.join(seeds, "h").select("doc_id", "tie", "i", F.explode("lengths").alias("n")), "leak-hits")
     per = hits.groupBy("doc_id", "tie").agg(F.collect_set(F.struct("i", "n")).alias("at"))
-    cut = docs.join(per, docs["doc_id"].eqNullSafe(per["doc_id"]) & (docs["tie"] == per["tie"])).select(docs["doc_id"], docs["tie"], "text", "at")
+    # texts are shuffled to their hits at any size: broadcast hits would save that only while the corpus is small
+    cut = docs.join(per.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(per["doc_id"]) & (docs["tie"] == per["tie"])).select(docs["doc_id"], docs["tie"], "text", "at")
     cut = cut.withColumn("ws", words(F.col("text"))).select("doc_id", "tie", F.explode(F.transform("at", lambda a: F.struct(a["i"].alias("i"), a["n"].alias("n"), F.slice("ws", a["i"] + 1, a["n"]).alias("ws")))).alias("w"))
     windows = materialize(cut.select("doc_id", "tie", "w.*").withColumn("row", F.monotonically_increasing_id()), "windows")
     pairs = fetched(with_fingerprint(windows, k, longest), with_fingerprint(items.withColumn("row", F.col("item")), k, longest)).filter(F.col("apart") <= RADIUS)
