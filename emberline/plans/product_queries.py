@@ -241,7 +241,7 @@ def polygon_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shapes.polygons(masks(spark, sf_dir)).withColumn("inside", inside).groupBy("p").agg(F.count("*").alias("parts"), F.sum(F.expr("inside div 2")).alias("cells"))
 
 
-_ENVELOPE = f"""{_SUPPORTED}, sp AS (SELECT cluster, CAST(m AS BIGINT) AS m, x, y, CASE instrument WHEN 'MODIS' THEN 750 ELSE 300 END AS rad FROM cl JOIN ct USING (id) JOIN det USING (id)),
+_ENVELOPE = f"""{_SUPPORTED}, sp AS MATERIALIZED (SELECT cluster, CAST(m AS BIGINT) AS m, x, y, reach - 3000 AS rad FROM cp WHERE id IN (SELECT id FROM ct)),
 e0 AS (SELECT cluster, r, c, min(m) AS m FROM (SELECT cluster, m, x, y, rad, y // 50 + i AS r, x // 50 + j AS c FROM sp JOIN range(-16, 17) t(i) ON abs((y // 50 + i) * 50 + 25 - y) <= rad CROSS JOIN range(-16, 17) u(j)) WHERE (r * 50 + 25 - y) * (r * 50 + 25 - y) + (c * 50 + 25 - x) * (c * 50 + 25 - x) <= rad * rad GROUP BY cluster, r, c),
 ba AS (SELECT i, j FROM range(-2, 3) t(i), range(-2, 3) u(j) WHERE i * i + j * j <= 4), e1 AS (SELECT cluster, r + i AS r, c + j AS c, min(m) AS m FROM e0 CROSS JOIN ba GROUP BY ALL), e2 AS (SELECT cluster, r + i AS r, c + j AS c, max(m) AS m FROM e1 CROSS JOIN ba GROUP BY ALL HAVING count(*) = 13)"""
 
@@ -258,7 +258,7 @@ def envelope_area(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grown.select("cluster", "m", F.round(total * (P.ENVELOPE_CELL**2 / 1e6), 4).alias("area_km2"))
 
 
-@query(f"{_ENVELOPE}, h AS (SELECT cluster, count(*) AS total, count(*) FILTER (WHERE m <= a + 1440) AS day FROM e2 JOIN (SELECT cluster, min(m) AS a FROM e2 GROUP BY cluster) USING (cluster) GROUP BY cluster) SELECT cluster, round(day / total, 6) AS iou, round((total - day) * 0.0025, 4) AS added_km2 FROM h")
+@query(f"{_ENVELOPE}, h AS (SELECT cluster, count(*) AS total, count(*) FILTER (WHERE m <= a + 1440) AS day FROM (SELECT cluster, m, min(m) OVER (PARTITION BY cluster) AS a FROM e2) GROUP BY cluster) SELECT cluster, round(day / total, 6) AS iou, round((total - day) * 0.0025, 4) AS added_km2 FROM h")
 def envelope_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Intersection over union, and difference, of each cluster's envelope after its first day and at the end."""
     e = _envelope(spark, sf_dir)

@@ -35,7 +35,7 @@ def _raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(f"{WITH} SELECT 'feed-' || instrument AS source, count(*) AS n, count(*) FILTER (WHERE id % 7 = 0) AS defaulted, count(DISTINCT m) AS times FROM det WHERE id % 97 <> 0 AND id % 89 <> 0 AND m <= (SELECT max(m) - 1440 + 30 FROM det) GROUP BY instrument")
+@query(f"{WITH} SELECT 'feed-' || instrument AS source, count(*) AS n, count(*) FILTER (WHERE id % 7 = 0 OR frp = 1) AS defaulted, count(DISTINCT m) AS times FROM det WHERE id % 97 <> 0 AND id % 89 <> 0 AND m <= (SELECT max(m) - 1440 + 30 FROM det) GROUP BY instrument")
 def feeds_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two feeds that are there, one that is empty and one that isn't, normalised as of a day before the end: what lacks a
     place or a time goes, and so does what lies more than half an hour ahead."""
