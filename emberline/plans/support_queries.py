@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .. import params as P
 from ..operators import passes
 from ..operators.components import linked_clusters
-from ..operators.neighbours import neighbour_counts, pairs_within
+from ..operators.neighbours import neighbour_counts, pairs_within, with_neighbours
 from ..sources.detections import VIEW_SQL, detections
 from ..sources.tables import step
 from .registry import query
@@ -35,12 +35,12 @@ def temporal(det: DataFrame, past_only: bool = False) -> DataFrame:
 
 
 def supported(det: DataFrame) -> DataFrame:
-    """det with support_class, causal_class and their weights. One join finds the neighbours in time, past and later."""
-    same = same_pass(det).withColumnRenamed("n", "n_same")
-    around = neighbour_counts(det, P.TEMPORAL_RADIUS, minutes=P.TEMPORAL_MINUTES).withColumnsRenamed({"n": "n_time", "past": "n_past"})
+    """det with support_class and causal_class. Classes ask only whether there are neighbours, not how many."""
+    same = with_neighbours(det, P.SAME_PASS_RADIUS, on="m").select("id", F.col("near").alias("same"))
+    around = with_neighbours(det, P.TEMPORAL_RADIUS, minutes=P.TEMPORAL_MINUTES)
     both = det.join(same, "id").join(around, "id")
-    both = both.withColumn("support_class", F.when(F.col("n_same") > 0, "same_pass").when(F.col("n_time") > 0, "temporal_only").otherwise("isolated"))
-    return both.withColumn("causal_class", F.when(F.col("n_same") > 0, "same_pass").when(F.col("n_past") > 0, "past_confirmed").otherwise("isolated"))
+    both = both.withColumn("support_class", F.when(F.col("same"), "same_pass").when(F.col("near"), "temporal_only").otherwise("isolated"))
+    return both.withColumn("causal_class", F.when(F.col("same"), "same_pass").when(F.col("past"), "past_confirmed").otherwise("isolated")).drop("same", "near", "past")
 
 
 def support(spark: SparkSession, sf_dir: str) -> DataFrame:

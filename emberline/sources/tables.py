@@ -27,6 +27,18 @@ def shared_dir(spark: SparkSession) -> str:
     return _own_dir
 
 
+#: Up to how many bytes, as Spark estimates them, it broadcasts a table of itself; and the setting with its default.
+BROADCAST_BYTES = 256 * 1024
+_BROADCAST, _DEFAULT = "spark.sql.autoBroadcastJoinThreshold", 10 * 1024 * 1024
+
+
+def small_broadcasts(spark: SparkSession) -> None:
+    """Spark estimates a table by its compressed files, and a table of numbers that seems to be of 10 MB, its default limit, is
+    of hundreds as a hash table, which the driver gathers and holds. A session's own limit stays."""
+    if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(_BROADCAST)) == _DEFAULT:
+        spark.conf.set(_BROADCAST, str(BROADCAST_BYTES))
+
+
 def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write df as Parquet to the shared folder and read it back: lineage ends there, and lost executors lose nothing."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
