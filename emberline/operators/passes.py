@@ -10,10 +10,9 @@ from pyspark.sql import functions as F
 from .. import params as P
 from ..functions.classify import by_instrument, clip
 from ..sources.tables import materialize
-from .neighbours import pairs_within
 
-#: Side of the cells in which nearest neighbours are looked for first.
-REACH = 2500
+#: How far nearest neighbours are looked for first at most and at least, and the mean number of places that crowds a cell.
+REACH, LEAST_REACH, CROWDED = 2500, 10, 16
 
 
 def sessionize(det: DataFrame, gap: int = P.PASS_GAP_MINUTES) -> DataFrame:
@@ -37,20 +36,39 @@ def with_midpoint(sessions: DataFrame) -> DataFrame:
     return sessions.join(summary(sessions).select("pass_id", "mid"), "pass_id")
 
 
+def _first_reach(places: DataFrame) -> int:
+    """REACH, or a quarter of it, or of that ..., until places have few others in their cells on average."""
+    reach, n = REACH, places.count()
+    while reach > LEAST_REACH:
+        per = places.groupBy("pass_id", F.floor(F.col("x") / (2 * reach)), F.floor(F.col("y") / (2 * reach))).agg(F.count("*").alias("n"))
+        if (per.agg(F.sum(F.col("n") * F.col("n"))).first()[0] or 0) <= CROWDED * n:
+            break
+        reach //= 4
+    return reach
+
+
 def nearest(sessions: DataFrame) -> DataFrame:
     """(pass_id, id, d): distance to the nearest other point of the pass, null where there is none.
 
-    Points are looked for in cells of REACH metres around; those that find none look again in cells four times as wide, and
-    so on until the cells are as wide as the widest pass."""
+    Points that share their place with another are at 0. The others look for places in reach, first as far as their density
+    suggests; those that find none look again four times as far, and so on until that is as wide as the widest pass. Places
+    lie in cells twice as wide as the reach, of which a point's surroundings touch four."""
     p = materialize(sessions.select("id", "x", "y", "pass_id"), "nearest")
-    span = p.groupBy("pass_id").agg((F.max("x") - F.min("x")).alias("dx"), (F.max("y") - F.min("y")).alias("dy"), F.count("*").alias("n"))
+    span = p.groupBy("pass_id").agg((F.max("x") - F.min("x")).alias("dx"), (F.max("y") - F.min("y")).alias("dy"), F.min("id").alias("a"), F.max("id").alias("z"))
     widest = span.agg(F.max(F.greatest("dx", "dy"))).first()[0] or 0
-    alone = p.join(span.filter("n = 1").select("pass_id"), "pass_id", "left_semi").select("pass_id", "id", F.lit(None).cast("double").alias("d2"))
-    todo = p.join(span.filter("n > 1").select("pass_id"), "pass_id", "left_semi")
-    found, reach = [alone], REACH
+    places = materialize(p.groupBy("pass_id", "x", "y").agg(F.min("id").alias("id"), (F.min("id") != F.max("id")).alias("shared")), "nearest-places")
+    alone = span.filter("a = z").select("pass_id", F.col("a").alias("id"), F.lit(None).cast("double").alias("d2"))
+    shared = p.join(places.filter("shared").select("pass_id", "x", "y"), ["pass_id", "x", "y"], "left_semi").select("pass_id", "id", F.lit(0.0).alias("d2")).distinct()
+    todo = places.filter("NOT shared").select("pass_id", "id", "x", "y").join(span.filter("a != z").select("pass_id"), "pass_id", "left_semi")
+    found, reach = [alone, shared], _first_reach(places)
     while True:
-        close = pairs_within(todo, p, F.lit(reach), reach, on="pass_id").groupBy("pass_id", "id").agg(F.min("d2").cast("double").alias("d2"))
-        close = materialize(close, "nearest-found")
+        cell = lambda c: F.floor(c / (2 * reach))  # noqa: B023, E731
+        sides = {f"c{c}": F.explode(F.array(cell(F.col(c) - reach), cell(F.col(c) + reach))) for c in "xy"}
+        looking = todo.withColumn("cx", sides["cx"]).withColumn("cy", sides["cy"])
+        there = places.select("pass_id", F.col("x").alias("r_x"), F.col("y").alias("r_y"), cell(F.col("x")).alias("cx"), cell(F.col("y")).alias("cy"))
+        dx, dy = F.col("x") - F.col("r_x"), F.col("y") - F.col("r_y")
+        close = looking.join(there, ["pass_id", "cx", "cy"]).withColumn("d2", dx * dx + dy * dy).filter((F.col("d2") > 0) & (F.col("d2") <= reach * reach))
+        close = materialize(close.groupBy("pass_id", "id").agg(F.min("d2").cast("double").alias("d2")), "nearest-found")
         found.append(close)
         if reach > widest * 2:
             break

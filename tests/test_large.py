@@ -6,7 +6,7 @@ import random
 
 import pytest
 
-from emberline.operators import neighbours
+from emberline.operators import neighbours, passes
 from emberline.plans import support_queries
 from emberline.sources import tables
 
@@ -40,6 +40,22 @@ def test_support_compares_no_crowds(spark):
     assert [spark.read.parquet(d).filter("NOT sure").count() for d in last][0] == 0 and spark.read.parquet(last[1]).count() < 40_000
 
 
+def test_nearest_among_crowds(crowd):
+    rows = crowd.collect()
+    want = {}
+    for a in rows:
+        d = [(a.x - b.x) ** 2 + (a.y - b.y) ** 2 for b in rows if b.id != a.id and b.pass_id == a.pass_id]
+        want[a.id] = min(d) ** 0.5
+    got = {r.id: r.d for r in passes.nearest(crowd).collect()}
+    assert got == want
+
+
+def test_reach_follows_density(spark):
+    """In a crowd the first look is short: with 2,500 m every point would be compared with all others of its pass."""
+    places = spark.range(20_000).selectExpr("'p' AS pass_id", "id * 7919 % 4001 AS x", "id * 104729 % 4003 AS y")
+    assert passes._first_reach(places) < 100 and passes._first_reach(places.limit(8)) == passes.REACH
+
+
 def test_broadcasts_stay_small(spark):
     from emberline import catalog
 
