@@ -11,14 +11,12 @@ from pyspark.sql import functions as F
 from .. import params as P
 from ..functions.classify import by_instrument
 from ..sources.tables import discard, materialize
-from .neighbours import pairs_within
+from .neighbours import pairs_within, with_neighbours
 
 
 def same_pass_supported(det: DataFrame, radius: int = 2000) -> DataFrame:
     """Rows of det with another detection of the same pass (slot) within radius, of any instrument."""
-    p = det.select("id", "x", "y", "slot")
-    near = pairs_within(p, p, F.lit(radius), radius, on="slot").select("id").distinct()
-    return det.join(near, "id", "left_semi")
+    return det.join(with_neighbours(det, radius, on="slot").filter("near").select("id"), "id", "left_semi")
 
 
 def counted(points: DataFrame, max_rounds: int = 1000) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from .. import params as P
 from ..functions import geo
 from ..functions.classify import by_instrument
+from ..sources.tables import materialize
 from .grid import disc, label_cells, offsets
 
 Corner = tuple[int, int]
@@ -167,17 +169,39 @@ def to_degrees(rings_: Column, x0: Column, y0: Column, cell: int = P.CELL) -> Co
     return F.transform(rings_, lambda ring: F.transform(ring, position))
 
 
+def _reached(radius: float, cell: int) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """Offsets of cells whose centres are within radius of any point of the cell at (0, 0), and those that are of some points."""
+    steps = int(radius // cell) + 1
+    most = lambda k: max(abs(k * cell + cell / 2), abs(k * cell - cell / 2))
+    least = lambda k: max(0, abs(k) * cell - cell / 2)
+    near = [(i, j) for i in range(-steps, steps + 1) for j in range(-steps, steps + 1) if least(i) ** 2 + least(j) ** 2 <= radius * radius]
+    whole = [(i, j) for i, j in near if most(i) ** 2 + most(j) ** 2 <= radius * radius]
+    return whole, [o for o in near if o not in set(whole)]
+
+
+def _first_times(points: DataFrame, cell: int) -> DataFrame:
+    """(cluster, r, c, m): the least m of the points whose footprint holds the cell's centre.
+
+    What any point of a cell reaches follows from the cell's least m. What only some of its points reach is looked at point by
+    point, and only where the cell is early enough to change a time."""
+    at = points.select("cluster", "m", "x", "y", by_instrument(P.FOOTPRINT).alias("radius"), F.floor(F.col("y") / cell).alias("r0"), F.floor(F.col("x") / cell).alias("c0"))
+    blocks = materialize(at.groupBy("cluster", "radius", "r0", "c0").agg(F.min("m").alias("m")), "envelope-blocks")
+
+    def around(k: int) -> DataFrame:
+        each = [blocks.filter(F.col("radius") == f).select("*", offsets(_reached(f, cell)[k])) for f in sorted(set(P.FOOTPRINT.values()))]
+        return reduce(DataFrame.union, each).withColumns({"r": F.col("r0") + F.col("o.dr"), "c": F.col("c0") + F.col("o.dc")}).drop("o")
+
+    sure = materialize(around(0).groupBy("cluster", "r", "c").agg(F.min("m").alias("m")), "envelope-sure")
+    early = around(1).join(sure.withColumnRenamed("m", "known"), ["cluster", "r", "c"], "left").filter(F.col("known").isNull() | (F.col("m") < F.col("known")))
+    early = materialize(early.select("cluster", "radius", "r0", "c0", "r", "c", "known"), "envelope-open")
+    dx, dy = (F.col(k) * cell + cell / 2 - F.col(d) for k, d in (("c", "x"), ("r", "y")))
+    met = at.join(early, ["cluster", "radius", "r0", "c0"]).filter((F.col("known").isNull() | (F.col("m") < F.col("known"))) & (dx * dx + dy * dy <= F.col("radius") * F.col("radius")))
+    return sure.union(met.select("cluster", "r", "c", "m")).groupBy("cluster", "r", "c").agg(F.min("m").alias("m"))
+
+
 def envelope_times(points: DataFrame, cell: int = P.ENVELOPE_CELL, closing: int = P.CLOSING_M) -> DataFrame:
     """(cluster, r, c, m): when each cell joins its cluster's envelope. points: cluster, m, x, y, instrument."""
-    reach = max(P.FOOTPRINT.values())
-    steps = int(reach // cell) + 1
-    radius = by_instrument(P.FOOTPRINT)
-    across = F.sequence(F.lit(-steps), F.lit(steps))
-    near = points.select("cluster", "m", "x", "y", radius.alias("radius"), F.explode(across).alias("i")).withColumn("r", F.floor(F.col("y") / cell) + F.col("i"))
-    dy = F.col("r") * cell + cell / 2 - F.col("y")
-    near = near.filter(F.abs(dy) <= F.col("radius")).select("*", F.explode(across).alias("j")).withColumn("c", F.floor(F.col("x") / cell) + F.col("j"))
-    dx = F.col("c") * cell + cell / 2 - F.col("x")
-    first = near.filter(dx * dx + dy * dy <= F.col("radius") * F.col("radius")).groupBy("cluster", "r", "c").agg(F.min("m").alias("m"))
+    first = _first_times(points, cell)
     ball = disc(closing // cell)
     for join, needed in ((F.min("m"), 1), (F.max("m"), len(ball))):
         around = first.select("cluster", "m", "r", "c", offsets(ball)).select("cluster", "m", (F.col("r") + F.col("o.dr")).alias("r"), (F.col("c") + F.col("o.dc")).alias("c"))

@@ -6,7 +6,7 @@ import random
 
 import pytest
 
-from emberline.operators import neighbours, passes
+from emberline.operators import envelopes, neighbours, passes, shapes
 from emberline.plans import support_queries
 from emberline.sources import tables
 
@@ -56,6 +56,32 @@ def test_reach_follows_density(spark):
     assert passes._first_reach(places) < 100 and passes._first_reach(places.limit(8)) == passes.REACH
 
 
+def test_supported_compares_no_crowds(spark, crowd):
+    rows = crowd.collect()
+    want = {a.id for a in rows if any(b.id != a.id and b.slot == a.slot and (a.x - b.x) ** 2 + (a.y - b.y) ** 2 <= 4_000_000 for b in rows)}
+    assert {r.id for r in envelopes.same_pass_supported(crowd).collect()} == want and 0 < len(want) < len(rows)
+    last = max(glob.glob(f"{tables.shared_dir(spark)}/neighbour-boxes-*"), key=os.path.getmtime)
+    assert spark.read.parquet(last).filter("NOT sure").count() < len(rows)
+
+
+def test_first_times_against_all_cells(spark, crowd):
+    rng = random.Random(9)
+    rows = [(rng.randrange(2), rng.randrange(40), rng.randrange(-900, 900), rng.randrange(-900, 900), rng.choice(["VIIRS", "MODIS"])) for _ in range(120)]
+    want = {}
+    for k, m, x, y, instrument in rows:
+        rad = 750 if instrument == "MODIS" else 300
+        for r in range((y - rad) // 50 - 1, (y + rad) // 50 + 2):
+            for c in range((x - rad) // 50 - 1, (x + rad) // 50 + 2):
+                if (r * 50 + 25 - y) ** 2 + (c * 50 + 25 - x) ** 2 <= rad * rad:
+                    want[k, r, c] = min(m, want.get((k, r, c), m))
+    pts = spark.createDataFrame(rows, "cluster long, m long, x long, y long, instrument string")
+    assert {(r.cluster, r.r, r.c): r.m for r in shapes._first_times(pts, 50).collect()} == want
+    dense = spark.range(30_000).selectExpr("0L AS cluster", "id % 50 AS m", "id * 7919 % 501 AS x", "id * 104729 % 503 AS y", "'MODIS' AS instrument")
+    assert shapes._first_times(dense, 50).count() > 900
+    opened = max(glob.glob(f"{tables.shared_dir(spark)}/envelope-open-*"), key=os.path.getmtime)
+    assert spark.read.parquet(opened).count() < 30_000  # each point by itself reaches about 700 cells
+
+
 def test_broadcasts_stay_small(spark):
     from emberline import catalog
 
