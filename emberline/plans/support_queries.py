@@ -10,7 +10,7 @@ from ..operators import passes
 from ..operators.components import linked_clusters
 from ..operators.neighbours import neighbour_counts, pairs_within, with_neighbours
 from ..sources.detections import VIEW_SQL, detections
-from ..sources.tables import step
+from ..sources.tables import growing, step
 from .registry import query
 
 D2 = "(a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)"
@@ -38,7 +38,7 @@ def supported(det: DataFrame) -> DataFrame:
     """det with support_class and causal_class. Classes ask only whether there are neighbours, not how many."""
     same = with_neighbours(det, P.SAME_PASS_RADIUS, on="m").select("id", F.col("near").alias("same"))
     around = with_neighbours(det, P.TEMPORAL_RADIUS, minutes=P.TEMPORAL_MINUTES)
-    both = det.join(same, "id").join(around, "id")
+    both = det.join(growing(same), "id").join(growing(around), "id")
     both = both.withColumn("support_class", F.when(F.col("same"), "same_pass").when(F.col("near"), "temporal_only").otherwise("isolated"))
     return both.withColumn("causal_class", F.when(F.col("same"), "same_pass").when(F.col("past"), "past_confirmed").otherwise("isolated")).drop("same", "near", "past")
 

@@ -34,11 +34,17 @@ _BROADCAST, _DEFAULT = "spark.sql.autoBroadcastJoinThreshold", 10 * 1024 * 1024
 
 def small_broadcasts(spark: SparkSession) -> None:
     """Spark estimates a table by its compressed files, and a table of numbers that seems to be of 10 MB, its default limit, is
-    of hundreds as a hash table, which the driver gathers and holds. A session's own limit stays."""
-    if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(_BROADCAST)) == _DEFAULT:
+    of hundreds as a hash table, which the driver gathers and holds. A session's own limit stays, -1 (none) as well."""
+    if spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold() == _DEFAULT:
         spark.conf.set(_BROADCAST, str(BROADCAST_BYTES))
 
 
+def growing(df: DataFrame) -> DataFrame:
+    """df for a join that shuffles and sorts both sides whatever the session's limit of broadcasts is: tables of points and
+    cells grow with the input, and the driver must never gather one."""
+    return df.hint("merge")
+
+
 def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write df as Parquet to the shared folder and read it back: lineage ends there, and lost executors lose nothing."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"

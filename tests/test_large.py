@@ -3,6 +3,7 @@
 import glob
 import os
 import random
+import re
 
 import pytest
 
@@ -95,3 +96,62 @@ def test_broadcasts_stay_small(spark):
         assert spark.conf.get(name) == "20m"
     finally:
         spark.conf.set(name, was)
+
+
+def test_no_limit_of_broadcasts(spark):
+    """-1, by which sessions forbid broadcasts, is a limit like others."""
+    from emberline import catalog
+
+    name, was = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set(name, "-1")
+        assert catalog.queries()["campaign_filter"](spark, "/root/testdata/sf0.001").count() > 0 and spark.conf.get(name) == "-1"
+    finally:
+        spark.conf.set(name, was)
+
+
+#: Joins by pass: cells with a table of passes, and two tables of passes.
+BY_PASS = r"BroadcastHashJoin \[p#\d+L\], \[p#\d+L\], \w+, BuildRight|BroadcastHashJoin \[[\w(]*(hours|pass_id|category#\d+, p)#"
+
+
+@pytest.fixture(scope="module")
+def joins(spark):
+    """query -> the joins by broadcast that it, the steps it starts from and the queries asked for before it plan where the
+    session allows broadcasts of any size, but those by pass and products with a single row."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from emberline import catalog
+
+    found, steps = [], {}
+    name, was, write = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), DataFrameWriter.parquet
+
+    def planned(df):
+        found.extend(re.findall(r"BroadcastHashJoin \[.*", df._jdf.queryExecution().sparkPlan().toString()))
+
+    def parquet(self, *a, **k):
+        planned(self._df)
+        return write(self, *a, **k)
+
+    def of(query):
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(DataFrameWriter, "parquet", parquet)
+            m.setattr(tables, "_steps", steps)
+            planned(catalog.queries()[query](spark, "/root/testdata/sf0.001"))
+        return [x for x in found if not re.match(BY_PASS, x)]
+
+    try:
+        spark.conf.set(name, "1g")
+        yield of
+    finally:
+        spark.conf.set(name, was)
+
+
+#: In this order, as each starts from steps of those before it.
+GROWN = [
+    "support_class_counts",
+]
+
+
+@pytest.mark.parametrize("query", GROWN)
+def test_growing_tables_are_never_broadcast(joins, query):
+    assert joins(query) == []
