@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import params as P
+from ..sources.tables import growing
 
 
 def gaussian_weights(sigma: float) -> list[tuple[int, float]]:
@@ -103,7 +104,7 @@ def robust(smoothed: DataFrame, frozen: float | None = None) -> DataFrame:
     per = s.groupBy("p").agg(F.max("v").alias("pmax"))
     top = per.agg((F.max("pmax") if frozen is None else F.lit(frozen)).alias("gmax"))
     limits = per.crossJoin(F.broadcast(top))  # a single row
-    met = s.join(limits, "p")
+    met = s.join(F.broadcast(limits), "p")  # a row for each pass
     return met.filter(F.col("v") / F.col("gmax") >= F.greatest(F.lit(P.EVIDENCE_ABSOLUTE), F.col("pmax") / F.col("gmax") * P.EVIDENCE_RELATIVE)).select("p", "r", "c", "v")
 
 
@@ -138,7 +139,7 @@ def without_small(cells: DataFrame) -> DataFrame:
     """Cells of components of MIN_COMPONENT cells or more."""
     labelled = components(cells)
     size = labelled.groupBy("p", "label").agg(F.count("*").alias("n")).filter(F.col("n") >= P.MIN_COMPONENT)
-    return labelled.join(size, ["p", "label"], "left_semi").select("p", "r", "c")
+    return labelled.join(growing(size), ["p", "label"], "left_semi").select("p", "r", "c")
 
 
 def boundary(mask: DataFrame) -> DataFrame:

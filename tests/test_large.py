@@ -149,6 +149,7 @@ def joins(spark):
 #: In this order, as each starts from steps of those before it.
 GROWN = [
     "support_class_counts",
+    "remove_small_components",
 ]
 
 
