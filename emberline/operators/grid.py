@@ -146,7 +146,7 @@ def boundary(mask: DataFrame) -> DataFrame:
     """Cells with fewer than nine set cells in their 3 x 3."""
     around = mask.select("p", "r", "c", offsets([(i, j) for i in (-1, 0, 1) for j in (-1, 0, 1)])).select("p", (F.col("r") + F.col("o.dr")).alias("r"), (F.col("c") + F.col("o.dc")).alias("c"))
     n = around.groupBy("p", "r", "c").agg(F.count("*").alias("n"))
-    return mask.join(n, ["p", "r", "c"]).filter("n < 9").select("p", "r", "c")
+    return mask.join(growing(n), ["p", "r", "c"]).filter("n < 9").select("p", "r", "c")
 
 
 def distance_to_previous(cells: DataFrame, mask: DataFrame, order: DataFrame, radius: int = P.ADVANCE_CELLS) -> DataFrame:

@@ -150,6 +150,7 @@ def joins(spark):
 GROWN = [
     "support_class_counts",
     "remove_small_components",
+    "mask_boundary",
 ]
 
 
