@@ -151,9 +151,10 @@ def boundary(mask: DataFrame) -> DataFrame:
 
 def distance_to_previous(cells: DataFrame, mask: DataFrame, order: DataFrame, radius: int = P.ADVANCE_CELLS) -> DataFrame:
     """(p, r, c, d2): squared distance in cells to the mask of the pass before (order: p, prev), within radius."""
-    spread = cells.join(order, "p").select("p", "prev", "r", "c", offsets(disc(radius)))
+    # order has a row for each pass
+    spread = cells.join(F.broadcast(order), "p").select("p", "prev", "r", "c", offsets(disc(radius)))
     spread = spread.select("p", F.col("r").alias("r0"), F.col("c").alias("c0"), F.col("prev"), (F.col("r") + F.col("o.dr")).alias("r"), (F.col("c") + F.col("o.dc")).alias("c"), (F.col("o.dr") * F.col("o.dr") + F.col("o.dc") * F.col("o.dc")).alias("d2"))
-    hit = spread.join(mask.withColumnRenamed("p", "prev"), ["prev", "r", "c"])
+    hit = spread.join(growing(mask.withColumnRenamed("p", "prev")), ["prev", "r", "c"])
     return hit.groupBy("p", "r0", "c0").agg(F.min("d2").alias("d2")).select("p", F.col("r0").alias("r"), F.col("c0").alias("c"), "d2")
 
 

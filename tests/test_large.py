@@ -151,6 +151,7 @@ GROWN = [
     "support_class_counts",
     "remove_small_components",
     "mask_boundary",
+    "masks_within_2000m",
 ]
 
 
