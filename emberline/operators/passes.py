@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import params as P
 from ..functions.classify import by_instrument, clip
-from ..sources.tables import materialize
+from ..sources.tables import growing, materialize
 
 #: How far nearest neighbours are looked for first at most and at least, and the mean number of places that crowds a cell.
 REACH, LEAST_REACH, CROWDED = 2500, 10, 16
@@ -24,7 +24,7 @@ def sessionize(det: DataFrame, gap: int = P.PASS_GAP_MINUTES) -> DataFrame:
     new = F.coalesce((F.col("m") - F.lag("m").over(w) > gap).cast("int"), F.lit(1))
     seq = F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0))
     named = minutes.withColumn("new", new).withColumn("seq", seq).withColumn("pass_id", F.concat_ws("_", "satellite", "instrument", F.format_string("%03d", "seq")))
-    return det.join(named.drop("new", "seq"), ["satellite", "instrument", "m"])
+    return det.join(growing(named.drop("new", "seq")), ["satellite", "instrument", "m"])
 
 
 def summary(sessions: DataFrame) -> DataFrame:
@@ -58,7 +58,7 @@ def nearest(sessions: DataFrame) -> DataFrame:
     widest = span.agg(F.max(F.greatest("dx", "dy"))).first()[0] or 0
     places = materialize(p.groupBy("pass_id", "x", "y").agg(F.min("id").alias("id"), (F.min("id") != F.max("id")).alias("shared")), "nearest-places")
     alone = span.filter("a = z").select("pass_id", F.col("a").alias("id"), F.lit(None).cast("double").alias("d2"))
-    shared = p.join(places.filter("shared").select("pass_id", "x", "y"), ["pass_id", "x", "y"], "left_semi").select("pass_id", "id", F.lit(0.0).alias("d2")).distinct()
+    shared = p.join(growing(places.filter("shared").select("pass_id", "x", "y")), ["pass_id", "x", "y"], "left_semi").select("pass_id", "id", F.lit(0.0).alias("d2")).distinct()
     todo = places.filter("NOT shared").select("pass_id", "id", "x", "y").join(span.filter("a != z").select("pass_id"), "pass_id", "left_semi")
     found, reach = [alone, shared], _first_reach(places)
     while True:
@@ -67,12 +67,12 @@ def nearest(sessions: DataFrame) -> DataFrame:
         looking = todo.withColumn("cx", sides["cx"]).withColumn("cy", sides["cy"])
         there = places.select("pass_id", F.col("x").alias("r_x"), F.col("y").alias("r_y"), cell(F.col("x")).alias("cx"), cell(F.col("y")).alias("cy"))
         dx, dy = F.col("x") - F.col("r_x"), F.col("y") - F.col("r_y")
-        close = looking.join(there, ["pass_id", "cx", "cy"]).withColumn("d2", dx * dx + dy * dy).filter((F.col("d2") > 0) & (F.col("d2") <= reach * reach))
+        close = looking.join(growing(there), ["pass_id", "cx", "cy"]).withColumn("d2", dx * dx + dy * dy).filter((F.col("d2") > 0) & (F.col("d2") <= reach * reach))
         close = materialize(close.groupBy("pass_id", "id").agg(F.min("d2").cast("double").alias("d2")), "nearest-found")
         found.append(close)
         if reach > widest * 2:
             break
-        todo = materialize(todo.join(close, ["pass_id", "id"], "left_anti"), "nearest-left")
+        todo = materialize(todo.join(growing(close), ["pass_id", "id"], "left_anti"), "nearest-left")
         if todo.isEmpty():
             break
         reach *= 4

@@ -12,7 +12,7 @@ from ..functions import classify
 from ..functions.classify import pixel_area
 from ..operators import grid, passes, progression
 from ..sources.detections import detections
-from ..sources.tables import step
+from ..sources.tables import growing, step
 from .registry import query
 from .support_queries import _CLASSES, _REG, distances, support
 
@@ -130,10 +130,10 @@ def _usable() -> Column:
 def _front(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Masks, boundaries, the corresponding boundary cells' speeds in metres an hour, and each pass's share of such cells."""
     m, b, d = _distances(spark, sf_dir)
-    order = pass_order(spark, sf_dir).filter(_usable()).select("p", "gap").join(characteristic(spark, sf_dir), "p")
-    near = d.join(order, "p").filter(F.sqrt("d2") * P.CELL <= correspondence_m(F.col("char_m")))
+    order = pass_order(spark, sf_dir).filter(_usable()).select("p", "gap").join(F.broadcast(characteristic(spark, sf_dir)), "p")  # a row for each pass
+    near = d.join(F.broadcast(order), "p").filter(F.sqrt("d2") * P.CELL <= correspondence_m(F.col("char_m")))
     s = near.select("p", "r", "c", F.round(F.sqrt("d2") * P.CELL / F.col("gap"), 6).alias("speed"))
-    share = b.join(s, ["p", "r", "c"], "left").groupBy("p").agg((F.count("speed") / F.count("*")).alias("fraction"))
+    share = b.join(growing(s), ["p", "r", "c"], "left").groupBy("p").agg((F.count("speed") / F.count("*")).alias("fraction"))
     return m, b, s, share
 
 

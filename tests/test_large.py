@@ -152,6 +152,7 @@ GROWN = [
     "remove_small_components",
     "mask_boundary",
     "masks_within_2000m",
+    "boundary_speed",
 ]
 
 
