@@ -165,4 +165,4 @@ def normalised_smooth(cells: DataFrame, at: DataFrame, sigma: float) -> DataFram
     for axis, other in (("c", "r"), ("r", "c")):
         spread = both.select("p", other, axis, "v", "n", kernel).select("p", other, (F.col(axis) + F.col("g.k")).alias(axis), (F.col("v") * F.col("g.w")).alias("v"), (F.col("n") * F.col("g.w")).alias("n"))
         both = spread.groupBy("p", "r", "c").agg(F.sum("v").alias("v"), F.sum("n").alias("n"))
-    return at.select("p", "r", "c").join(both, ["p", "r", "c"], "left").select("p", "r", "c", F.coalesce(F.try_divide("v", "n"), F.lit(0.0)).alias("v"))
+    return at.select("p", "r", "c").join(growing(both), ["p", "r", "c"], "left").select("p", "r", "c", F.coalesce(F.try_divide("v", "n"), F.lit(0.0)).alias("v"))

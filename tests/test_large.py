@@ -153,6 +153,7 @@ GROWN = [
     "mask_boundary",
     "masks_within_2000m",
     "boundary_speed",
+    "speed_percentiles",
 ]
 
 
