@@ -5,19 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.tables import discard, materialize
+from ..sources.tables import discard, growing, materialize
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("src", "dst").union(edges.select("dst", "src"))
     least = both.groupBy("src").agg(F.min("dst").alias("m")).select("src", F.least("src", "m").alias("m"))
-    return both.join(least, "src").filter(F.col("dst") > F.col("src")).select(F.col("dst").alias("src"), F.col("m").alias("dst")).distinct()
+    return both.join(growing(least), "src").filter(F.col("dst") > F.col("src")).select(F.col("dst").alias("src"), F.col("m").alias("dst")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst"))
     least = down.groupBy("src").agg(F.min("dst").alias("m"))
-    moved = down.join(least, "src").filter(F.col("dst") != F.col("m")).select(F.col("dst").alias("src"), F.col("m").alias("dst"))
+    moved = down.join(growing(least), "src").filter(F.col("dst") != F.col("m")).select(F.col("dst").alias("src"), F.col("m").alias("dst"))
     return moved.union(least.select("src", F.col("m").alias("dst"))).distinct()
 
 

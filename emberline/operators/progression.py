@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import params as P
+from ..sources.tables import growing
 from .components import connected_components
 from .grid import disc, label_cells
 
@@ -24,9 +25,9 @@ def regions(cells: DataFrame) -> DataFrame:
     tiles = t.select("tr", "tc").distinct()
     near = tiles.select("tr", "tc", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])).alias("o"))
     near = near.select(number("tr", "tc").alias("src"), (F.col("tr") + F.col("o.i")).alias("tr"), (F.col("tc") + F.col("o.j")).alias("tc"))
-    edges = near.join(tiles, ["tr", "tc"]).select("src", number("tr", "tc").alias("dst"))
+    edges = near.join(growing(tiles), ["tr", "tc"]).select("src", number("tr", "tc").alias("dst"))
     found = connected_components(edges).select(F.col("node").alias("tile"), F.col("component").alias("region"))
-    return t.withColumn("tile", number("tr", "tc")).join(found, "tile").drop("tile", "tr", "tc")
+    return t.withColumn("tile", number("tr", "tc")).join(growing(found), "tile").drop("tile", "tr", "tc")
 
 
 def _large(cells: Cells) -> list[Cells]:

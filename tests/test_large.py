@@ -154,6 +154,7 @@ GROWN = [
     "masks_within_2000m",
     "boundary_speed",
     "speed_percentiles",
+    "progression_stats",
 ]
 
 
