@@ -155,6 +155,7 @@ GROWN = [
     "boundary_speed",
     "speed_percentiles",
     "progression_stats",
+    "polygon_parts",
 ]
 
 
