@@ -156,6 +156,7 @@ GROWN = [
     "speed_percentiles",
     "progression_stats",
     "polygon_parts",
+    "mask_equality",
 ]
 
 
