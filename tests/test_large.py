@@ -157,6 +157,7 @@ GROWN = [
     "progression_stats",
     "polygon_parts",
     "mask_equality",
+    "arrival_surface",
 ]
 
 
