@@ -158,6 +158,7 @@ GROWN = [
     "polygon_parts",
     "mask_equality",
     "arrival_surface",
+    "arrival_step_area",
 ]
 
 
