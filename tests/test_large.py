@@ -159,6 +159,7 @@ GROWN = [
     "mask_equality",
     "arrival_surface",
     "arrival_step_area",
+    "audit_alerts",
 ]
 
 
