@@ -160,6 +160,7 @@ GROWN = [
     "arrival_surface",
     "arrival_step_area",
     "audit_alerts",
+    "audit_checks",
 ]
 
 
