@@ -161,6 +161,7 @@ GROWN = [
     "arrival_step_area",
     "audit_alerts",
     "audit_checks",
+    "audit_category_summary",
 ]
 
 
